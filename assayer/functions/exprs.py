@@ -1,35 +1,63 @@
-"""Column expressions shared by the operators.  All are Spark built-ins."""
+"""SQL expressions shared by the operators.  All are Spark built-ins.
+
+Expressions are SQL text: a check over hundreds of columns is then one call into the
+session per pass instead of one per operator.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from collections.abc import Iterable
+
+
+def name(column: str) -> str:
+    """A quoted column name."""
+    return "`" + column.replace("`", "``") + "`"
+
+
+def text(value: str) -> str:
+    """A string literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def texts(values: Iterable[str]) -> str:
+    """A parenthesised list of string literals."""
+    return "(" + ", ".join(text(v) for v in values) + ")"
+
+
+def rows_of(structs: Iterable[dict[str, str]]) -> str:
+    """``inline`` over literal rows of expressions: one output row per mapping."""
+    return "inline(array(" + ", ".join(
+        "named_struct(" + ", ".join(f"{text(k)}, {v}" for k, v in row.items()) + ")"
+        for row in structs
+    ) + "))"
 
 
-def half_up(numerator: Column, denominator: Column, multiplier: int) -> Column:
+def half_up(numerator: str, denominator: str, multiplier: int) -> str:
     """``multiplier * numerator / denominator`` rounded half up, in exact integers.
 
     NULL when the denominator is zero.  Rounding doubles instead would make the value
     compared with a threshold depend on how a tie such as 2.675 is represented.
     """
-    doubled = F.lit(2 * multiplier).cast("bigint") * numerator + denominator
-    return F.call_function("div", doubled, F.nullif(denominator * 2, F.lit(0).cast("bigint")))
+    return (
+        f"((({2 * multiplier}L * {numerator}) + {denominator})"
+        f" div nullif(2L * {denominator}, 0L))"
+    )
 
 
-def missing_or_null(field: str, codes: list[str]) -> Column:
+def missing_or_null(field: str, codes: list[str]) -> str:
     """True where the field is NULL or one of the coded flavours of missing."""
-    return F.coalesce(F.col(field).isin(codes), F.lit(True))
+    return f"coalesce({name(field)} in {texts(codes)}, true)"
 
 
-def outside(field: str, low: float, high: float) -> Column:
+def outside(field: str, low: float, high: float) -> str:
     """True where a recorded value lies outside the bounds; never for NULL."""
-    return ~F.col(field).between(low, high)
+    return f"({name(field)} not between {low} and {high})"
 
 
-def month_index(field: str) -> Column:
-    return F.year(field) * 100 + F.month(field)
+def month_index(field: str) -> str:
+    return f"(year({name(field)}) * 100 + month({name(field)}))"
 
 
-def flag(condition: Column) -> Column:
+def flag(condition: str) -> str:
     """1 where true, 0 where false or NULL."""
-    return F.when(condition, 1).otherwise(0)
+    return f"(case when {condition} then 1 else 0 end)"

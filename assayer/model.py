@@ -13,9 +13,8 @@ from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from assayer.functions.exprs import half_up
+from assayer.functions.exprs import half_up, name, text
 
 RESULT_COLUMNS = [
     "test", "table", "field", "group", "numerator", "denominator",
@@ -80,6 +79,9 @@ PROFILED_TABLES = [
     "PCORNET_TRIAL", "PRESCRIBING", "PROCEDURES", "PRO_CM", "PROVIDER", "VITAL",
     "IMMUNIZATION",
 ]
+NORMAL_RANGE_FIELDS = [
+    "NORM_RANGE_LOW", "NORM_RANGE_HIGH", "NORM_MODIFIER_LOW", "NORM_MODIFIER_HIGH",
+]
 UNIT_FIELDS = ["RESULT_UNIT", "OBSCLIN_RESULT_UNIT", "OBSGEN_RESULT_UNIT"]
 
 # Pass marks.
@@ -164,23 +166,26 @@ def judge(evidence: DataFrame, checks: dict[int, Check]) -> DataFrame:
             for i, c in checks.items()
         ],
     )
-    num, den = F.col("numerator"), F.col("denominator")
-    value = F.when(F.col("scale") == "count", num.cast("double"))
-    for scale, (multiplier, divisor) in SCALES.items():
-        value = value.when(F.col("scale") == scale, half_up(num, den, multiplier) / F.lit(divisor))
+    cases = " ".join(
+        f"when {text(scale)} then {half_up('numerator', 'denominator', multiplier)} / {divisor}D"
+        for scale, (multiplier, divisor) in SCALES.items()
+    )
+    # Where something must be there, nothing measured is as bad as zero.
     failed = (
-        F.when(F.col("fails") == "above", F.col("value") > F.col("threshold"))
-        .when(F.col("fails") == "below", F.col("value") < F.col("threshold"))
-        # Nothing measured is as bad as zero where something must be there.
-        .otherwise(F.coalesce(F.col("value") <= F.col("threshold"), F.lit(True)))
+        "case fails when 'above' then value > threshold when 'below' then value < threshold"
+        " else coalesce(value <= threshold, true) end"
+    )
+    shown = (
+        "case when value is null then 'no' when scale = 'count' then cast(numerator as string)"
+        " else cast(value as string) end"
     )
-    shown = F.when(F.col("value").isNull(), F.lit("no")).when(
-        F.col("scale") == "count", F.col("numerator").cast("string")
-    ).otherwise(F.col("value").cast("string"))
+    columns = {
+        "result": "case when failed then 'FAIL' when not failed then 'PASS' end",
+        "text": f"replace(template, '{{value}}', {shown})",
+    }
     return (
         evidence.join(spec, "check_id")
-        .withColumn("value", value)
-        .withColumn("result", F.when(failed, "FAIL").when(~failed, "PASS"))
-        .withColumn("text", F.replace(F.col("template"), F.lit("{value}"), shown))
-        .select(*RESULT_COLUMNS)
+        .selectExpr("*", f"case scale when 'count' then cast(numerator as double) {cases} end as value")
+        .selectExpr("*", f"{failed} as failed")
+        .selectExpr(*[f"{columns.get(c, name(c))} as {name(c)}" for c in RESULT_COLUMNS])
     )

@@ -3,14 +3,9 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, field as dataclass_field
-from functools import reduce
-from operator import add
-
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 
 from assayer import model
-from assayer.functions.exprs import flag
+from assayer.functions.exprs import flag, name, text, texts
 from assayer.model import Check
 from assayer.operators.row import Measure
 
@@ -75,24 +70,23 @@ CODE_TABLES = {
 # --------------------------------------------------------------------------------
 
 
-def _flags(code: Column, rule: CodeRule) -> list[Column]:
+def _flags(code: str, rule: CodeRule) -> list[str]:
+    """0/1 expressions, one per part of the rule the code may break."""
     found = []
     if rule.alpha:
-        found.append(flag(code.rlike(rule.alpha)))
+        found.append(flag(f"{code} rlike {text(rule.alpha)}"))
     if rule.numeric:
-        found.append(flag(code.rlike(rule.numeric)))
+        found.append(flag(f"{code} rlike {text(rule.numeric)}"))
     if rule.digits:
-        found.append(flag(~F.coalesce(code.rlike("[0-9]"), F.lit(False))))
+        found.append(flag(f"not coalesce({code} rlike '[0-9]', false)"))
     if rule.length:
         low, high = rule.length
-        size = F.length(F.replace(code, F.lit("."), F.lit("")))
-        found.append(flag(size < low if high is None else ~size.between(low, high)))
-    strings = F.lit(False)
+        size = f"length(replace({code}, '.', ''))"
+        found.append(flag(f"{size} < {low}" if high is None else f"{size} not between {low} and {high}"))
     if rule.dummies:
-        strings = strings | code.isin(rule.dummies)
+        found.append(flag(f"{code} in {texts(rule.dummies)}"))
     if rule.check_digit:
-        strings = strings | (F.length(code) - F.instr(code, "-") != 1)
-    found.append(flag(strings))
+        found.append(flag(f"length({code}) - instr({code}, '-') <> 1"))
     return found
 
 
@@ -103,16 +97,16 @@ def code_errors(table: str, test: str = "DC 1.13", min_flags: int = 1) -> list[M
     types are few and fixed, so they are counted side by side without a shuffle by type.
     """
     spec = CODE_TABLES[table.upper().removesuffix("_STG")]
-    code = F.col(spec.code)
+    code = name(spec.code)
     out = []
     for rule in spec.rules:
-        of_type = F.lit(True) if spec.type_field is None else F.col(spec.type_field) == rule.code_type
-        broken = reduce(add, _flags(code, rule)) >= min_flags
-        text = (
+        of_type = "true" if spec.type_field is None else f"{name(spec.type_field)} = {text(rule.code_type)}"
+        broken = f"({' + '.join(_flags(code, rule))}) >= {min_flags}"
+        message = (
             f"{{value}} percent of {table} codes of type {rule.code_type}"
             " have unexpected length or content."
         )
         check = Check(test, table, spec.code, rule.code_type, model.CODE_ERROR_PCT,
-                      spec.scale, "above", text)
-        out.append(Measure(check, of_type & broken, of_type & code.isNotNull(), of_type))
+                      spec.scale, "above", message)
+        out.append(Measure(check, f"{of_type} and {broken}", f"{of_type} and {code} is not null", of_type))
     return out

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from assayer.functions.exprs import name, rows_of, text, texts
 from assayer.model import Check, union_all
 
 
@@ -31,29 +32,25 @@ def events_evidence(
     ``sources``: (table, code type column, known types, check id -> encounter type).  An
     encounter type without events gives no row unless ``include_empty``, which reports 0.
     """
-    names = [f"e{n}" for n in range(len(sources))]
+    sides = [f"e{n}" for n in range(len(sources))]
     enc_types = sorted({t for *_, ids in sources for t in ids.values()})
 
-    def tagged(df: DataFrame, name: str) -> DataFrame:
-        return df.where(F.col("ENC_TYPE").isin(enc_types)).select(
-            F.col("ENC_TYPE").alias("enc_type"),
-            *[F.lit(1 if n == name else 0).cast("bigint").alias(n) for n in ["enc", *names]],
+    def tagged(df: DataFrame, side: str) -> DataFrame:
+        return df.where(f"ENC_TYPE in {texts(enc_types)}").selectExpr(
+            "ENC_TYPE as enc_type", *[f"{int(s == side)}L as {s}" for s in ["enc", *sides]],
         )
 
     parts = [tagged(encounter, "enc")]
-    for name, (df, type_field, known, _) in zip(names, sources):
-        parts.append(tagged(df.where(F.col(type_field).isin(known)), name))
+    for side, (df, type_field, known, _) in zip(sides, sources):
+        parts.append(tagged(df.where(f"{name(type_field)} in {texts(known)}"), side))
     per_type = union_all(parts).groupBy("enc_type").agg(
-        *[F.sum(n).alias(n) for n in ["enc", *names]]
+        *[F.sum(s).alias(s) for s in ["enc", *sides]]
     )
-    rows = per_type.select("enc_type", F.inline(F.array(*[
-        F.struct(
-            F.lit(i).alias("check_id"), F.lit(enc_type).alias("asked"),
-            F.col(name).alias("numerator"), F.col("enc").alias("denominator"),
-        )
-        for name, (*_, ids) in zip(names, sources)
-        for i, enc_type in ids.items()
-    ]))).where(F.col("enc_type") == F.col("asked"))
+    rows = per_type.selectExpr("enc_type", rows_of(
+        {"check_id": str(i), "asked": text(t), "numerator": side, "denominator": "enc"}
+        for side, (*_, ids) in zip(sides, sources)
+        for i, t in ids.items()
+    )).where("enc_type = asked")
     if not include_empty:
         rows = rows.where("numerator > 0")
     return rows.select("check_id", "numerator", "denominator")

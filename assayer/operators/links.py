@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from assayer import model
+from assayer.functions.exprs import name, rows_of
 from assayer.model import Check, union_all
 
 # Bits of a signed long, one of them for the parent.
@@ -69,8 +70,8 @@ def key_presence(
 ) -> DataFrame:
     """One row per distinct non-NULL key, with the bits of the (table, column) holding it."""
     return union_all([
-        tables[table].where(F.col(column).isNotNull()).select(
-            F.col(column).cast("string").alias("key"), F.lit(bit).cast("bigint").alias("bit")
+        tables[table].where(f"{name(column)} is not null").selectExpr(
+            f"cast({name(column)} as string) as key", f"{bit}L as bit"
         )
         for (table, column), bit in members.items()
     ]).groupBy("key").agg(F.bit_or("bit").alias("bits"))
@@ -86,26 +87,21 @@ def _one_pass(tables, links: dict[int, Link], parents: list[tuple[str, str]]) ->
     for i, link in links.items():
         child = bit_of(link.child, link.key)
         plan.append((i, child, bit_of(link.base, link.key) if link.base else None))
-    orphans_asked = any(base is None for _, _, base in plan)
     members = dict(bits)
     parent_mask = 0
-    if orphans_asked:
+    if any(base is None for _, _, base in plan):
         for parent in parents:
             # A parent that is itself a child of another link keeps its own bit.
             members.setdefault(parent, PARENT_BIT)
             parent_mask |= members[parent]
 
-    def has(mask: int):
-        return F.col("bits").bitwiseAND(F.lit(mask).cast("bigint")) != 0
+    def has(mask: int) -> str:
+        return f"(bits & {mask}L) <> 0"
 
     counts, rows = [], []
     for i, child, base in plan:
-        num = has(child) if base is not None else has(child) & ~has(parent_mask)
-        den = has(base) if base is not None else has(child)
-        counts += [F.count_if(num).alias(f"n{i}"), F.count_if(den).alias(f"d{i}")]
-        rows.append(F.struct(
-            F.lit(i).alias("check_id"),
-            F.col(f"n{i}").alias("numerator"),
-            F.col(f"d{i}").alias("denominator"),
-        ))
-    return key_presence(tables, members).agg(*counts).select(F.inline(F.array(*rows)))
+        orphan = f"{has(child)} and not ({has(parent_mask)})"
+        num, den = (orphan, has(child)) if base is None else (has(child), has(base))
+        counts += [F.expr(f"count_if({num}) as n{i}"), F.expr(f"count_if({den}) as d{i}")]
+        rows.append({"check_id": str(i), "numerator": f"n{i}", "denominator": f"d{i}"})
+    return key_presence(tables, members).agg(*counts).selectExpr(rows_of(rows))

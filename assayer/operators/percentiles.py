@@ -9,59 +9,49 @@ crowded into a small part of their range are spread as well.  What is left is ra
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-CELLS = 1 << 16
-INFINITY = float("inf")
-
-
-def _compressed(value: Column) -> Column:
-    """Monotone and compressing, so that outliers do not swallow the grid."""
-    return F.signum(value) * F.log1p(F.abs(value))
+from assayer.functions.exprs import text
 
+CELLS = 1 << 16
 
-def _linear(value: Column) -> Column:
-    return value
 
+def _place(pool: DataFrame, keys: list[str], scale: str, cell: str) -> DataFrame:
+    """Add the grid cell of each value; the grid spans the finite values of its group.
 
-def _place(pool: DataFrame, keys: list[str], scale: Callable[[Column], Column], cell: str) -> DataFrame:
-    """Add the grid cell of each value; the grid spans the finite values of its group."""
-    value, low, high = F.col("value"), F.col("low"), F.col("high")
-    finite = ~F.isnan(value) & (F.abs(value) != INFINITY)
+    ``scale`` maps a value to its position, monotonically.
+    """
+    finite = "not isnan(value) and abs(value) <> double('infinity')"
     ranges = pool.groupBy(*keys).agg(
-        F.min(F.when(finite, value)).alias("low"), F.max(F.when(finite, value)).alias("high")
+        F.expr(f"min(if({finite}, value, null)) as low"),
+        F.expr(f"max(if({finite}, value, null)) as high"),
     )
-    # Halves keep the span of the widest doubles finite.
-    span = scale(high) / 2 - scale(low) / 2
-    position = (scale(value) / 2 - scale(low) / 2) / span
-    inside = F.when(span == 0, F.lit(0)).otherwise(F.floor(position * (CELLS - 1)).cast("int"))
+
+    def at(column: str) -> str:
+        # Halves keep the span of the widest doubles finite.
+        return f"({scale.format(column)} / 2)"
+
+    span = f"({at('high')} - {at('low')})"
+    inside = f"cast(floor(({at('value')} - {at('low')}) / nullif({span}, 0D) * {CELLS - 1}) as int)"
     placed = (
-        F.when(F.isnan(value), CELLS + 1)
-        .when(value == INFINITY, CELLS)
-        .when(value == -INFINITY, -1)
-        .otherwise(inside)
+        f"case when isnan(value) then {CELLS + 1} when value = double('infinity') then {CELLS}"
+        f" when value = -double('infinity') then -1 else coalesce({inside}, 0) end"
     )
     # Groups are the profiled columns, later at most two cells per percentile and column.
-    return pool.join(F.broadcast(ranges), keys).withColumn(cell, placed).drop("low", "high")
-
+    return pool.join(F.broadcast(ranges), keys).selectExpr(*pool.columns, f"{placed} as {cell}")
 
-def _holding(ranked: DataFrame, wanted: Column) -> DataFrame:
-    """Keep rows whose rank interval [start, end) holds a wanted rank, with those ranks."""
-    return ranked.withColumn("wanted", F.filter(
-        wanted, lambda w: (w["rank"] >= F.col("start")) & (w["rank"] < F.col("end"))
-    )).where(F.size("wanted") > 0)
 
+def _holding(df: DataFrame, keys: list[str], order: str, wanted: str, keep: list[str]) -> DataFrame:
+    """Keep the rows of each group whose ranks include a wanted one, with those ranks.
 
-def _ranked(df: DataFrame, keys: list[str], order: str) -> DataFrame:
-    """Rank interval of each row: counts before it in its group, after the group's start."""
-    before = Window.partitionBy(*keys).orderBy(order)
-    return (
-        df.withColumn("end", F.col("start") + F.sum("n").over(before))
-        .withColumn("start", F.col("end") - F.col("n"))
-    )
+    Ranks run on from ``start``, in the order given, ``n`` per row.
+    """
+    window = f"sum(n) over (partition by {', '.join(keys)} order by {order})"
+    ranked = df.selectExpr("*", f"start + {window} as next").selectExpr("*", "next - n as first")
+    return ranked.selectExpr(
+        *keep, "first as start", f"filter({wanted}, w -> w.rank >= first and w.rank < next) as hits"
+    ).where("size(hits) > 0")
 
 
 def exact_percentiles(counts: DataFrame, percentiles: dict[str, float]) -> DataFrame:
@@ -69,52 +59,39 @@ def exact_percentiles(counts: DataFrame, percentiles: dict[str, float]) -> DataF
 
     ``counts`` holds ``(column_id, value, n)`` with distinct non-NULL double values.
     """
-    column = ["column_id"]
-    coarse = _place(counts, column, _compressed, "cell")
-    # Windows below run over cells, at most CELLS + 3 per group, never over rows.
-    totals = coarse.groupBy("column_id", "cell").agg(F.sum("n").alias("n"))
-    totals = totals.withColumn("total", F.sum("n").over(Window.partitionBy(*column)))
-    ranks = F.array(*[
-        F.struct(
-            F.lit(name).alias("name"), F.lit(side).alias("side"),
-            edge(F.lit(p) * (F.col("total") - 1)).cast("bigint").alias("rank"),
-        )
+    ranks = "array(" + ", ".join(
+        f"named_struct('name', {text(f'{name}_{side}')}, 'rank', cast({edge}({p}D * (total - 1)) as bigint))"
         for name, p in percentiles.items()
-        for side, edge in (("low", F.floor), ("high", F.ceil))
-    ])
-    zero = F.lit(0).cast("bigint")
-    first = _holding(_ranked(totals.withColumn("start", zero), column, "cell"), ranks).select(
-        "column_id", "cell", "start", "total", "wanted"
+        for side, edge in (("low", "floor"), ("high", "ceil"))
+    ) + ")"
+
+    # Logarithmic first, so that outliers do not swallow the grid.
+    coarse = _place(counts, ["column_id"], "(signum({0}) * log1p(abs({0})))", "cell")
+    # The windows here run over cells, at most CELLS + 3 per group, never over rows.
+    cells = coarse.groupBy("column_id", "cell").agg(F.sum("n").alias("n")).selectExpr(
+        "*", "sum(n) over (partition by column_id) as total", "0L as start"
     )
-    near = coarse.join(F.broadcast(first.select("column_id", "cell")), ["column_id", "cell"])
-
     cell = ["column_id", "cell"]
-    fine = _place(near, cell, _linear, "subcell")
-    totals = fine.groupBy("column_id", "cell", "subcell").agg(F.sum("n").alias("n"))
-    second = _holding(_ranked(totals.join(F.broadcast(first), cell), cell, "subcell"), F.col("wanted")).select(
-        "column_id", "cell", "subcell", "start", "total", "wanted"
-    )
-    subcell = ["column_id", "cell", "subcell"]
-    hits = _holding(
-        _ranked(fine.join(F.broadcast(second), subcell), subcell, "value"), F.col("wanted")
-    ).select("column_id", "value", "total", F.explode("wanted").alias("hit"))
-
-    def at(name: str, side: str) -> Column:
-        return F.max(F.when(
-            (F.col("hit.name") == name) & (F.col("hit.side") == side), F.col("value")
-        ))
-
-    edges = hits.groupBy("column_id").agg(
-        F.max("total").alias("total"),
-        *[at(name, side).alias(f"{name}_{side}") for name in percentiles for side in ("low", "high")],
-    )
+    first = _holding(cells, ["column_id"], "cell", ranks, [*cell, "total"])
+    near = coarse.join(F.broadcast(first.select(*cell)), cell)
+
+    fine = _place(near, cell, "{0}", "subcell")
+    subcell = [*cell, "subcell"]
+    subcells = fine.groupBy(*subcell).agg(F.sum("n").alias("n")).join(F.broadcast(first), cell)
+    second = _holding(subcells, cell, "subcell", "hits", [*subcell, "total"])
+    found = _holding(
+        fine.join(F.broadcast(second), subcell), subcell, "value", "hits", ["column_id", "value", "total"]
+    ).selectExpr("column_id", "value", "total", "inline(hits)")
+
+    edges = found.groupBy("column_id").agg(F.max("total").alias("total"), *[
+        F.expr(f"max(if(name = '{name}_{side}', value, null)) as {name}_{side}")
+        for name in percentiles for side in ("low", "high")
+    ])
 
-    def interpolated(name: str, p: float) -> Column:
-        position = F.lit(p) * (F.col("total") - 1)
-        share = position - F.floor(position)
-        low, high = F.col(f"{name}_low"), F.col(f"{name}_high")
-        return F.when(low == high, low).otherwise(low * (1 - share) + high * share)
+    def interpolated(name: str, p: float) -> str:
+        position = f"({p}D * (total - 1))"
+        share = f"({position} - floor({position}))"
+        low, high = f"{name}_low", f"{name}_high"
+        return f"if({low} = {high}, {low}, {low} * (1 - {share}) + {high} * {share}) as {name}"
 
-    return edges.select(
-        "column_id", *[interpolated(name, p).alias(name) for name, p in percentiles.items()]
-    )
+    return edges.selectExpr("column_id", *[interpolated(name, p) for name, p in percentiles.items()])

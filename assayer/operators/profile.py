@@ -11,12 +11,12 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from assayer import model
-from assayer.functions.exprs import half_up
+from assayer.functions.exprs import half_up, name, rows_of, texts
 from assayer.model import local_table, union_all
 from assayer.operators.percentiles import exact_percentiles
 from assayer.sources.registry import Tables
@@ -126,71 +126,65 @@ def _profile_rows(df, table, metadata, only) -> DataFrame:
     if numbers:
         out = out.join(ranks, "column_id", "left")
     else:
-        for p in PERCENTILES:
-            out = out.withColumn(p, F.lit(None).cast("double"))
+        out = out.selectExpr("*", *[f"cast(null as double) as {p}" for p in PERCENTILES])
     if metadata is not None:
         spec = metadata.select("table", "field", "required", "ordinal")
         out = out.join(spec, ["table", "field"], "left")
     else:
-        out = out.withColumn("required", F.lit(None).cast("string")).withColumn("ordinal", F.lit(None).cast("int"))
-
-    def percent(part: str) -> Column:
-        return half_up(F.col(part), F.col("cn"), 1000) / 10.0
-
-    return (
-        out.withColumn("nd", F.coalesce("nd", F.lit(0).cast("bigint")))
-        .withColumn("ordinal", F.coalesce("ordinal", "live_ordinal"))
-        .withColumn("pct_dist", percent("nd"))
-        .withColumn("pct_null", percent("n_null"))
-        .withColumn("pct_missing", percent("n_ni"))
-        .select(*PROFILE_COLUMNS)
-    )
+        out = out.selectExpr("*", "cast(null as string) as required", "cast(null as int) as ordinal")
+
+    def percent(part: str) -> str:
+        return f"{half_up(part, 'cn', 1000)} / 10D"
+
+    columns = {
+        "nd": "coalesce(nd, 0L)",
+        "ordinal": "coalesce(ordinal, live_ordinal)",
+        "pct_dist": percent("coalesce(nd, 0L)"),
+        "pct_null": percent("n_null"),
+        "pct_missing": percent("n_ni"),
+    }
+    return out.selectExpr(*[f"{columns.get(c, name(c))} as {name(c)}" for c in PROFILE_COLUMNS])
 
 
 def _long(df: DataFrame, fields: list[T.StructField], ids: dict[str, int], kind: str) -> DataFrame:
     """Non-NULL values in long form ``(column_id, value)``."""
-    return df.select(F.inline(F.array(*[
-        F.struct(F.lit(ids[f.name]).alias("column_id"), F.col(f.name).cast(kind).alias("value"))
-        for f in fields
-    ]))).where(F.col("value").isNotNull())
+    return df.selectExpr(rows_of(
+        {"column_id": str(ids[f.name]), "value": f"cast({name(f.name)} as {kind})"} for f in fields
+    )).where("value is not null")
 
 
 def _basics(df: DataFrame, fields: list[T.StructField], ids: dict[str, int], numeric: set[str]) -> DataFrame:
-    counts, rows = [F.count(F.lit(1)).alias("cn")], []
+    counts, rows = ["count(*) as cn"], []
     for f in fields:
-        i, c = ids[f.name], F.col(f.name)
-        nothing = F.lit(None)
-        counts += [F.count(c).alias(f"c{i}"), F.min(c).alias(f"lo{i}"), F.max(c).alias(f"hi{i}")]
+        i, c = ids[f.name], name(f.name)
+        counts += [f"count({c}) as c{i}", f"min({c}) as lo{i}", f"max({c}) as hi{i}"]
+        row = {"column_id": str(i), "cn": "cn", "n_null": f"cn - c{i}"}
         if f.name in numeric:
-            counts.append(F.avg(c).alias(f"m{i}"))
-            ni, mean = nothing, F.col(f"m{i}")
-            low_text = high_text = nothing
-            low, high = F.col(f"lo{i}"), F.col(f"hi{i}")
+            counts.append(f"avg({c}) as m{i}")
+            row |= {
+                "n_ni": "cast(null as bigint)", "min_text": "cast(null as string)",
+                "max_text": "cast(null as string)", "min_num": f"cast(lo{i} as double)",
+                "max_num": f"cast(hi{i} as double)", "mean": f"cast(m{i} as double)",
+            }
         else:
-            if isinstance(f.dataType, T.StringType):
-                counts.append(F.count_if(c.isin(model.MISSING_CODES)).alias(f"ni{i}"))
-                ni = F.col(f"ni{i}")
-            else:
-                ni = F.lit(0)
-            mean = low = high = nothing
-            low_text, high_text = F.col(f"lo{i}"), F.col(f"hi{i}")
-        rows.append(F.struct(
-            F.lit(i).alias("column_id"), F.col("cn"),
-            (F.col("cn") - F.col(f"c{i}")).alias("n_null"),
-            ni.cast("bigint").alias("n_ni"),
-            low_text.cast("string").alias("min_text"), high_text.cast("string").alias("max_text"),
-            low.cast("double").alias("min_num"), high.cast("double").alias("max_num"),
-            mean.cast("double").alias("mean"),
-        ))
-    return df.agg(*counts).select(F.inline(F.array(*rows)))
+            coded = isinstance(f.dataType, T.StringType)
+            if coded:
+                counts.append(f"count_if({c} in {texts(model.MISSING_CODES)}) as ni{i}")
+            row |= {
+                "n_ni": f"ni{i}" if coded else "0L", "min_text": f"cast(lo{i} as string)",
+                "max_text": f"cast(hi{i} as string)", "min_num": "cast(null as double)",
+                "max_num": "cast(null as double)", "mean": "cast(null as double)",
+            }
+        rows.append(row)
+    return df.agg(*[F.expr(c) for c in counts]).selectExpr(rows_of(rows))
 
 
 def report(profiles: DataFrame) -> DataFrame:
     """The profile as text, with one ``min`` and one ``max`` column, for a CSV sink."""
-    low = F.coalesce("min_text", F.col("min_num").cast("string"))
-    high = F.coalesce("max_text", F.col("max_num").cast("string"))
-    columns = {"min": low, "max": high}
-    return profiles.select(*[
-        columns.get(c, F.col(c) if c not in columns else None).cast("string").alias(c)
-        for c in REPORT_COLUMNS
+    columns = {
+        "min": "coalesce(min_text, cast(min_num as string))",
+        "max": "coalesce(max_text, cast(max_num as string))",
+    }
+    return profiles.selectExpr(*[
+        f"cast({columns.get(c, name(c))} as string) as {name(c)}" for c in REPORT_COLUMNS
     ])

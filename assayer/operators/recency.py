@@ -4,11 +4,10 @@ from __future__ import annotations
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from assayer import model
-from assayer.functions.exprs import month_index
+from assayer.functions.exprs import month_index, name, texts
 from assayer.model import Check, local_table, union_all
 
 
@@ -28,14 +27,10 @@ def latency_parts(sources: dict[int, tuple[DataFrame, str, bool]]) -> DataFrame:
     """
     months = []
     for i, (df, field, by_enc_type) in sources.items():
-        counted = F.col("ENC_TYPE").isin(model.ENCOUNTER_TYPES) if by_enc_type else F.lit(True)
-        months.append(
-            df.where(F.col(field).isNotNull()).select(
-                F.lit(i).alias("check_id"),
-                month_index(field).alias("month"),
-                F.when(counted, 1).otherwise(0).cast("bigint").alias("n"),
-            )
-        )
+        counted = f"ENC_TYPE in {texts(model.ENCOUNTER_TYPES)}" if by_enc_type else "true"
+        months.append(df.where(f"{name(field)} is not null").selectExpr(
+            f"{i} as check_id", f"{month_index(field)} as month", f"if({counted}, 1L, 0L) as n",
+        ))
     # A row without a month keeps a check on an empty table in the result.
     spark = months[0].sparkSession
     months.append(local_table(
@@ -44,20 +39,21 @@ def latency_parts(sources: dict[int, tuple[DataFrame, str, bool]]) -> DataFrame:
         [{"check_id": i, "month": None, "n": 0} for i in sources],
     ))
     per_month = union_all(months).groupBy("check_id", "month").agg(F.sum("n").alias("n"))
-    newest_first = Window.partitionBy("check_id").orderBy(F.col("month").desc_nulls_last())
-    ranked = per_month.withColumn("rank", F.dense_rank().over(newest_first))
-    baseline = F.col("rank").between(*model.BASELINE_RANKS)
+    ranked = per_month.selectExpr(
+        "check_id", "n",
+        "dense_rank() over (partition by check_id order by month desc nulls last) as rank",
+    )
+    first, last = model.BASELINE_RANKS
+    baseline = f"rank between {first} and {last}"
     return ranked.groupBy("check_id").agg(
-        F.max(F.when(F.col("rank") == 1, F.col("n"))).alias("newest"),
-        F.coalesce(F.sum(F.when(baseline, F.col("n"))), F.lit(0).cast("bigint")).alias("baseline_rows"),
-        F.count_if(baseline & (F.col("n") > 0)).alias("baseline_months"),
+        F.expr("max(if(rank = 1, n, null)) as newest"),
+        F.expr(f"coalesce(sum(if({baseline}, n, null)), 0L) as baseline_rows"),
+        F.expr(f"count_if({baseline} and n > 0) as baseline_months"),
     )
 
 
 def latency_evidence(sources: dict[int, tuple[DataFrame, str, bool]]) -> DataFrame:
     """newest / (baseline_rows / baseline_months), kept in integers."""
-    return latency_parts(sources).select(
-        "check_id",
-        (F.col("newest") * F.col("baseline_months")).alias("numerator"),
-        F.col("baseline_rows").alias("denominator"),
+    return latency_parts(sources).selectExpr(
+        "check_id", "newest * baseline_months as numerator", "baseline_rows as denominator",
     )

@@ -10,11 +10,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from assayer import model
-from assayer.functions.exprs import missing_or_null, outside
+from assayer.functions.exprs import missing_or_null, name, outside, rows_of, texts
 from assayer.model import Check, union_all
 
 # Aggregates with more output fields than spark.sql.codegen.maxFields (100) lose
@@ -24,12 +24,13 @@ MEASURES_PER_PASS = 30
 
 @dataclass(frozen=True)
 class Measure:
-    """``denominator`` None counts all rows; ``seen`` set: no result row unless it occurs."""
+    """Predicates to count.  ``denominator`` None counts all rows; with ``seen`` the check
+    gives no result row unless that predicate occurs."""
 
     check: Check
-    numerator: Column
-    denominator: Column | None = None
-    seen: Column | None = None
+    numerator: str
+    denominator: str | None = None
+    seen: str | None = None
 
 
 def row_evidence(df: DataFrame, measures: dict[int, Measure]) -> DataFrame:
@@ -43,65 +44,61 @@ def row_evidence(df: DataFrame, measures: dict[int, Measure]) -> DataFrame:
 
 
 def _one_pass(df: DataFrame, items: Sequence[tuple[int, Measure]]) -> DataFrame:
-    counts, rows = [], []
-    for i, m in items:
-        den = F.count(F.lit(1)) if m.denominator is None else F.count_if(m.denominator)
-        seen = F.lit(1) if m.seen is None else F.count_if(m.seen)
-        counts += [
-            F.count_if(m.numerator).alias(f"n{i}"), den.alias(f"d{i}"), seen.alias(f"s{i}"),
-        ]
-        rows.append(F.struct(
-            F.lit(i).alias("check_id"),
-            F.col(f"n{i}").alias("numerator"),
-            F.col(f"d{i}").alias("denominator"),
-            F.col(f"s{i}").cast("bigint").alias("seen"),
-        ))
-    return (
-        df.agg(*counts).select(F.inline(F.array(*rows)))
-        .where("seen > 0").drop("seen")
-    )
+    # Equal predicates are counted once.
+    counted: dict[str, str] = {}
+
+    def count(predicate: str | None) -> str:
+        expression = "count(*)" if predicate is None else f"count_if({predicate})"
+        return counted.setdefault(expression, f"k{len(counted)}")
+
+    rows = [
+        {
+            "check_id": str(i), "numerator": count(m.numerator), "denominator": count(m.denominator),
+            "seen": "1L" if m.seen is None else count(m.seen),
+        }
+        for i, m in items
+    ]
+    totals = df.agg(*[F.expr(f"{expression} as {alias}") for expression, alias in counted.items()])
+    return totals.selectExpr(rows_of(rows)).where("seen > 0").drop("seen")
 
 
 def rows_present(table: str, test: str = "DC 1.02") -> Measure:
     return Measure(
-        Check(test, table, fails="not_above", text=f"{table} has {{value}} rows."),
-        F.lit(True),
+        Check(test, table, fails="not_above", text=f"{table} has {{value}} rows."), "true",
     )
 
 
 def missing_or_unknown(table: str, field: str, test: str, threshold: float) -> Measure:
     """Share of rows where the field is missing, by the field's own notion of missing."""
-    name = field.upper()
+    kind = field.upper()
     coded = missing_or_null(field, model.MISSING_CODES)
-    inpatient = F.col("ENC_TYPE").isin(model.INPATIENT_TYPES)
-    if name in model.INPATIENT_CODED_FIELDS:
-        num, den = coded & inpatient, inpatient
-    elif name in model.INPATIENT_DATE_FIELDS:
-        num, den = F.col(field).isNull() & inpatient, inpatient
-    elif name in model.NULL_ONLY_FIELDS:
-        num, den = F.col(field).isNull(), None
+    absent = f"{name(field)} is null"
+    inpatient = f"ENC_TYPE in {texts(model.INPATIENT_TYPES)}"
+    if kind in model.INPATIENT_CODED_FIELDS:
+        num, den = f"{coded} and {inpatient}", inpatient
+    elif kind in model.INPATIENT_DATE_FIELDS:
+        num, den = f"{absent} and {inpatient}", inpatient
+    elif kind in model.NULL_ONLY_FIELDS:
+        num, den = absent, None
     else:
         num, den = coded, None
-    text = f"{{value}} percent of {table}.{field} is missing or unknown."
-    return Measure(Check(test, table, field, None, threshold, "pct2", "above", text), num, den)
+    message = f"{{value}} percent of {table}.{field} is missing or unknown."
+    return Measure(Check(test, table, field, None, threshold, "pct2", "above", message), num, den)
 
 
 def extreme_values(table: str, field: str, test: str = "DC 2.02") -> Measure:
     """Share of values outside the plausible range (AGE needs a join: ``age.py``)."""
     low, high = model.BOUNDS[field.upper()]
-    den = F.col(field).isNotNull() if field.upper() in model.RECORDED_VALUE_FIELDS else None
-    text = f"{{value}} percent of {table}.{field} is outside {low} to {high}."
-    check = Check(test, table, field, None, model.EXTREME_PCT, "pct2", "above", text)
+    den = f"{name(field)} is not null" if field.upper() in model.RECORDED_VALUE_FIELDS else None
+    message = f"{{value}} percent of {table}.{field} is outside {low} to {high}."
+    check = Check(test, table, field, None, model.EXTREME_PCT, "pct2", "above", message)
     return Measure(check, outside(field, low, high), den)
 
 
 def normal_range(table: str, field: str, test: str = "DC 3.10") -> Measure:
     """Share of numeric results of mapped tests whose normal range is fully given."""
-    scope = F.col("LAB_LOINC").isNotNull() & F.col("RESULT_NUM").isNotNull()
-    full = (
-        F.col("NORM_RANGE_LOW").isNotNull() & F.col("NORM_RANGE_HIGH").isNotNull()
-        & F.col("NORM_MODIFIER_LOW").isNotNull() & F.col("NORM_MODIFIER_HIGH").isNotNull()
-    )
-    text = f"{{value}} percent of numeric results in {table} have a full normal range."
-    check = Check(test, table, field, None, model.NORMAL_RANGE_PCT, "pct2", "below", text)
-    return Measure(check, scope & full, scope)
+    scope = "LAB_LOINC is not null and RESULT_NUM is not null"
+    full = " and ".join(f"{c} is not null" for c in model.NORMAL_RANGE_FIELDS)
+    message = f"{{value}} percent of numeric results in {table} have a full normal range."
+    check = Check(test, table, field, None, model.NORMAL_RANGE_PCT, "pct2", "below", message)
+    return Measure(check, f"{scope} and {full}", scope)

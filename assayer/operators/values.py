@@ -6,6 +6,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from assayer.functions.exprs import name, rows_of
 from assayer.model import Check, evidence_rows, local_table, union_all
 
 
@@ -29,10 +30,9 @@ def value_counts(tables: dict[str, DataFrame], fields: dict[int, tuple[str, str]
     for i, (table, field) in fields.items():
         by_table.setdefault(table, []).append((i, field))
     long = union_all([
-        tables[table].select(F.inline(F.array(*[
-            F.struct(F.lit(i).alias("check_id"), F.col(field).cast("string").alias("value"))
-            for i, field in items
-        ])))
+        tables[table].selectExpr(rows_of(
+            {"check_id": str(i), "value": f"cast({name(field)} as string)"} for i, field in items
+        ))
         for table, items in by_table.items()
     ])
     return (

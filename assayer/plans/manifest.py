@@ -130,8 +130,7 @@ class Compiler:
                 self.work.latency[i] = (table, field, by_type)
         elif test == "DC 3.10":
             self._measure(table, row.normal_range(table, field, test), [
-                "LAB_LOINC", "RESULT_NUM", "NORM_RANGE_LOW", "NORM_RANGE_HIGH",
-                "NORM_MODIFIER_LOW", "NORM_MODIFIER_HIGH",
+                "LAB_LOINC", "RESULT_NUM", *model.NORMAL_RANGE_FIELDS,
             ])
 
     def _has(self, table: str, *columns: str) -> bool:

@@ -1,10 +1,14 @@
-"""Exact percentiles of many columns at once, without one task ever holding a column.
+"""Distinct counts and exact percentiles of many columns at once, without one task ever
+holding a column.
 
 Spark's ``percentile`` keeps all distinct values of a column in one buffer.  Here the
 value counts are summed per cell of an order-preserving grid, which tells in which cell
 each wanted rank lies; only the values of those cells, at most two per percentile and
 column, go on.  A second, finer grid inside each such cell repeats this, so values
 crowded into a small part of their range are spread as well.  What is left is ranked.
+
+Every step reads ``counts`` with the same columns and no filter of its own: pruned
+differently, it would be several exchanges over several scans instead of one reused.
 """
 
 from __future__ import annotations
@@ -17,29 +21,18 @@ from assayer.functions.exprs import text
 CELLS = 1 << 16
 
 
-def _place(pool: DataFrame, keys: list[str], scale: str, cell: str) -> DataFrame:
-    """Add the grid cell of each value; the grid spans the finite values of its group.
-
-    ``scale`` maps a value to its position, monotonically.
-    """
-    finite = "not isnan(value) and abs(value) <> double('infinity')"
-    ranges = pool.groupBy(*keys).agg(
-        F.expr(f"min(if({finite}, value, null)) as low"),
-        F.expr(f"max(if({finite}, value, null)) as high"),
-    )
-
+def _cell(scale: str, cells: str) -> str:
+    """Grid cell of ``value`` between ``low`` and ``high``, by a monotone ``scale``."""
     def at(column: str) -> str:
         # Halves keep the span of the widest doubles finite.
         return f"({scale.format(column)} / 2)"
 
     span = f"({at('high')} - {at('low')})"
-    inside = f"cast(floor(({at('value')} - {at('low')}) / nullif({span}, 0D) * {CELLS - 1}) as int)"
-    placed = (
-        f"case when isnan(value) then {CELLS + 1} when value = double('infinity') then {CELLS}"
+    inside = f"cast(floor(({at('value')} - {at('low')}) / nullif({span}, 0D) * {cells}) as int)"
+    return (
+        f"case when isnan(value) then {CELLS + 2} when value = double('infinity') then {CELLS + 1}"
         f" when value = -double('infinity') then -1 else coalesce({inside}, 0) end"
     )
-    # Groups are the profiled columns, later at most two cells per percentile and column.
-    return pool.join(F.broadcast(ranges), keys).selectExpr(*pool.columns, f"{placed} as {cell}")
 
 
 def _holding(df: DataFrame, keys: list[str], order: str, wanted: str, keep: list[str]) -> DataFrame:
@@ -50,12 +43,13 @@ def _holding(df: DataFrame, keys: list[str], order: str, wanted: str, keep: list
     window = f"sum(n) over (partition by {', '.join(keys)} order by {order})"
     ranked = df.selectExpr("*", f"start + {window} as next").selectExpr("*", "next - n as first")
     return ranked.selectExpr(
-        *keep, "first as start", f"filter({wanted}, w -> w.rank >= first and w.rank < next) as hits"
+        *keep, "first as begin", f"filter({wanted}, w -> w.rank >= first and w.rank < next) as hits"
     ).where("size(hits) > 0")
 
 
-def exact_percentiles(counts: DataFrame, percentiles: dict[str, float]) -> DataFrame:
-    """``(column_id, <name>…)`` with linear interpolation between neighbouring ranks.
+def value_statistics(counts: DataFrame, percentiles: dict[str, float]) -> DataFrame:
+    """``(column_id, nd, <name>…)``: distinct values, and percentiles interpolated
+    linearly between neighbouring ranks.
 
     ``counts`` holds ``(column_id, value, n)`` with distinct non-NULL double values.
     """
@@ -64,29 +58,42 @@ def exact_percentiles(counts: DataFrame, percentiles: dict[str, float]) -> DataF
         for name, p in percentiles.items()
         for side, edge in (("low", "floor"), ("high", "ceil"))
     ) + ")"
-
-    # Logarithmic first, so that outliers do not swallow the grid.
-    coarse = _place(counts, ["column_id"], "(signum({0}) * log1p(abs({0})))", "cell")
-    # The windows here run over cells, at most CELLS + 3 per group, never over rows.
-    cells = coarse.groupBy("column_id", "cell").agg(F.sum("n").alias("n")).selectExpr(
-        "*", "sum(n) over (partition by column_id) as total", "0L as start"
+    finite = "not isnan(value) and abs(value) <> double('infinity')"
+    columns = counts.groupBy("column_id").agg(
+        F.expr("count_if(n > 0) as nd"),  # reads n, as all other uses of counts do
+        F.expr(f"min(if({finite}, value, null)) as low"),
+        F.expr(f"max(if({finite}, value, null)) as high"),
     )
+    # Broadcasts below hold a row per profiled column, or two per percentile and column.
+    # The first grid is logarithmic, so that outliers do not swallow it.
+    coarse = counts.join(F.broadcast(columns), "column_id").selectExpr(
+        "column_id", "value", "n", "nd",
+        f"{_cell('(signum({0}) * log1p(abs({0})))', f'least(nd, {CELLS}L)')} as cell",
+    )
+    # The windows run over cells, at most CELLS + 4 per group, until few values are left.
+    cells = coarse.groupBy("column_id", "cell").agg(
+        F.sum("n").alias("n"), F.min("value").alias("low"), F.max("value").alias("high"),
+    ).selectExpr("*", "0L as start", "sum(n) over (partition by column_id) as total")
     cell = ["column_id", "cell"]
-    first = _holding(cells, ["column_id"], "cell", ranks, [*cell, "total"])
-    near = coarse.join(F.broadcast(first.select(*cell)), cell)
-
-    fine = _place(near, cell, "{0}", "subcell")
+    first = _holding(cells, ["column_id"], "cell", ranks, [*cell, "low", "high", "total"])
+    fine = coarse.join(F.broadcast(first.select(*cell, "low", "high")), cell).selectExpr(
+        *cell, "value", "n", "nd", f"{_cell('{0}', f'{CELLS}L')} as subcell"
+    )
     subcell = [*cell, "subcell"]
-    subcells = fine.groupBy(*subcell).agg(F.sum("n").alias("n")).join(F.broadcast(first), cell)
+    subcells = fine.groupBy(*subcell).agg(F.sum("n").alias("n")).join(
+        F.broadcast(first.selectExpr(*cell, "total", "begin as start", "hits")), cell
+    )
     second = _holding(subcells, cell, "subcell", "hits", [*subcell, "total"])
+    left = fine.join(F.broadcast(second.withColumnRenamed("begin", "start")), subcell)
     found = _holding(
-        fine.join(F.broadcast(second), subcell), subcell, "value", "hits", ["column_id", "value", "total"]
-    ).selectExpr("column_id", "value", "total", "inline(hits)")
-
-    edges = found.groupBy("column_id").agg(F.max("total").alias("total"), *[
-        F.expr(f"max(if(name = '{name}_{side}', value, null)) as {name}_{side}")
-        for name in percentiles for side in ("low", "high")
-    ])
+        left, subcell, "value", "hits", ["column_id", "value", "nd", "total"]
+    ).selectExpr("column_id", "value", "nd", "total", "inline(hits)")
+    edges = found.groupBy("column_id").agg(
+        F.max("nd").alias("nd"), F.max("total").alias("total"), *[
+            F.expr(f"max(if(name = '{name}_{side}', value, null)) as {name}_{side}")
+            for name in percentiles for side in ("low", "high")
+        ],
+    )
 
     def interpolated(name: str, p: float) -> str:
         position = f"({p}D * (total - 1))"
@@ -94,4 +101,4 @@ def exact_percentiles(counts: DataFrame, percentiles: dict[str, float]) -> DataF
         low, high = f"{name}_low", f"{name}_high"
         return f"if({low} = {high}, {low}, {low} * (1 - {share}) + {high} * {share}) as {name}"
 
-    return edges.selectExpr("column_id", *[interpolated(name, p) for name, p in percentiles.items()])
+    return edges.selectExpr("column_id", "nd", *[interpolated(name, p) for name, p in percentiles.items()])

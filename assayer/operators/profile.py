@@ -16,9 +16,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from assayer import model
-from assayer.functions.exprs import half_up, name, rows_of, texts
+from assayer.functions.exprs import half_up, name, rows_of, texts as literals
 from assayer.model import local_table, union_all
-from assayer.operators.percentiles import exact_percentiles
+from assayer.operators.percentiles import value_statistics
 from assayer.sources.registry import Tables
 
 # Four aggregates per column and spark.sql.codegen.maxFields = 100.
@@ -98,22 +98,19 @@ def _profile_rows(df, table, metadata, only) -> DataFrame:
         _basics(df, fields[s:s + COLUMNS_PER_PASS], ids, set(f.name for f in numbers))
         for s in range(0, len(fields), COLUMNS_PER_PASS)
     ])
-    as_numbers = [f for f in numbers if _widens_to_double(f.dataType)]
-    as_texts = [f for f in fields if f not in as_numbers]
-    distinct = []
+    # Text columns, and numbers that lose digits as doubles, count distinct text values.
+    as_texts = [f for f in fields if f in texts or not _widens_to_double(f.dataType)]
+    distinct = None
     if as_texts:
         values = _long(df, as_texts, ids, "string").distinct()
-        distinct.append(values.groupBy("column_id").agg(F.count(F.lit(1)).alias("nd")))
+        distinct = values.groupBy("column_id").agg(F.count(F.lit(1)).alias("nd_text"))
+    stats = None
     if numbers:
         counts = (
             _long(df, numbers, ids, "double")
             .groupBy("column_id", "value").agg(F.count(F.lit(1)).alias("n"))
         )
-        distinct.append(
-            counts.where(F.col("column_id").isin([ids[f.name] for f in as_numbers]))
-            .groupBy("column_id").agg(F.count(F.lit(1)).alias("nd"))
-        )
-        ranks = exact_percentiles(counts, PERCENTILES)
+        stats = value_statistics(counts, PERCENTILES)
     names = local_table(
         df.sparkSession,
         pa.schema([("column_id", pa.int32()), ("table", pa.string()), ("field", pa.string()),
@@ -122,11 +119,16 @@ def _profile_rows(df, table, metadata, only) -> DataFrame:
           "live_ordinal": live.index(f.name) + 1,
           "kind": "numeric" if f in numbers else "text"} for f in fields],
     )
-    out = names.join(basics, "column_id").join(union_all(distinct), "column_id", "left")
-    if numbers:
-        out = out.join(ranks, "column_id", "left")
+    out = names.join(basics, "column_id")
+    if distinct is not None:
+        out = out.join(distinct, "column_id", "left")
+    else:
+        out = out.selectExpr("*", "cast(null as bigint) as nd_text")
+    if stats is not None:
+        out = out.join(stats, "column_id", "left")
     else:
-        out = out.selectExpr("*", *[f"cast(null as double) as {p}" for p in PERCENTILES])
+        out = out.selectExpr("*", "cast(null as bigint) as nd",
+                             *[f"cast(null as double) as {p}" for p in PERCENTILES])
     if metadata is not None:
         spec = metadata.select("table", "field", "required", "ordinal")
         out = out.join(spec, ["table", "field"], "left")
@@ -136,10 +138,11 @@ def _profile_rows(df, table, metadata, only) -> DataFrame:
     def percent(part: str) -> str:
         return f"{half_up(part, 'cn', 1000)} / 10D"
 
+    nd = "coalesce(nd_text, nd, 0L)"
     columns = {
-        "nd": "coalesce(nd, 0L)",
+        "nd": nd,
         "ordinal": "coalesce(ordinal, live_ordinal)",
-        "pct_dist": percent("coalesce(nd, 0L)"),
+        "pct_dist": percent(nd),
         "pct_null": percent("n_null"),
         "pct_missing": percent("n_ni"),
     }
@@ -169,7 +172,7 @@ def _basics(df: DataFrame, fields: list[T.StructField], ids: dict[str, int], num
         else:
             coded = isinstance(f.dataType, T.StringType)
             if coded:
-                counts.append(f"count_if({c} in {texts(model.MISSING_CODES)}) as ni{i}")
+                counts.append(f"count_if({c} in {literals(model.MISSING_CODES)}) as ni{i}")
             row |= {
                 "n_ni": f"ni{i}" if coded else "0L", "min_text": f"cast(lo{i} as string)",
                 "max_text": f"cast(hi{i} as string)", "min_num": "cast(null as double)",

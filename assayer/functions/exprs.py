@@ -8,6 +8,9 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
+from pyspark.sql import DataFrame
+from pyspark.sql import types as T
+
 
 def name(column: str) -> str:
     """A quoted column name."""
@@ -61,3 +64,20 @@ def month_index(field: str) -> str:
 def flag(condition: str) -> str:
     """1 where true, 0 where false or NULL."""
     return f"(case when {condition} then 1 else 0 end)"
+
+
+def column_type(df: DataFrame, column: str) -> T.DataType:
+    """Type of a column, whatever the case of its name."""
+    return next(f.dataType for f in df.schema.fields if f.name.upper() == column.upper())
+
+
+def comparable(members: Iterable[tuple[DataFrame, str]]) -> list[str]:
+    """Expressions that make key columns of several tables fit into one column.
+
+    Keys of one kind keep their type, numbers are widened by Spark.  Only a mix of text
+    and other types is compared as text.
+    """
+    members = list(members)
+    is_text = [isinstance(column_type(df, c), T.StringType) for df, c in members]
+    mixed = any(is_text) and not all(is_text)
+    return [f"cast({name(c)} as string)" if mixed else name(c) for _, c in members]

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from assayer import model
+from assayer.functions.exprs import comparable
 from assayer.model import Check, union_all
 
 
@@ -43,16 +44,14 @@ def duplication_evidence(sources: dict[int, tuple[DataFrame, str, str]]) -> Data
     formed first and hashed on both columns, so a hot field value is spread over the
     reducers; only its partial counts meet.
     """
+    items = comparable((df, field) for df, field, _ in sources.values())
+    units = comparable((df, unit) for df, _, unit in sources.values())
     pairs = union_all([
-        df.select(
-            F.lit(i).alias("check_id"),
-            F.col(field).cast("string").alias("item"),
-            F.col(unit).cast("string").alias("unit"),
-        )
-        for i, (df, field, unit) in sources.items()
+        df.selectExpr(f"{i} as check_id", f"{item} as item", f"{unit} as unit")
+        for (i, (df, *_)), item, unit in zip(sources.items(), items, units)
     ]).distinct()
-    items = pairs.groupBy("check_id", "item").agg(F.count("unit").alias("units"))
-    counted = items.groupBy("check_id").agg(
+    per_item = pairs.groupBy("check_id", "item").agg(F.count("unit").alias("units"))
+    counted = per_item.groupBy("check_id").agg(
         F.count_if(F.col("units") > 1).alias("numerator"),
         F.count("item").alias("denominator"),
     )

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from assayer import model
-from assayer.functions.exprs import name, rows_of
+from assayer.functions.exprs import comparable, name, rows_of
 from assayer.model import Check, union_all
 
 # Bits of a signed long, one of them for the parent.
@@ -69,11 +69,10 @@ def key_presence(
     tables: dict[str, DataFrame], members: dict[tuple[str, str], int]
 ) -> DataFrame:
     """One row per distinct non-NULL key, with the bits of the (table, column) holding it."""
+    keys = comparable((tables[table], column) for table, column in members)
     return union_all([
-        tables[table].where(f"{name(column)} is not null").selectExpr(
-            f"cast({name(column)} as string) as key", f"{bit}L as bit"
-        )
-        for (table, column), bit in members.items()
+        tables[table].where(f"{name(column)} is not null").selectExpr(f"{key} as key", f"{bit}L as bit")
+        for ((table, column), bit), key in zip(members.items(), keys)
     ]).groupBy("key").agg(F.bit_or("bit").alias("bits"))
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from assayer.functions.exprs import name, rows_of
+from assayer.functions.exprs import column_type, comparable, name, rows_of
 from assayer.model import Check, evidence_rows, union_all
 
 
@@ -22,18 +22,21 @@ def replication_check(child: str, field: str, test: str = "DC 1.10") -> Check:
                  text=f"{{value}} copies of {field} in {child} differ from their source.")
 
 
-def _comparable(df: DataFrame, field: str) -> str:
+def _value(df: DataFrame, field: str) -> str:
     """The field as compared: moments as days."""
-    if isinstance(df.schema[field].dataType, (T.TimestampType, T.TimestampNTZType)):
+    if isinstance(column_type(df, field), (T.TimestampType, T.TimestampNTZType)):
         return f"cast({name(field)} as date)"
     return name(field)
 
 
-def _side(df: DataFrame, key: str, fields: list[str], own: list[str], sides: list[str], side: str) -> DataFrame:
+def _side(
+    df: DataFrame, key: str, key_expr: str, fields: list[str], own: list[str], sides: list[str], side: str
+) -> DataFrame:
     """Key and replicated fields of one table, marked with the table they come from."""
     return df.where(f"{name(key)} is not null").selectExpr(
-        f"cast({name(key)} as string) as key",
-        *[f"{_comparable(df, f) if f in own else 'null'} as v{n}" for n, f in enumerate(fields)],
+        f"{key_expr} as key",
+        *[f"cast({_value(df, f)} as string) as v{n}" if f in own else f"cast(null as string) as v{n}"
+          for n, f in enumerate(fields)],
         *[f"{int(s == side)}L as {s}" for s in sides],
     )
 
@@ -50,10 +53,11 @@ def replication_evidence(
     sides = ["p", *side_of.values()]
     fields = list(dict.fromkeys(field for _, field in copies.values()))
 
-    parts = [_side(tables[parent], key, fields, fields, sides, "p")]
-    for child in children:
+    parent_key, *child_keys = comparable((tables[t], key) for t in [parent, *children])
+    parts = [_side(tables[parent], key, parent_key, fields, fields, sides, "p")]
+    for child, child_key in zip(children, child_keys):
         own = [f for f in fields if (child, f) in copies.values()]
-        parts.append(_side(tables[child], key, fields, own, sides, side_of[child]))
+        parts.append(_side(tables[child], key, child_key, fields, own, sides, side_of[child]))
 
     combined = union_all(parts).groupBy("key", *[f"v{n}" for n in range(len(fields))]).agg(
         *[F.sum(s).alias(s) for s in sides]
@@ -62,7 +66,7 @@ def replication_evidence(
     by_value = (
         combined.repartition("key")
         .selectExpr("key", *sides, rows_of(
-            {"field": str(n), "value": f"cast(v{n} as string)"} for n in range(len(fields))
+            {"field": str(n), "value": f"v{n}"} for n in range(len(fields))
         ))
         .where("value is not null")
         .groupBy("key", "field", "value").agg(*[F.sum(s).alias(s) for s in sides])

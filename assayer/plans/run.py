@@ -105,7 +105,10 @@ def _schema_results(
     out = []
     for test in work.schema_tests:
         if test == "DC 1.01":
-            names = model.REQUIRED_TABLES[version[:3]]
+            release = version.split("_")[0]
+            if release not in model.REQUIRED_TABLES:
+                raise ValueError(f"no list of required tables for version {version}")
+            names = model.REQUIRED_TABLES[release]
             out.append(schema.required_tables(tables, manifest_frame(
                 manifest.sparkSession, [(n, None, test) for n in names]).select("table"), test))
             continue

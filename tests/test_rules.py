@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime
+import decimal
 
 import pytest
 
@@ -90,7 +91,6 @@ def test_field_conformance(spark):
 
 
 def test_declared_lengths(spark):
-    spark.sql("create or replace temp view unused as select 1")
     spec = frame(spark, SPEC, ("D", "A", 1, "N", None, "string", 2), ("D", "B", 2, "N", None, "string", 2),
                  ("D", "C", 3, "N", None, "string", 2))
     from pyspark.sql import types as T
@@ -173,6 +173,17 @@ def test_many_children_share_the_parent(spark):
     assert e.count() == 70
 
 
+@pytest.mark.parametrize("child, parent, orphans", [
+    ("K int", "K decimal(10,2)", 1), ("K string", "K int", 1), ("K bigint", "K string", 1),
+])
+def test_keys_of_different_types(spark, child, parent, orphans):
+    text = {"K string": str, "K decimal(10,2)": decimal.Decimal}
+    make = lambda schema, *v: frame(spark, schema, *[(text.get(schema, int)(x),) for x in v])
+    tables = {"CHILD": make(child, 1, 2), "PARENT": make(parent, 1, 3)}
+    e = links.link_evidence(tables, {0: links.Link("CHILD", "k")}, [("PARENT", "K")])
+    assert one(e)["numerator"] == orphans
+
+
 def test_patients_per_encounter(spark):
     tables = {"DIAGNOSIS": frame(spark, "PATID string", ("a",), ("a",)),
               "ENCOUNTER": frame(spark, "PATID string", ("a",), ("b",), ("c",))}

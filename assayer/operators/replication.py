@@ -9,6 +9,8 @@ weight out of a key repeated in a third of the rows before rows are gathered by
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,23 +24,11 @@ def replication_check(child: str, field: str, test: str = "DC 1.10") -> Check:
                  text=f"{{value}} copies of {field} in {child} differ from their source.")
 
 
-def _value(df: DataFrame, field: str) -> str:
-    """The field as compared: moments as days."""
+def _as_days(df: DataFrame, field: str) -> DataFrame:
+    """Moments are compared as days."""
     if isinstance(column_type(df, field), (T.TimestampType, T.TimestampNTZType)):
-        return f"cast({name(field)} as date)"
-    return name(field)
-
-
-def _side(
-    df: DataFrame, key: str, key_expr: str, fields: list[str], own: list[str], sides: list[str], side: str
-) -> DataFrame:
-    """Key and replicated fields of one table, marked with the table they come from."""
-    return df.where(f"{name(key)} is not null").selectExpr(
-        f"{key_expr} as key",
-        *[f"cast({_value(df, f)} as string) as v{n}" if f in own else f"cast(null as string) as v{n}"
-          for n, f in enumerate(fields)],
-        *[f"{int(s == side)}L as {s}" for s in sides],
-    )
+        return df.withColumn(field, F.col(field).cast("date"))
+    return df
 
 
 def replication_evidence(
@@ -53,11 +43,24 @@ def replication_evidence(
     sides = ["p", *side_of.values()]
     fields = list(dict.fromkeys(field for _, field in copies.values()))
 
-    parent_key, *child_keys = comparable((tables[t], key) for t in [parent, *children])
-    parts = [_side(tables[parent], key, parent_key, fields, fields, sides, "p")]
-    for child, child_key in zip(children, child_keys):
-        own = [f for f in fields if (child, f) in copies.values()]
-        parts.append(_side(tables[child], key, child_key, fields, own, sides, side_of[child]))
+    # The fields each table brings; the parent brings all of them.
+    members = {parent: fields} | {t: [f for f in fields if (t, f) in copies.values()] for t in children}
+    frames = {}
+    for table, own in members.items():
+        frames[table] = reduce(_as_days, own, tables[table].where(f"{name(key)} is not null"))
+    key_of = dict(zip(members, comparable((df, key) for df in frames.values())))
+    value_of = {}
+    for f in fields:
+        holders = [t for t, own in members.items() if f in own]
+        value_of |= dict(zip(((t, f) for t in holders), comparable((frames[t], f) for t in holders)))
+    parts = [
+        df.selectExpr(
+            f"{key_of[table]} as key",
+            *[f"{value_of.get((table, f), 'null')} as v{n}" for n, f in enumerate(fields)],
+            *[f"{int(s == side_of.get(table, 'p'))}L as {s}" for s in sides],
+        )
+        for table, df in frames.items()
+    ]
 
     combined = union_all(parts).groupBy("key", *[f"v{n}" for n in range(len(fields))]).agg(
         *[F.sum(s).alias(s) for s in sides]
@@ -66,7 +69,7 @@ def replication_evidence(
     by_value = (
         combined.repartition("key")
         .selectExpr("key", *sides, rows_of(
-            {"field": str(n), "value": f"v{n}"} for n in range(len(fields))
+            {"field": str(n), "value": f"cast(v{n} as string)"} for n in range(len(fields))
         ))
         .where("value is not null")
         .groupBy("key", "field", "value").agg(*[F.sum(s).alias(s) for s in sides])

@@ -1,4 +1,10 @@
-"""Extreme ages: at death, or at a given day for those without a death date."""
+"""Extreme ages: at death, or at a given day for those without a death date.
+
+Births and deaths of a person meet on one time line, and a birth counts the deaths that
+follow it within the plausible ages by a window over that line: nothing is joined and no
+pair of a birth and a death is formed.  Rows are counted per (person, day) first, so an
+identifier repeated in a third of the rows shrinks to its distinct days.
+"""
 
 from __future__ import annotations
 
@@ -8,9 +14,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from assayer import model
+from assayer.functions.exprs import comparable
 from assayer.model import Check
 
 DAYS_PER_YEAR = 365  # the rule divides days by 365, leap years included
+COUNTS = ["births", "extreme_now", "persons", "deaths", "undated"]
 
 
 def extreme_age_check(table: str, field: str = "AGE", test: str = "DC 2.02") -> Check:
@@ -29,34 +37,38 @@ def extreme_age_evidence(
     """Persons of implausible age, over the rows of ``demographic``.
 
     A person with several death rows counts once per row in the numerator.  ``unit`` is
-    ``days`` (days / 365) or ``years`` (difference of the calendar years).  Both sides are
-    counted per (person, date) before the join, so duplicated identifiers shrink to their
-    distinct dates instead of multiplying.
+    ``days`` (days / 365) or ``years`` (difference of the calendar years).
     """
     low, high = model.BOUNDS["AGE"]
-    births = demographic.groupBy(
-        F.col("PATID").alias("patid"), F.col("BIRTH_DATE").cast("date").alias("born")
-    ).agg(F.count(F.lit(1)).alias("persons"))
-    deaths = death.where(F.col("PATID").isNotNull()).groupBy(
-        F.col("PATID").alias("patid"), F.col("DEATH_DATE").cast("date").alias("died")
-    ).agg(F.count(F.lit(1)).alias("deaths"))
-    today = F.current_date() if as_of is None else F.lit(as_of)
-    until = F.coalesce("died", today)
     if unit == "days":
-        extreme = ~F.datediff(until, "born").between(low * DAYS_PER_YEAR, high * DAYS_PER_YEAR)
+        point, scale = "datediff(cast({} as date), date'1970-01-01')", DAYS_PER_YEAR
     else:
-        extreme = ~(F.year(until) - F.year("born")).between(low, high)
-    aged = (
-        births.where(F.col("born").isNotNull()).join(deaths, "patid", "left")
-        .select(
-            F.when(extreme, F.col("persons") * F.coalesce("deaths", F.lit(1)))
-            .otherwise(0).cast("bigint").alias("numerator"),
-            F.lit(0).cast("bigint").alias("denominator"),
-        )
+        point, scale = "year(cast({} as date))", 1
+    youngest, oldest = low * scale, high * scale
+    today = "current_date()" if as_of is None else f"date'{as_of.isoformat()}'"
+    person, dead = comparable([(demographic, "PATID"), (death, "PATID")])
+
+    born = point.format("BIRTH_DATE")
+    extreme_now = f"coalesce({point.format(today)} - {born} not between {youngest} and {oldest}, false)"
+    births = demographic.selectExpr(
+        f"{person} as person", f"{born} as at", "if(BIRTH_DATE is null, 0L, 1L) as births",
+        f"if({extreme_now}, 1L, 0L) as extreme_now", "1L as persons", "0L as deaths", "0L as undated",
     )
-    rows = demographic.agg(F.count(F.lit(1)).alias("denominator")).select(
-        F.lit(0).cast("bigint").alias("numerator"), "denominator"
+    deaths = death.where("PATID is not null").selectExpr(
+        f"{dead} as person", f"{point.format('DEATH_DATE')} as at",
+        "0L as births", "0L as extreme_now", "0L as persons",
+        "if(DEATH_DATE is null, 0L, 1L) as deaths", "if(DEATH_DATE is null, 1L, 0L) as undated",
     )
-    return aged.unionByName(rows).agg(
-        F.sum("numerator").alias("numerator"), F.sum("denominator").alias("denominator")
-    ).select(F.lit(check_id).alias("check_id"), "numerator", "denominator")
+    per_day = births.unionByName(deaths).groupBy("person", "at").agg(*[F.sum(c).alias(c) for c in COUNTS])
+    per_person = per_day.selectExpr(
+        "person", *COUNTS,
+        "births * coalesce(sum(deaths) over (partition by person order by at"
+        f" range between {youngest} following and {oldest} following), 0L) as plausible",
+    ).groupBy("person").agg(*[F.sum(c).alias(c) for c in [*COUNTS, "plausible"]])
+    return per_person.agg(
+        F.expr(
+            "coalesce(sum(births * deaths - plausible"
+            " + extreme_now * if(deaths + undated = 0, 1L, undated)), 0L) as numerator"
+        ),
+        F.expr("coalesce(sum(persons), 0L) as denominator"),
+    ).selectExpr(f"{check_id} as check_id", "numerator", "denominator")

@@ -43,6 +43,7 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     parser.add_argument("--version", default="5.1")
     parser.add_argument("--as-of", type=datetime.date.fromisoformat)
     parser.add_argument("--min-flags", type=int, default=1)
+    parser.add_argument("--lengths", choices=["declared", "observed"], default="declared")
     parser.add_argument("--union-parents", action="store_true")
     parser.add_argument("--only", nargs=2, metavar=("FIELD", "VALUE"), help="profile only these rows")
     return parser.parse_args(argv)
@@ -90,7 +91,7 @@ def main(argv: list[str] | None = None) -> None:
     elif args.valuesets:
         sets = control.read_valuesets(spark, args.valuesets)
     settings = Settings(staging=args.version.endswith("_STG"), union_parents=args.union_parents,
-                        min_flags=args.min_flags, unlisted=unlisted)
+                        min_flags=args.min_flags, unlisted=unlisted, lengths=args.lengths)
     today = datetime.date.today()
     results = run_checks(tables, manifest, metadata, sets, args.version, args.as_of or today, settings)
     sinks.write_results(results, f"{args.out}/results", today, args.out_format)

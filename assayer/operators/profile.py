@@ -9,6 +9,7 @@ and read the value counts of the second pass.
 from __future__ import annotations
 
 from collections.abc import Iterable
+from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -69,7 +70,9 @@ def profile(
     ``only`` restricts the profile to rows where a field equals a value.  ``metadata``
     adds ``required`` and the specified order; without it the live order is used.
     """
-    return _ordered(_profile_rows(df, table, metadata, only))
+    if only is not None:
+        df = df.where(F.col(only[0]) == F.lit(only[1]))
+    return _profile({table: df}, metadata)
 
 
 def profile_tables(
@@ -77,55 +80,72 @@ def profile_tables(
     names: Iterable[str] | None = None,
     metadata: DataFrame | None = None,
 ) -> DataFrame:
-    """Profiles of all named tables that are registered."""
-    wanted = [n for n in (names or model.PROFILED_TABLES) if n in tables]
-    return _ordered(union_all([_profile_rows(tables[n], n, metadata, None) for n in wanted]))
-
-
-def _ordered(rows: DataFrame) -> DataFrame:
-    return rows.orderBy("table", "ordinal", "field")
-
-
-def _profile_rows(df, table, metadata, only) -> DataFrame:
-    if only is not None:
-        df = df.where(F.col(only[0]) == F.lit(only[1]))
-    texts, numbers = text_columns(df), numeric_columns(df)
-    fields = texts + numbers
-    ids = {f.name: i for i, f in enumerate(fields)}
-    live = [f.name for f in df.schema.fields]
+    """Profiles of all named tables that are registered.
 
+    The value counts of all tables are one shuffle, and so are their percentiles.
+    """
+    wanted = [n for n in (names or model.PROFILED_TABLES) if n in tables]
+    if not wanted:
+        raise ValueError("none of the named tables is registered")
+    return _profile({n: tables[n] for n in wanted}, metadata)
+
+
+@dataclass(frozen=True)
+class Profiled:
+    """A column to profile, with the number that stands for it in long form."""
+
+    column_id: int
+    table: str
+    name: str
+    ordinal: int
+    dtype: T.DataType
+    numeric: bool
+
+    @property
+    def as_text(self) -> bool:
+        """Whether distinct values are counted as text: also for numbers that lose digits as doubles."""
+        return not self.numeric or not _widens_to_double(self.dtype)
+
+
+def _columns(tables: Tables) -> list[Profiled]:
+    out = []
+    for table, df in tables.items():
+        live = [f.name for f in df.schema.fields]
+        numbers = numeric_columns(df)
+        for f in text_columns(df) + numbers:
+            out.append(Profiled(len(out), table, f.name, live.index(f.name) + 1, f.dataType, f in numbers))
+    return out
+
+
+def _profile(tables: Tables, metadata: DataFrame | None) -> DataFrame:
+    columns = _columns(tables)
+    if not columns:
+        raise ValueError("no column to profile")
+    spark = next(iter(tables.values())).sparkSession
+    own = {t: [c for c in columns if c.table == t] for t in tables}
     basics = union_all([
-        _basics(df, fields[s:s + COLUMNS_PER_PASS], ids, set(f.name for f in numbers))
-        for s in range(0, len(fields), COLUMNS_PER_PASS)
+        _basics(tables[t], fields[s:s + COLUMNS_PER_PASS])
+        for t, fields in own.items() for s in range(0, len(fields), COLUMNS_PER_PASS)
     ])
-    # Text columns, and numbers that lose digits as doubles, count distinct text values.
-    as_texts = [f for f in fields if f in texts or not _widens_to_double(f.dataType)]
-    distinct = None
-    if as_texts:
-        values = _long(df, as_texts, ids, "string").distinct()
-        distinct = values.groupBy("column_id").agg(F.count(F.lit(1)).alias("nd_text"))
-    stats = None
-    if numbers:
-        counts = (
-            _long(df, numbers, ids, "double")
-            .groupBy("column_id", "value").agg(F.count(F.lit(1)).alias("n"))
-        )
-        stats = value_statistics(counts, PERCENTILES)
     names = local_table(
-        df.sparkSession,
+        spark,
         pa.schema([("column_id", pa.int32()), ("table", pa.string()), ("field", pa.string()),
                    ("live_ordinal", pa.int32()), ("kind", pa.string())]),
-        [{"column_id": ids[f.name], "table": table, "field": f.name.upper(),
-          "live_ordinal": live.index(f.name) + 1,
-          "kind": "numeric" if f in numbers else "text"} for f in fields],
+        [{"column_id": c.column_id, "table": c.table, "field": c.name.upper(), "live_ordinal": c.ordinal,
+          "kind": "numeric" if c.numeric else "text"} for c in columns],
     )
     out = names.join(basics, "column_id")
-    if distinct is not None:
+
+    texts = _long(tables, [c for c in columns if c.as_text], "string")
+    if texts is not None:
+        distinct = texts.distinct().groupBy("column_id").agg(F.count(F.lit(1)).alias("nd_text"))
         out = out.join(distinct, "column_id", "left")
     else:
         out = out.selectExpr("*", "cast(null as bigint) as nd_text")
-    if stats is not None:
-        out = out.join(stats, "column_id", "left")
+    numbers = _long(tables, [c for c in columns if c.numeric], "double")
+    if numbers is not None:
+        counts = numbers.groupBy("column_id", "value").agg(F.count(F.lit(1)).alias("n"))
+        out = out.join(value_statistics(counts, PERCENTILES), "column_id", "left")
     else:
         out = out.selectExpr("*", "cast(null as bigint) as nd",
                              *[f"cast(null as double) as {p}" for p in PERCENTILES])
@@ -139,47 +159,55 @@ def _profile_rows(df, table, metadata, only) -> DataFrame:
         return f"{half_up(part, 'cn', 1000)} / 10D"
 
     nd = "coalesce(nd_text, nd, 0L)"
-    columns = {
+    derived = {
         "nd": nd,
         "ordinal": "coalesce(ordinal, live_ordinal)",
         "pct_dist": percent(nd),
         "pct_null": percent("n_null"),
         "pct_missing": percent("n_ni"),
     }
-    return out.selectExpr(*[f"{columns.get(c, name(c))} as {name(c)}" for c in PROFILE_COLUMNS])
-
-
-def _long(df: DataFrame, fields: list[T.StructField], ids: dict[str, int], kind: str) -> DataFrame:
-    """Non-NULL values in long form ``(column_id, value)``."""
-    return df.selectExpr(rows_of(
-        {"column_id": str(ids[f.name]), "value": f"cast({name(f.name)} as {kind})"} for f in fields
-    )).where("value is not null")
+    return out.selectExpr(
+        *[f"{derived.get(c, name(c))} as {name(c)}" for c in PROFILE_COLUMNS]
+    ).orderBy("table", "ordinal", "field")
+
+
+def _long(tables: Tables, columns: list[Profiled], kind: str) -> DataFrame | None:
+    """Non-NULL values in long form ``(column_id, value)``, one scan per table."""
+    parts = [
+        df.selectExpr(rows_of(
+            {"column_id": str(c.column_id), "value": f"cast({name(c.name)} as {kind})"}
+            for c in columns if c.table == table
+        ))
+        for table, df in tables.items() if any(c.table == table for c in columns)
+    ]
+    return union_all(parts).where("value is not null") if parts else None
 
 
-def _basics(df: DataFrame, fields: list[T.StructField], ids: dict[str, int], numeric: set[str]) -> DataFrame:
+def _basics(df: DataFrame, columns: list[Profiled]) -> DataFrame:
+    """Counts, ranges and means, in one aggregate without a grouping key."""
     counts, rows = ["count(*) as cn"], []
-    for f in fields:
-        i, c = ids[f.name], name(f.name)
-        counts += [f"count({c}) as c{i}", f"min({c}) as lo{i}", f"max({c}) as hi{i}"]
+    for c in columns:
+        i, value = c.column_id, name(c.name)
+        counts += [f"count({value}) as c{i}", f"min({value}) as lo{i}", f"max({value}) as hi{i}"]
         row = {"column_id": str(i), "cn": "cn", "n_null": f"cn - c{i}"}
-        if f.name in numeric:
-            counts.append(f"avg({c}) as m{i}")
+        if c.numeric:
+            counts.append(f"avg({value}) as m{i}")
             row |= {
                 "n_ni": "cast(null as bigint)", "min_text": "cast(null as string)",
                 "max_text": "cast(null as string)", "min_num": f"cast(lo{i} as double)",
                 "max_num": f"cast(hi{i} as double)", "mean": f"cast(m{i} as double)",
             }
         else:
-            coded = isinstance(f.dataType, T.StringType)
+            coded = isinstance(c.dtype, T.StringType)
             if coded:
-                counts.append(f"count_if({c} in {literals(model.MISSING_CODES)}) as ni{i}")
+                counts.append(f"count_if({value} in {literals(model.MISSING_CODES)}) as ni{i}")
             row |= {
                 "n_ni": f"ni{i}" if coded else "0L", "min_text": f"cast(lo{i} as string)",
                 "max_text": f"cast(hi{i} as string)", "min_num": "cast(null as double)",
                 "max_num": "cast(null as double)", "mean": "cast(null as double)",
             }
         rows.append(row)
-    return df.agg(*[F.expr(c) for c in counts]).selectExpr(rows_of(rows))
+    return df.agg(*[F.expr(e) for e in counts]).selectExpr(rows_of(rows))
 
 
 def report(profiles: DataFrame) -> DataFrame:

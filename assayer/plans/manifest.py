@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 
 from assayer import model
 from assayer.model import Check
@@ -20,7 +21,10 @@ class Settings:
     """Choices that apply to a whole run.
 
     ``staging``: encounter checks use ``ENCOUNTER_STG``.  ``union_parents``: with staging,
-    a key found in the staging or the production parent is no orphan.
+    a key found in the staging or the production parent is no orphan.  ``min_flags``: parts
+    of its rule a code must break to be an error.  ``include_empty``: report encounter types
+    without events.  ``unlisted``: how a field without a value set reads.  ``lengths``:
+    compare ``declared`` or ``observed`` lengths with the specification.
     """
 
     staging: bool = False
@@ -28,6 +32,7 @@ class Settings:
     min_flags: int = 1
     include_empty: bool = False
     unlisted: str = "valid"
+    lengths: str = "declared"
 
     @property
     def encounter(self) -> str:
@@ -232,8 +237,6 @@ def derive_manifest(
     return manifest_frame(spark, rows)
 
 
-def manifest_frame(spark, rows: list[tuple[str | None, str | None, str]]) -> DataFrame:
-    import pyarrow as pa
-
+def manifest_frame(spark: SparkSession, rows: list[tuple[str | None, str | None, str]]) -> DataFrame:
     schema = pa.schema([("table", pa.string()), ("field", pa.string()), ("test", pa.string())])
     return model.local_table(spark, schema, [{"table": t, "field": f, "test": x} for t, f, x in rows])

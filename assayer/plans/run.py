@@ -52,7 +52,7 @@ def run_checks(
     evidence = _evidence(tables, work, manifest, valuesets, as_of, settings)
     if evidence is not None:
         parts.append(judge(evidence, work.checks))
-    parts += _schema_results(tables, work, manifest, metadata, version)
+    parts += _schema_results(tables, work, manifest, metadata, version, settings)
     if not parts:
         return judge(evidence_rows(manifest.sparkSession, []), {})
     return union_all(parts)
@@ -100,7 +100,8 @@ def _evidence(
 
 
 def _schema_results(
-    tables: Tables, work: Workload, manifest: DataFrame, metadata: DataFrame | None, version: str
+    tables: Tables, work: Workload, manifest: DataFrame, metadata: DataFrame | None, version: str,
+    settings: Settings,
 ) -> list[DataFrame]:
     out = []
     for test in work.schema_tests:
@@ -118,7 +119,7 @@ def _schema_results(
             failures = schema.required_fields(tables, metadata, test)
             text = "All required fields are present."
         else:
-            failures = schema.field_conformance(tables, metadata, test)
+            failures = schema.field_conformance(tables, metadata, test, settings.lengths)
             text = "All fields conform to the specification."
         out.append(schema.pass_when_empty(failures, test, text))
     return out

@@ -13,7 +13,7 @@ from compare import reference, spark_rows, sql_rows
 from assayer.model import RESULT_COLUMNS
 from assayer.operators import row
 from assayer.operators.profile import profile, report
-from assayer.plans.manifest import derive_manifest, manifest_frame
+from assayer.plans.manifest import Settings, derive_manifest, manifest_frame
 from assayer.plans.run import run_checks
 from assayer.sources import control, registry, sinks
 from suite import fixtures
@@ -84,6 +84,12 @@ def test_absent_tables_and_columns_give_a_row_without_result(spark, tables):
     assert [(r["numerator"], r["result"]) for r in got] == [(None, None)] * 3
 
 
+def test_observed_lengths_in_a_run(spark, tables):
+    found = run(spark, tables, [(None, None, "DC 1.04")], settings=Settings(lengths="observed"))
+    lengths = {(r["table"], r["field"]) for r in found.where("`group` = 'length'").collect()}
+    assert ("DIAGNOSIS", "DX") in lengths and ("DEMOGRAPHIC", "SEX") not in lengths
+
+
 def test_unknown_test_gives_no_row(spark, tables):
     assert run(spark, tables, [("DIAGNOSIS", "DX", "DC 9.99")]).collect() == []
 
@@ -107,6 +113,28 @@ def test_plans_have_no_products_and_no_global_window(spark, tables):
         assert not re.search(r"Window \[[^\]]*\], \[\]", plan)
 
 
+def test_filters_and_columns_reach_the_files(spark, tables, tmp_path):
+    stored = {}
+    for name in ("ENCOUNTER", "DIAGNOSIS", "DEMOGRAPHIC"):
+        tables[name].write.parquet(f"{tmp_path}/{name}")
+        stored[name] = spark.read.parquet(f"{tmp_path}/{name}")
+
+    def scans(rows):
+        plan = final_plan(run(spark, stored, rows)).split("== Initial Plan ==")[0]
+        return [
+            (set(re.findall(r"(\w+):", m[2])), m[1])
+            for m in re.finditer(r"PushedFilters: \[([^\]]*)\], ReadSchema: struct<([^>]*)>", plan)
+        ]
+
+    months = scans([("DIAGNOSIS", "ADMIT_DATE", "DC 3.07")])
+    assert months == [({"ADMIT_DATE", "ENC_TYPE"}, "IsNotNull(ADMIT_DATE)")]
+    events = scans([("DIAGNOSIS", "DX", "DC 3.01")])
+    assert {frozenset(c) for c, _ in events} == {frozenset({"ENC_TYPE"}), frozenset({"ENC_TYPE", "DX_TYPE"})}
+    assert all("In(ENC_TYPE" in f for _, f in events)
+    orphans = scans([("DIAGNOSIS", None, "DC 1.08"), ("ENCOUNTER", None, "DC 1.08")])
+    assert orphans == [({"PATID"}, "IsNotNull(PATID)")] * 3
+
+
 def test_links_shuffle_the_parent_once(spark, tables):
     rows = [(t, None, "DC 1.08") for t in ("ENCOUNTER", "DIAGNOSIS", "PROCEDURES", "PRESCRIBING", "CONDITION")]
     rows += [("DIAGNOSIS", "DX", "DC 3.04"), ("PROCEDURES", "PX", "DC 3.05")]

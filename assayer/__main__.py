@@ -90,8 +90,8 @@ def main(argv: list[str] | None = None) -> None:
         sets, unlisted = control.reference_valuesets(spark.table(args.reference_table)), "invalid"
     elif args.valuesets:
         sets = control.read_valuesets(spark, args.valuesets)
-    settings = Settings(staging=args.version.endswith("_STG"), union_parents=args.union_parents,
-                        min_flags=args.min_flags, unlisted=unlisted, lengths=args.lengths)
+    settings = Settings(union_parents=args.union_parents, min_flags=args.min_flags,
+                        unlisted=unlisted, lengths=args.lengths)
     today = datetime.date.today()
     results = run_checks(tables, manifest, metadata, sets, args.version, args.as_of or today, settings)
     sinks.write_results(results, f"{args.out}/results", today, args.out_format)

@@ -10,6 +10,7 @@ their stages side by side.
 from __future__ import annotations
 
 import datetime
+from dataclasses import replace
 
 from pyspark.sql import DataFrame
 
@@ -36,7 +37,9 @@ def run_checks(
     table or column that is not there gives a row without value and result.  ``fused=False``
     plans every manifest row by itself, for comparison.
     """
-    settings = settings or Settings(staging=version.endswith("_STG"))
+    settings = settings or Settings()
+    if version.endswith("_STG"):
+        settings = replace(settings, staging=True)
     rows = [(r["table"], r["field"], r["test"]) for r in manifest.collect()]
     if not fused and len(rows) > 1:
         spark = manifest.sparkSession

@@ -70,7 +70,8 @@ def main() -> None:
 
     def write_tables() -> None:
         for name, df in frames(spark, root).items():
-            df.write.parquet(f"{scratch}/{name}.parquet")
+            # The given files have one row group each; stored tables have many.
+            df.repartition(cpus).write.parquet(f"{scratch}/{name}.parquet")
 
     derive = timed(write_tables)
     tables = {name: spark.read.parquet(f"{scratch}/{name}.parquet") for name in TABLES}

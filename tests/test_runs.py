@@ -123,7 +123,7 @@ def test_filters_and_columns_reach_the_files(spark, tables, tmp_path):
         plan = final_plan(run(spark, stored, rows)).split("== Initial Plan ==")[0]
         return [
             (set(re.findall(r"(\w+):", m[2])), m[1])
-            for m in re.finditer(r"PushedFilters: \[([^\]]*)\], ReadSchema: struct<([^>]*)>", plan)
+            for m in re.finditer(r"PushedFilters: \[(.*?)\], ReadSchema: struct<([^>]*)>", plan)
         ]
 
     months = scans([("DIAGNOSIS", "ADMIT_DATE", "DC 3.07")])

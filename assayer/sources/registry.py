@@ -8,7 +8,6 @@ columns these ask for.
 from __future__ import annotations
 
 from collections.abc import Iterable
-from pathlib import PurePosixPath
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -33,10 +32,8 @@ def open_files(spark: SparkSession, paths: dict[str, str], fmt: str = "parquet",
 
 def open_directory(spark: SparkSession, root: str, names: Iterable[str], suffix: str = ".parquet",
                    fmt: str = "parquet", **options) -> Tables:
-    return open_files(
-        spark, {n: str(PurePosixPath(root) / f"{n}{suffix}") if "://" not in root
-                else f"{root.rstrip('/')}/{n}{suffix}" for n in names}, fmt, **options,
-    )
+    """Tables stored side by side as ``root/<name><suffix>``."""
+    return open_files(spark, {n: f"{root.rstrip('/')}/{n}{suffix}" for n in names}, fmt, **options)
 
 
 def open_database(spark: SparkSession, names: Iterable[str], schema: str | None = None) -> Tables:

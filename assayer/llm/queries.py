@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from assayer.llm import chat, mixing, pii, quality_classifier, quality_rules, url_filter
+from assayer.llm import chat, language_id, mixing, pii, quality_classifier, quality_rules, url_filter
 from assayer.llm.common import table
 
 
@@ -33,9 +33,13 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(table(spark, sf_dir, "documents"))
+
+
 def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op3_url_filter, op5_mixing, op6_chat, op7_pii, op8_quality_rules, op10_quality_classifier)}
+QUERIES = {f.__name__: f for f in (op3_url_filter, op5_mixing, op6_chat, op7_pii, op8_quality_rules, op9_language_id, op10_quality_classifier)}
 ORACLE: dict[str, str] = {}

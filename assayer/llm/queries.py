@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from assayer.llm import chat, language_id, mixing, pii, quality_classifier, quality_rules, url_filter
+from assayer.llm import chat, language_id, minhash, mixing, pii, quality_classifier, quality_rules, url_filter
 from assayer.llm.common import table
 
 
+def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.classes(table(spark, sf_dir, "documents"))
+
+
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_urls(table(spark, sf_dir, "pages"))
 
@@ -41,5 +45,5 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op3_url_filter, op5_mixing, op6_chat, op7_pii, op8_quality_rules, op9_language_id, op10_quality_classifier)}
+QUERIES = {f.__name__: f for f in (op1_minhash, op3_url_filter, op5_mixing, op6_chat, op7_pii, op8_quality_rules, op9_language_id, op10_quality_classifier)}
 ORACLE: dict[str, str] = {}

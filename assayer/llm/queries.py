@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from assayer.llm import chat, language_id, minhash, mixing, pii, quality_classifier, quality_rules, url_filter
+from assayer.llm import chat, embeddings, language_id, minhash, mixing, pii, quality_classifier, quality_rules, url_filter
 from assayer.llm.common import table
 
 
@@ -16,6 +16,10 @@ def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_urls(table(spark, sf_dir, "pages"))
 
 
+def op4_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixture(table(spark, sf_dir, "documents"))
 
@@ -45,5 +49,5 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op1_minhash, op3_url_filter, op5_mixing, op6_chat, op7_pii, op8_quality_rules, op9_language_id, op10_quality_classifier)}
+QUERIES = {f.__name__: f for f in (op1_minhash, op3_url_filter, op4_embeddings, op5_mixing, op6_chat, op7_pii, op8_quality_rules, op9_language_id, op10_quality_classifier)}
 ORACLE: dict[str, str] = {}

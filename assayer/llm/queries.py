@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from assayer.llm import chat, embeddings, language_id, minhash, mixing, pii, quality_classifier, quality_rules, url_filter
+from assayer.llm import byte_bpe, chat, embeddings, language_id, minhash, mixing, pii, quality_classifier, quality_rules, url_filter
 from assayer.llm.common import table
 
 
@@ -12,6 +13,11 @@ def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.classes(table(spark, sf_dir, "documents"))
 
 
+def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return byte_bpe.digests(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+
+
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_urls(table(spark, sf_dir, "pages"))
 
@@ -49,5 +55,5 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op1_minhash, op3_url_filter, op4_embeddings, op5_mixing, op6_chat, op7_pii, op8_quality_rules, op9_language_id, op10_quality_classifier)}
+QUERIES = {f.__name__: f for f in (op1_minhash, op2_byte_bpe, op3_url_filter, op4_embeddings, op5_mixing, op6_chat, op7_pii, op8_quality_rules, op9_language_id, op10_quality_classifier)}
 ORACLE: dict[str, str] = {}

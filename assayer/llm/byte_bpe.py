@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 BUCKETS = 1 << 16
 NONE = 2147483647
-WORDS, SAMPLE_DOCS = 100_000, 16_000
+WORDS, SAMPLE_DOCS = 200_000, 32_000
 
 
 def ranks_of(path: str) -> dict[bytes, int]:
@@ -80,12 +80,17 @@ def token_literals(path: str) -> tuple[str, str]:
     return tuple(f"from_json({quoted(v)}, 'array<string>')" for v in as_json)
 
 
-def fold(word: str, path: str) -> str:
-    """SQL for the ids (array<int>) of a word."""
-    maps = rank_literal(path)
+def bound(sql: str, **literals: str) -> str:
+    """SQL in which ``c.name`` is the literal of that name, written once."""
+    named = ", ".join(f"{value} as {name}" for name, value in literals.items())
+    return f"transform(array(struct({named})), c -> {sql})[0]"
+
+
+def fold(word: str) -> str:
+    """SQL for the ids (array<int>) of a word; ``c.ranks`` is the rank map."""
 
     def rank(key: str) -> str:
-        return f"coalesce({look_up(maps, key)}, {NONE})"
+        return f"coalesce({look_up('c.ranks', key)}, {NONE})"
 
     start = (
         "transform(array(split(w, '')), p -> struct(p as parts, "
@@ -104,7 +109,7 @@ def fold(word: str, path: str) -> str:
         f"if(coalesce(array_min(s.ranks), {NONE}) = {NONE}, s, "
         f"transform(transform(array({place}), m -> struct(m as m, concat(s.parts[m - 1], s.parts[m]) as t)), x -> {merged})[0])"
     )
-    whole = look_up(maps, "w")
+    whole = look_up("c.ranks", "w")
     many = f"aggregate(sequence(1, length(w)), {start}, (s, i) -> {step}, s -> transform(s.parts, t -> {rank('t')}))"
     return (
         f"transform(array(decode(cast({word} as binary), 'ISO-8859-1')), w -> "
@@ -118,7 +123,7 @@ def common_words(docs: DataFrame, path: str, pattern: str, *, most: int, sample:
     part = docs.select("text") if n <= sample else docs.select("text").sample(sample / n, seed=5)
     words = part.select(F.explode(F.expr(pieces_of("text", pattern))).alias("word")).groupBy("word").count()
     top = words.orderBy(F.desc("count"), "word").limit(most).select("word")
-    found = top.repartition(max(2, most // 5000)).select("word", F.expr(fold("word", path)).alias("ids"))
+    found = top.repartition(max(2, most // 5000)).select("word", F.expr(bound(fold("word"), ranks=rank_literal(path))).alias("ids"))
     return {r.word: r.ids for r in found.collect()}
 
 
@@ -131,8 +136,8 @@ def encoded(
     named = docs.withColumn("__text", F.coalesce(F.col(text), F.lit("")))
     words = common_words(named.select(F.col("__text").alias("text")), path, pattern, most=most, sample=sample)
     known = bucketed(words, "array<int>")
-    ids = f"flatten(transform({pieces_of('__text', pattern)}, v -> coalesce({look_up(known, 'v')}, {fold('v', path)})))"
-    return named.withColumn("ids", F.expr(ids)).drop("__text")
+    ids = f"flatten(transform({pieces_of('__text', pattern)}, v -> coalesce({look_up('c.words', 'v')}, {fold('v')})))"
+    return named.withColumn("ids", F.expr(bound(ids, ranks=rank_literal(path), words=known))).drop("__text")
 
 
 def decoded(ids: str, path: str) -> Column:

@@ -114,11 +114,13 @@ def spans_of(text: str, kind: Kind) -> Column:
     )
 
 
-def with_spans(docs: DataFrame, text: str = "text", kinds: tuple[Kind, ...] = KINDS) -> DataFrame:
-    """``docs`` with ``spans``: all kinds in the order listed, each by start.
+def with_spans(
+    docs: DataFrame, text: str = "text", kinds: tuple[Kind, ...] = KINDS, *, to: str = "spans"
+) -> DataFrame:
+    """``docs`` with the column ``to``: spans of all kinds in the order listed, each by start.
 
     Null and empty texts have no spans.  Repeated rows each get theirs.  An existing column
-    ``spans`` is replaced; other columns stay.
+    of that name is replaced; other columns stay.
     """
     found = []
     for kind in kinds:
@@ -126,7 +128,7 @@ def with_spans(docs: DataFrame, text: str = "text", kinds: tuple[Kind, ...] = KI
         found.append(F.when(guard, spans).otherwise(F.expr(NO_SPANS)))
     return (
         docs.withColumn("__text", F.coalesce(F.col(text), F.lit("")))
-        .withColumn("spans", F.concat(*found)).drop("__text")
+        .withColumn(to, F.concat(*found)).drop("__text")
     )
 
 
@@ -141,21 +143,17 @@ def redacted(docs: DataFrame, text: str = "text", kinds: tuple[Kind, ...] = KIND
     fold = (
         f"aggregate({order}, struct(0 as at, cast(array() as array<string>) as out), (a, s) -> "
         "if(s.start < a.at, struct(greatest(a.at, s.end) as at, a.out as out), "
-        "struct(s.end as at, concat(a.out, array(substring(__text, a.at + 1, s.start - a.at), "
+        f"struct(s.end as at, concat(a.out, array(substring({text}, a.at + 1, s.start - a.at), "
         "concat('[', upper(s.kind), ']'))) as out)), "
-        "a -> concat(array_join(a.out, ''), substring(__text, a.at + 1)))"
+        f"a -> concat(array_join(a.out, ''), substring({text}, a.at + 1)))"
     )
-    found = with_spans(docs.withColumn("__text", F.col(text)), "__text", kinds)
-    if "spans" in docs.columns:
-        found = with_spans(docs.withColumn("__keep", F.col("spans")).withColumn("__text", F.col(text)), "__text", kinds)
-    found = found.withColumnRenamed("spans", "__spans")
-    if "__keep" in found.columns:
-        found = found.withColumnRenamed("__keep", "spans")
-    out = found.withColumn(text, F.when(F.size("__spans") > 0, F.expr(fold)).otherwise(F.col("__text")))
+    found = with_spans(docs, text, kinds, to="__spans")
+    changed = F.size("__spans") > 0
+    new = {text: F.when(changed, F.expr(fold)).otherwise(F.col(text))}
     if "n_chars" in docs.columns:
-        changed = F.size("__spans") > 0
-        out = out.withColumn("n_chars", F.when(changed, F.length(text).cast("long")).otherwise(F.col("n_chars")))
-    return out.select(docs.columns)
+        new["__n"] = F.when(changed, F.length(F.expr(fold)).cast("long")).otherwise(F.col("n_chars"))
+        return found.withColumns(new).drop("n_chars").withColumnRenamed("__n", "n_chars").select(docs.columns)
+    return found.withColumns(new).select(docs.columns)
 
 
 def joined(spans: str) -> Column:

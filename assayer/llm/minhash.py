@@ -164,17 +164,38 @@ def signed(docs: DataFrame, *, weighted: bool = False, n_bands: int = BANDS, row
     )
 
 
-def shingled(docs: DataFrame, *, weighted: bool = False) -> DataFrame:
-    """id and set: 32-bit hashes of the shingles."""
+BITS = 1 << 23
+
+
+def bitmap(ids: DataFrame) -> np.ndarray:
+    """A bitmap of the hashed ids, of fixed size (BITS / 8 bytes) whatever their number: the
+    bits are joined by word before at most BITS / 64 words reach the driver."""
+    bit = F.pmod(F.xxhash64("id"), F.lit(BITS))
+    words = ids.select(F.floor(bit / 64).alias("w"), F.expr(f"shiftleft(1L, cast(pmod(xxhash64(id), {BITS}) % 64 as int))").alias("v"))
+    out = np.zeros(BITS // 64, np.int64)
+    for row in words.groupBy("w").agg(F.bit_or("v").alias("v")).toLocalIterator():
+        out[row.w] = row.v
+    return out.view(np.uint64)
+
+
+def shingled(docs: DataFrame, ids: DataFrame, *, weighted: bool = False) -> DataFrame:
+    """id and set (32-bit hashes of the shingles) of the documents in ``ids``.  A bitmap of
+    the ids keeps other texts from being shuffled; where it fills up, the semi join after it
+    does the work alone."""
+    wanted = bitmap(ids)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            at = batch.column(2).to_numpy().astype(np.uint64)
+            batch = batch.filter(pa.array((wanted[(at >> U(6)).astype(np.int64)] >> (at & U(63))) & U(1) > 0))
             ids, texts = batch.column(0), batch.column(1).to_pylist()
             for begin, end in in_parts(texts):
                 sets = [np.unique((s >> U(32)).astype(np.uint32)).view(np.int32) for s in _sets(texts[begin:end], weighted)]
                 yield pa.RecordBatch.from_arrays([ids.slice(begin, end - begin), pa.array(sets, pa.list_(pa.int32()))], names=["id", "set"])
 
-    return docs.select("id", "text").mapInArrow(run, "id long, set array<int>")
+    place = F.pmod(F.xxhash64("id"), F.lit(BITS)).alias("place")
+    sets = docs.select("id", "text", place).mapInArrow(run, "id long, set array<int>")
+    return sets.join(ids, "id", "left_semi").dropDuplicates(["id"])
 
 
 def ties(keyed: DataFrame) -> DataFrame:
@@ -193,7 +214,7 @@ def ties(keyed: DataFrame) -> DataFrame:
 def verified(pairs: DataFrame, docs: DataFrame, *, similar: float = SIMILAR, weighted: bool = False) -> DataFrame:
     """The pairs whose sets have a Jaccard similarity of ``similar`` or more."""
     ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    sets = stored(shingled(docs.join(ids, "id", "left_semi").dropDuplicates(["id"]), weighted=weighted))
+    sets = stored(shingled(docs, ids, weighted=weighted))
     one = pairs.join(sets.select(F.col("id").alias("a"), F.col("set").alias("sa")), "a")
     both = one.join(sets.select(F.col("id").alias("b"), F.col("set").alias("sb")), "b")
     fits = F.least(F.size("sa"), F.size("sb")) >= similar * F.greatest(F.size("sa"), F.size("sb"))

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from assayer.llm import byte_bpe, chat, embeddings, language_id, minhash, mixing, pii, quality_classifier, quality_rules, url_filter
 from assayer.llm.common import table
+from assayer.llm.oracle import ORACLE  # noqa: F401
 
 
 def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -56,4 +57,3 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_minhash, op2_byte_bpe, op3_url_filter, op4_embeddings, op5_mixing, op6_chat, op7_pii, op8_quality_rules, op9_language_id, op10_quality_classifier)}
-ORACLE: dict[str, str] = {}

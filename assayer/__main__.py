@@ -43,7 +43,9 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     parser.add_argument("--version", default="5.1")
     parser.add_argument("--as-of", type=datetime.date.fromisoformat)
     parser.add_argument("--min-flags", type=int, default=1)
-    parser.add_argument("--lengths", choices=["declared", "observed"], default="declared")
+    parser.add_argument("--lengths", choices=["auto", "declared", "observed"], default="auto")
+    parser.add_argument("--include-empty", action="store_true", help="report encounter types without events")
+    parser.add_argument("--age-unit", choices=["days", "years"], default="days")
     parser.add_argument("--union-parents", action="store_true")
     parser.add_argument("--only", nargs=2, metavar=("FIELD", "VALUE"), help="profile only these rows")
     return parser.parse_args(argv)
@@ -66,6 +68,10 @@ def _tables(spark: SparkSession, args: argparse.Namespace) -> Tables:
     return found
 
 
+def _columns(df) -> set[str]:
+    return {c.upper() for c in df.columns}
+
+
 def main(argv: list[str] | None = None) -> None:
     args = _arguments(argv)
     spark = SparkSession.builder.appName("assayer").getOrCreate()
@@ -75,11 +81,11 @@ def main(argv: list[str] | None = None) -> None:
         if args.only:
             field, value = args.only
             for name in args.names or list(tables):
-                if name in tables and field in tables[name].columns:
+                if name in tables and field.upper() in _columns(tables[name]):
                     rows = report(profile(tables[name], name, metadata, (field, value)))
-                    sinks.write_profile(rows, f"{args.out}/profile/{name}", (field, value), args.out_format)
+                    sinks.write_profile(rows, f"{args.out}/profile_filtered", (field, value), args.out_format)
         else:
-            rows = report(profile_tables(tables, args.names or model.PROFILED_TABLES, metadata))
+            rows = report(profile_tables(tables, args.names, metadata))
             sinks.write_profile(rows, f"{args.out}/profile", fmt=args.out_format)
         return
     if not args.manifest:
@@ -91,7 +97,8 @@ def main(argv: list[str] | None = None) -> None:
     elif args.valuesets:
         sets = control.read_valuesets(spark, args.valuesets)
     settings = Settings(union_parents=args.union_parents, min_flags=args.min_flags,
-                        unlisted=unlisted, lengths=args.lengths)
+                        unlisted=unlisted, lengths=args.lengths,
+                        include_empty=args.include_empty, age_unit=args.age_unit)
     today = datetime.date.today()
     results = run_checks(tables, manifest, metadata, sets, args.version, args.as_of or today, settings)
     sinks.write_results(results, f"{args.out}/results", today, args.out_format)
@@ -99,16 +106,16 @@ def main(argv: list[str] | None = None) -> None:
         return
     asked = [
         (r["table"], r["field"]) for r in manifest.where("test = 'DC 1.06'").distinct().collect()
-        if r["table"] in tables and r["field"] in tables[r["table"]].columns
+        if r["table"] in tables and (r["field"] or "").upper() in _columns(tables[r["table"]])
     ]
     if asked:
         invalid = values.invalid_values(tables, asked, sets, unlisted)
-        sinks.write_invalid_values(invalid, f"{args.out}/invalid_values", args.out_format)
-        units = [(t, f) for t, f in asked if f in model.UNIT_FIELDS]
+        sinks.write_invalid_values(invalid, f"{args.out}/invalid_values", args.out_format, today)
+        units = [(t, f) for t, f in asked if f.upper() in model.UNIT_FIELDS]
         if units and args.units:
             known = control.read_units(spark, args.units)
             found = values.unit_validity(values.invalid_values(tables, units, sets, unlisted), known)
-            sinks.write_unit_validity(found, f"{args.out}/unit_validity", args.out_format)
+            sinks.write_unit_validity(found, f"{args.out}/unit_validity", args.out_format, today)
 
 
 if __name__ == "__main__":

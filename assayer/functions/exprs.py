@@ -48,17 +48,28 @@ def half_up(numerator: str, denominator: str, multiplier: int) -> str:
 
 
 def missing_or_null(field: str, codes: list[str]) -> str:
-    """True where the field is NULL or one of the coded flavours of missing."""
-    return f"coalesce({name(field)} in {texts(codes)}, true)"
+    """True where the field is NULL or one of the coded flavours of missing.
+
+    Values are compared as text, so a date or a number is missing only when NULL.
+    """
+    return f"coalesce(cast({name(field)} as string) in {texts(codes)}, true)"
 
 
 def outside(field: str, low: float, high: float) -> str:
-    """True where a recorded value lies outside the bounds; never for NULL."""
-    return f"({name(field)} not between {low} and {high})"
+    """True where a recorded value lies outside the bounds; never for NULL, nor for text
+    that is no number, which is no extreme value."""
+    return f"(try_cast({name(field)} as double) not between {low} and {high})"
 
 
 def month_index(field: str) -> str:
-    return f"(year({name(field)}) * 100 + month({name(field)}))"
+    """Year and month as one number; NULL for text that is no date."""
+    day = f"try_cast({name(field)} as date)"
+    return f"(year({day}) * 100 + month({day}))"
+
+
+def saturated(total: str) -> str:
+    """A decimal total as BIGINT, the largest one in place of anything above."""
+    return f"cast(least({total}, 9223372036854775807) as bigint)"
 
 
 def flag(condition: str) -> str:

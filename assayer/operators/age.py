@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from assayer import model
-from assayer.functions.exprs import comparable
+from assayer.functions.exprs import comparable, saturated
 from assayer.model import Check
 
 DAYS_PER_YEAR = 365  # the rule divides days by 365, leap years included
@@ -41,9 +41,9 @@ def extreme_age_evidence(
     """
     low, high = model.BOUNDS["AGE"]
     if unit == "days":
-        point, scale = "datediff(cast({} as date), date'1970-01-01')", DAYS_PER_YEAR
+        point, scale = "datediff(try_cast({} as date), date'1970-01-01')", DAYS_PER_YEAR
     else:
-        point, scale = "year(cast({} as date))", 1
+        point, scale = "year(try_cast({} as date))", 1
     youngest, oldest = low * scale, high * scale
     today = "current_date()" if as_of is None else f"date'{as_of.isoformat()}'"
     person, dead = comparable([(demographic, "PATID"), (death, "PATID")])
@@ -51,24 +51,26 @@ def extreme_age_evidence(
     born = point.format("BIRTH_DATE")
     extreme_now = f"coalesce({point.format(today)} - {born} not between {youngest} and {oldest}, false)"
     births = demographic.selectExpr(
-        f"{person} as person", f"{born} as at", "if(BIRTH_DATE is null, 0L, 1L) as births",
+        f"{person} as person", f"{born} as at", "if(try_cast(BIRTH_DATE as date) is null, 0L, 1L) as births",
         f"if({extreme_now}, 1L, 0L) as extreme_now", "1L as persons", "0L as deaths", "0L as undated",
     )
     deaths = death.where("PATID is not null").selectExpr(
         f"{dead} as person", f"{point.format('DEATH_DATE')} as at",
         "0L as births", "0L as extreme_now", "0L as persons",
-        "if(DEATH_DATE is null, 0L, 1L) as deaths", "if(DEATH_DATE is null, 1L, 0L) as undated",
+        "if(try_cast(DEATH_DATE as date) is null, 0L, 1L) as deaths", "if(try_cast(DEATH_DATE as date) is null, 1L, 0L) as undated",
     )
     per_day = births.unionByName(deaths).groupBy("person", "at").agg(*[F.sum(c).alias(c) for c in COUNTS])
     per_person = per_day.selectExpr(
         "person", *COUNTS,
-        "births * coalesce(sum(deaths) over (partition by person order by at"
+        "cast(births as decimal(19,0)) * coalesce(sum(deaths) over (partition by person order by at"
         f" range between {youngest} following and {oldest} following), 0L) as plausible",
     ).groupBy("person").agg(*[F.sum(c).alias(c) for c in [*COUNTS, "plausible"]])
     return per_person.agg(
         F.expr(
-            "coalesce(sum(births * deaths - plausible"
-            " + extreme_now * if(deaths + undated = 0, 1L, undated)), 0L) as numerator"
+            saturated(
+                "coalesce(sum(cast(births as decimal(19,0)) * deaths - plausible"
+                " + cast(extreme_now as decimal(19,0)) * if(deaths + undated = 0, 1L, undated)), 0)"
+            ) + " as numerator"
         ),
         F.expr("coalesce(sum(persons), 0L) as denominator"),
     ).selectExpr(f"{check_id} as check_id", "numerator", "denominator")

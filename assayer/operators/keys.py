@@ -40,22 +40,22 @@ def duplication_evidence(sources: dict[int, tuple[DataFrame, str, str]]) -> Data
     """Per check, field values tied to more than one non-NULL unit over distinct values.
 
     ``sources`` maps check id to (table, field, unit).  The NULL field value counts as a
-    group in the numerator and not in the denominator.  Distinct (field, unit) pairs are
-    formed first and hashed on both columns, so a hot field value is spread over the
-    reducers; only its partial counts meet.
+    group in the numerator and not in the denominator.  A value has several units when its
+    least and greatest differ: one aggregate, combined before the shuffle, so a hot value
+    reaches its reducer as one row per task.
     """
     items = comparable((df, field) for df, field, _ in sources.values())
     units = comparable((df, unit) for df, _, unit in sources.values())
-    pairs = union_all([
+    rows = union_all([
         df.selectExpr(f"{i} as check_id", f"{item} as item", f"{unit} as unit")
         for (i, (df, *_)), item, unit in zip(sources.items(), items, units)
-    ]).distinct()
-    per_item = pairs.groupBy("check_id", "item").agg(F.count("unit").alias("units"))
+    ])
+    per_item = rows.groupBy("check_id", "item").agg(F.min("unit").alias("least"), F.max("unit").alias("greatest"))
     counted = per_item.groupBy("check_id").agg(
-        F.count_if(F.col("units") > 1).alias("numerator"),
+        F.count_if(F.col("least") != F.col("greatest")).alias("numerator"),
         F.count("item").alias("denominator"),
     )
-    empty = model.evidence_rows(pairs.sparkSession, [(i, 0, 0) for i in sources])
+    empty = model.evidence_rows(rows.sparkSession, [(i, 0, 0) for i in sources])
     return _sum_by_check(counted, empty)
 
 

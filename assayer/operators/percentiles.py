@@ -63,12 +63,14 @@ def value_statistics(counts: DataFrame, percentiles: dict[str, float]) -> DataFr
         F.expr("count_if(n > 0) as nd"),  # reads n, as all other uses of counts do
         F.expr(f"min(if({finite}, value, null)) as low"),
         F.expr(f"max(if({finite}, value, null)) as high"),
+        F.expr(f"min(if({finite} and value <> 0, abs(value), null)) as tiny"),
     )
     # Broadcasts below hold a row per profiled column, or two per percentile and column.
-    # The first grid is logarithmic, so that outliers do not swallow it.
+    # The first grid is logarithmic from the smallest value on, so that neither outliers nor
+    # values crowded near zero swallow it.
     coarse = counts.join(F.broadcast(columns), "column_id").selectExpr(
         "column_id", "value", "n", "nd",
-        f"{_cell('(signum({0}) * log1p(abs({0})))', f'least(nd, {CELLS}L)')} as cell",
+        f"{_cell('(signum({0}) * if({0} = 0, 0D, 1 + ln(abs({0})) - ln(tiny)))', f'least(nd, {CELLS}L)')} as cell",
     )
     # The windows run over cells, at most CELLS + 4 per group, until few values are left.
     cells = coarse.groupBy("column_id", "cell").agg(

@@ -80,11 +80,12 @@ def profile_tables(
     names: Iterable[str] | None = None,
     metadata: DataFrame | None = None,
 ) -> DataFrame:
-    """Profiles of all named tables that are registered.
+    """Profiles of all named tables that are registered; of every registered one by default
+    (``model.PROFILED_TABLES`` names the usual ones).
 
     The value counts of all tables are one shuffle, and so are their percentiles.
     """
-    wanted = [n for n in (names or model.PROFILED_TABLES) if n in tables]
+    wanted = [n for n in (names or tables) if n in tables]
     if not wanted:
         raise ValueError("none of the named tables is registered")
     return _profile({n: tables[n] for n in wanted}, metadata)

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from assayer.functions.exprs import column_type, comparable, name, rows_of
+from assayer.functions.exprs import column_type, comparable, name, rows_of, saturated
 from assayer.model import Check, evidence_rows, union_all
 
 
@@ -25,7 +25,9 @@ def replication_check(child: str, field: str, test: str = "DC 1.10") -> Check:
 
 
 def _as_days(df: DataFrame, field: str) -> DataFrame:
-    """Moments are compared as days."""
+    """Admission moments are compared as days; other moments as they are."""
+    if field.upper() != "ADMIT_DATE":
+        return df
     if isinstance(column_type(df, field), (T.TimestampType, T.TimestampNTZType)):
         return df.withColumn(field, F.col(field).cast("date"))
     return df
@@ -77,22 +79,22 @@ def replication_evidence(
     by_key = by_value.groupBy("key", "field").agg(
         F.sum("p").alias("p"),
         *[F.sum(c).alias(c) for c in side_of.values()],
-        *[F.expr(f"sum(p * {c}) as same_{c}") for c in side_of.values()],
+        *[F.expr(f"sum(cast(p as decimal(19,0)) * {c}) as same_{c}") for c in side_of.values()],
     )
     totals = by_key.groupBy("field").agg(*[
         F.expr(e)
         for c in side_of.values()
-        for e in (f"sum(p * {c}) as pairs_{c}", f"sum(same_{c}) as same_{c}")
+        for e in (f"sum(cast(p as decimal(19,0)) * {c}) as pairs_{c}", f"sum(same_{c}) as same_{c}")
     ])
     rows = totals.selectExpr(rows_of(
         {
             "check_id": str(i),
-            "numerator": f"if(field = {fields.index(f)}, pairs_{side_of[t]} - same_{side_of[t]}, 0L)",
-            "denominator": f"if(field = {fields.index(f)}, pairs_{side_of[t]}, 0L)",
+            "numerator": f"if(field = {fields.index(f)}, pairs_{side_of[t]} - same_{side_of[t]}, 0)",
+            "denominator": f"if(field = {fields.index(f)}, pairs_{side_of[t]}, 0)",
         }
         for i, (t, f) in copies.items()
     ))
     empty = evidence_rows(totals.sparkSession, [(i, 0, 0) for i in copies])
     return rows.unionByName(empty).groupBy("check_id").agg(
-        F.sum("numerator").alias("numerator"), F.sum("denominator").alias("denominator")
+        *[F.expr(f"{saturated(f'sum({c})')} as {c}") for c in ("numerator", "denominator")]
     )

@@ -63,17 +63,23 @@ def field_conformance(
 
     An absent column deviates in type and name, and in length when it has one.  With
     ``lengths="declared"`` the live declared length must equal the specified one; with
-    ``"observed"`` no value may be longer, which suits files, where strings carry no
-    length.
+    ``"observed"`` no value may be longer; ``"auto"`` takes the declared length where there
+    is one and else the observed one, which suits files, where strings carry no length.
     """
     live = catalog(metadata.sparkSession, tables)
     dtype = metadata.join(live, ["table", "field", "dtype"], "left_anti").select("table", "field")
     name = metadata.join(live, ["table", "field"], "left_anti").select("table", "field")
     spec = metadata.where("length is not null").select("table", "field", F.col("length").alias("spec"))
-    found = live.select("table", "field", "length") if lengths == "declared" else observed_lengths(tables, metadata)
-    fits = F.col("length") == F.col("spec")
-    if lengths == "observed":
-        fits = F.coalesce(F.col("length"), F.lit(0)) <= F.col("spec")
+    declared = live.select("table", "field", "length", F.lit(True).alias("exact"))
+    if lengths == "declared":
+        found = declared
+    else:
+        known = declared.where("length is not null" if lengths == "auto" else "false")
+        rest = metadata.join(known, ["table", "field"], "left_anti")
+        found = known.unionByName(observed_lengths(tables, rest).withColumn("exact", F.lit(False)))
+    fits = F.when(F.col("exact"), F.col("length") == F.col("spec")).otherwise(
+        F.coalesce(F.col("length"), F.lit(0)) <= F.col("spec")
+    )
     length = (
         spec.join(found.withColumn("present", F.lit(True)), ["table", "field"], "left")
         .where(~F.coalesce(F.col("present") & fits, F.lit(False)))

@@ -47,9 +47,9 @@ def _allowed(counts: DataFrame, fields: dict[int, tuple[str, str]], valuesets: D
     wanted = local_table(
         counts.sparkSession,
         pa.schema([("check_id", pa.int32()), ("table", pa.string()), ("field", pa.string())]),
-        [{"check_id": i, "table": production_name(t), "field": f} for i, (t, f) in fields.items()],
+        [{"check_id": i, "table": production_name(t).upper(), "field": f.upper()} for i, (t, f) in fields.items()],
     )
-    sets = valuesets.select("table", "field", F.col("item").cast("string").alias("value"))
+    sets = valuesets.select(F.upper("table").alias("table"), F.upper("field").alias("field"), F.col("item").cast("string").alias("value"))
     return wanted.join(sets, ["table", "field"]).select("check_id", "value").distinct()
 
 

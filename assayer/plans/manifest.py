@@ -24,7 +24,8 @@ class Settings:
     a key found in the staging or the production parent is no orphan.  ``min_flags``: parts
     of its rule a code must break to be an error.  ``include_empty``: report encounter types
     without events.  ``unlisted``: how a field without a value set reads.  ``lengths``:
-    compare ``declared`` or ``observed`` lengths with the specification.
+    compare ``declared`` or ``observed`` lengths with the specification, or (``auto``) the
+    declared one where there is one.  ``age_unit``: ``days`` (divided by 365) or ``years``.
     """
 
     staging: bool = False
@@ -32,7 +33,8 @@ class Settings:
     min_flags: int = 1
     include_empty: bool = False
     unlisted: str = "valid"
-    lengths: str = "declared"
+    lengths: str = "auto"
+    age_unit: str = "days"
 
     @property
     def encounter(self) -> str:
@@ -57,6 +59,12 @@ class Workload:
     schema_tests: list[str]
 
 
+#: Tests that ask about one field.
+OF_FIELDS = frozenset({
+    "DC 1.05", "DC 1.06", "DC 1.10", "DC 1.11", "DC 1.12", "DC 2.02", "DC 3.07", "DC 3.11", *model.MISSING_PCT,
+})
+
+
 class Compiler:
     """Sorts manifest rows into a workload.  Unknown test ids give nothing."""
 
@@ -67,7 +75,9 @@ class Compiler:
         self.work = Workload({}, {}, {}, {}, {}, {}, {}, {}, {}, {}, [], [])
 
     def add(self, table: str | None, field: str | None, test: str) -> None:
-        if test in ("DC 1.01", "DC 1.03", "DC 1.04"):
+        if test in OF_FIELDS and not (table and field):
+            self._unmeasured(table, field, test, f"{test} needs a table and a field.")
+        elif test in ("DC 1.01", "DC 1.03", "DC 1.04"):
             if test not in self.work.schema_tests:
                 self.work.schema_tests.append(test)
         elif test == "DC 1.02":
@@ -111,6 +121,8 @@ class Compiler:
                 needs = [c for c in (spec.code, spec.type_field) if c]
                 for measure in codes.code_errors(table, test, self.settings.min_flags):
                     self._measure(table, measure, needs)
+            else:
+                self._unmeasured(table, field, test, f"{table} has no rule for codes.")
         elif test == "DC 2.02" and field.upper() == "AGE":
             i, ok = self._on(age.extreme_age_check(table, field, test),
                              (table, PATIENT, "BIRTH_DATE"), ("DEATH", PATIENT, "DEATH_DATE"))
@@ -118,6 +130,8 @@ class Compiler:
                 self.work.ages[i] = table
         elif test == "DC 2.02" and field.upper() in model.BOUNDS:
             self._measure(table, row.extreme_values(table, field, test), [field])
+        elif test == "DC 2.02":
+            self._unmeasured(table, field, test, f"{field} has no bounds.")
         elif test in ("DC 3.01", "DC 3.02"):
             self._events(table, field, test)
         elif test in ("DC 3.04", "DC 3.05"):
@@ -138,6 +152,10 @@ class Compiler:
                 "LAB_LOINC", "RESULT_NUM", *model.NORMAL_RANGE_FIELDS,
             ])
 
+    def _unmeasured(self, table: str | None, field: str | None, test: str, why: str) -> None:
+        """A row of the report without result, whose text says why."""
+        self._new(Check(test, table, field, text=why), available=False)
+
     def _has(self, table: str, *columns: str) -> bool:
         if table not in self.tables:
             return False

@@ -83,7 +83,7 @@ def _evidence(
             {i: (tables[t], f, unit) for i, (t, f, unit) in work.duplicates.items()}
         ))
     parts += [
-        age.extreme_age_evidence(tables[t], tables["DEATH"], i, as_of) for i, t in work.ages.items()
+        age.extreme_age_evidence(tables[t], tables["DEATH"], i, as_of, settings.age_unit) for i, t in work.ages.items()
     ]
     if work.events:
         parts.append(groups.events_evidence(

@@ -18,24 +18,39 @@ def write_results(results: DataFrame, path: str, run_date: datetime.date, fmt: s
     return target
 
 
-def write_invalid_values(invalid: DataFrame, path: str, fmt: str = "csv") -> None:
-    """Invalid values under ``table=…/field=…``: equal field names of two tables stay apart."""
-    _writer(invalid, fmt).partitionBy("table", "field").save(path)
+def write_invalid_values(
+    invalid: DataFrame, path: str, fmt: str = "csv", run_date: datetime.date | None = None
+) -> str:
+    """Invalid values under ``run_date=…/table=…/field=…``: equal field names of two tables
+    stay apart, and so do runs.  Returns the directory written."""
+    return _write_listing(invalid, path, fmt, run_date)
 
 
-def write_unit_validity(units: DataFrame, path: str, fmt: str = "csv") -> None:
-    _writer(units, fmt).partitionBy("table", "field").save(path)
+def write_unit_validity(
+    units: DataFrame, path: str, fmt: str = "csv", run_date: datetime.date | None = None
+) -> str:
+    return _write_listing(units, path, fmt, run_date)
+
+
+def _write_listing(rows: DataFrame, path: str, fmt: str, run_date: datetime.date | None) -> str:
+    target = path.rstrip("/") + (f"/run_date={run_date.isoformat()}" if run_date else "")
+    _writer(rows, fmt).option("partitionOverwriteMode", "dynamic").partitionBy("table", "field").save(target)
+    return target
 
 
 def write_profile(
     report: DataFrame, path: str, only: tuple[str, str] | None = None, fmt: str = "csv"
 ) -> None:
-    """Profile report under ``table=…``, or ``table=…/only_field=…/only_value=…`` when filtered."""
+    """Profile report under ``table=…``, or ``table=…/only_field=…/only_value=…`` when filtered.
+
+    Only the directories of the report itself are replaced: profiles of other tables, fields
+    and values written to ``path`` before stay.
+    """
     keys = ["table"]
     if only:
         report = report.withColumn("only_field", F.lit(only[0])).withColumn("only_value", F.lit(str(only[1])))
         keys += ["only_field", "only_value"]
-    _writer(report, fmt).partitionBy(*keys).save(path)
+    _writer(report, fmt).option("partitionOverwriteMode", "dynamic").partitionBy(*keys).save(path)
 
 
 def _writer(df: DataFrame, fmt: str):

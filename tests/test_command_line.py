@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import datetime
+
 import pytest
 
 from assayer.__main__ import main
+from assayer.sources import sinks
 from suite.projections import frames
 
 
@@ -42,5 +45,20 @@ def test_profile(spark, stored, tmp_path):
     assert {r["table"] for r in rows.collect()} == {"DEMOGRAPHIC", "LAB_RESULT_CM"}
     main(["profile", "--tables", stored, "--names", "LAB_RESULT_CM", "--only", "RESULT_UNIT", "click",
           "--out", str(tmp_path / "one")])
-    one = spark.read.csv(f"{tmp_path}/one/profile/LAB_RESULT_CM", header=True)
+    one = spark.read.csv(f"{tmp_path}/one/profile_filtered", header=True)
     assert one.where("field = 'RESULT_UNIT'").collect()[0]["nd"] in (1, "1")
+
+
+def test_profiles_and_runs_stay_apart(spark, stored, tmp_path):
+    out = str(tmp_path)
+    for value in ("click", "view"):
+        main(["profile", "--tables", stored, "--only", "result_unit", value, "--out", out])
+    main(["profile", "--tables", stored, "--out", out])
+    filtered = spark.read.csv(f"{out}/profile_filtered", header=True)
+    assert {r["only_value"] for r in filtered.collect()} == {"click", "view"}
+    main(["profile", "--tables", stored, "--names", "DEMOGRAPHIC", "--out", out])
+    assert {r["table"] for r in spark.read.csv(f"{out}/profile", header=True).collect()} == {"DEMOGRAPHIC", "LAB_RESULT_CM"}
+    first = spark.createDataFrame([("T", "F", "x", 1)], "table string, field string, value string, n long")
+    for day in (1, 2):
+        sinks.write_invalid_values(first, f"{out}/listing", run_date=datetime.date(2024, 1, day))
+    assert spark.read.csv(f"{out}/listing", header=True).count() == 2

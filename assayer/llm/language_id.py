@@ -159,9 +159,12 @@ def fit(docs: DataFrame, *, folds: int = 4, fold: int = 2, most: int = 4000) ->
     hash names.  The bound is on the fit only."""
     places = F.greatest(F.length("text") - F.lit(WINDOW), F.lit(0)) + 1
     at = (F.pmod(F.xxhash64("doc_id", F.lit(1)), places) + 1).cast("int")
+    known = docs.where(~in_fold(F.col("doc_id"), folds, fold) & F.col("doc_id").isNotNull() & F.col("lang").isNotNull())
+    share = min(1.0, 4 * most / max(known.count(), 1))  # the rest is far from the lowest hashes
+    low = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20))
     rows = (
-        docs.where(~in_fold(F.col("doc_id"), folds, fold) & F.col("doc_id").isNotNull() & F.col("lang").isNotNull())
-        .select(F.xxhash64("doc_id").alias("h"), "doc_id", "lang", F.col("text").substr(at, F.lit(WINDOW)).alias("piece"))
+        known.where(low < int(share * (1 << 20)))
+        .select(low.alias("h"), "doc_id", "lang", F.col("text").substr(at, F.lit(WINDOW)).alias("piece"))
         .where(F.col("piece").rlike(r"\p{L}"))
         .orderBy("h", "doc_id", "lang", "piece").limit(most).collect()
     )

@@ -62,8 +62,9 @@ class Network:
         return out
 
 
-def train(raws: Sequence[bytes], labels: Sequence[str], *, rounds: int = 5, batch: int = 64, seed: int = 3) -> Network | None:
-    """Adam on the cross entropy, classes weighted alike.  None without labels."""
+def train(raws: Sequence[bytes], labels: Sequence[str], *, rounds: int = 5, steps: int = 200, batch: int = 64, seed: int = 3) -> Network | None:
+    """Adam on the cross entropy, classes weighted alike, for ``rounds`` passes and ``steps``
+    steps at least.  None without labels."""
     names = sorted(set(labels))
     if not names:
         return None
@@ -84,7 +85,7 @@ def train(raws: Sequence[bytes], labels: Sequence[str], *, rounds: int = 5, batc
     params = [net.embed, net.kernel, net.bias, net.top, net.top_bias]
     moments = [(np.zeros_like(p), np.zeros_like(p)) for p in params]
     step = 0
-    for _ in range(rounds):
+    for _ in range(max(rounds, -(-steps // -(-len(y) // batch)))):
         order = rng.permutation(len(y))
         for k in range(0, len(order), batch):
             pick = order[k : k + batch]

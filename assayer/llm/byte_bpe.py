@@ -1,32 +1,39 @@
-"""Byte-level BPE encoding and decoding in Spark's higher-order functions.
-
-A text is split by the tokenizer's pattern.  A word's bytes (as ISO-8859-1 characters, one a
-byte) are folded: each step merges the leftmost pair of the lowest rank, found in a literal
-rank map, until no pair has a rank.  The most frequent distinct words of a bounded sample of
-documents are folded once and looked up in a literal map of words; every other word is
-folded where it stands, so the sample decides the cost only.  Decoding looks up each id's
-bytes and joins them.
-
-Literal maps are arrays of small maps: Spark searches a map from end to end, so a key's
-crc32 names the small map to search.
+"""Byte-level BPE encoding and decoding: ranked merges folded in Spark's higher-order functions.
+
+A text is split by the tokenizer's pattern.  Words that are tokens, and the most frequent
+words of a bounded sample of documents, are looked up; every other distinct word of a
+document goes through the fold, so the sample decides the cost only.  The fold holds a
+word as token ids, one a byte at first: each step merges the leftmost pair of the lowest
+rank, found in a literal rank map, until no pair has a rank.  Nothing is shuffled: split,
+fold and assembly follow one another on each batch of documents.  Decoding looks up each
+id's bytes and joins them.
+
+The rank map is keyed by the pair of ids: an array of small buckets, as Spark searches a
+map from end to end.
 """
 
 from __future__ import annotations
 
 import base64
 import json
-import zlib
+from collections.abc import Iterator
 from functools import cache
 
+import numpy as np
+import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from assayer.llm.crf import in_parts
+
 BUCKETS = 1 << 16
 NONE = 2147483647
-WORDS, SAMPLE_DOCS = 200_000, 32_000
+WORDS, SAMPLE_DOCS = 200_000, 16_000
 
 
 def ranks_of(path: str) -> dict[bytes, int]:
+    """Token bytes to rank; a token's rank is its id."""
     with open(path, "rb") as lines:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
 
@@ -44,27 +51,28 @@ def quoted(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'").replace("$", "\\u0024") + "'"
 
 
-def pieces_of(text: str, pattern: str) -> str:
-    return f"regexp_extract_all({text}, {quoted(java_pattern(pattern))}, 0)"
-
-
-def bucketed(entries: dict[str, object], value: str) -> str:
-    """SQL for the array of small maps; a constant to the optimizer."""
-    buckets: list[dict[str, object]] = [{} for _ in range(BUCKETS)]
-    for key, v in entries.items():
-        buckets[zlib.crc32(key.encode()) % BUCKETS][key] = v
-    text = json.dumps(buckets, ensure_ascii=False, separators=(",", ":"))
-    return f"from_json({quoted(text)}, 'array<map<string,{value}>>')"
-
-
-def look_up(maps: str, key: str) -> str:
-    return f"element_at(element_at({maps}, cast(crc32(cast({key} as binary)) % {BUCKETS} as int) + 1), {key})"
+def _json(value: object) -> str:
+    return quoted(json.dumps(value, ensure_ascii=False, separators=(",", ":")))
 
 
 @cache
-def rank_literal(path: str) -> str:
-    ranks = {k.decode("latin-1"): v for k, v in ranks_of(path).items()}
-    return bucketed(ranks, "int")
+def rank_literals(path: str) -> dict[str, str]:
+    """SQL literals of the fold: ``bytes``, the id of each single byte, and ``ranks``, by
+    bucket the pairs of ids that make a token (``k``) and that token's rank (``v``)."""
+    ranks = ranks_of(path)
+    pairs: list[dict[str, list[int]]] = [{"k": [], "v": []} for _ in range(BUCKETS)]
+    for token, rank in ranks.items():
+        for cut in range(1, len(token)):
+            left, right = ranks.get(token[:cut]), ranks.get(token[cut:])
+            if left is not None and right is not None:
+                key = (left << 32) + right
+                bucket = pairs[(left * 31 + right) % BUCKETS]
+                bucket["k"].append(key)
+                bucket["v"].append(rank)
+    return {
+        "bytes": f"from_json({_json([ranks[bytes([b])] for b in range(256)])}, 'array<int>')",
+        "ranks": f"from_json({_json(pairs)}, 'array<struct<k:array<bigint>,v:array<int>>>')",
+    }
 
 
 @cache
@@ -76,8 +84,7 @@ def token_literals(path: str) -> tuple[str, str]:
     for token, i in ranks.items():
         tokens[i] = token.decode("latin-1")
     numbers = [i.to_bytes(4, "little").decode("latin-1") for i in range(size)]
-    as_json = [json.dumps(v, ensure_ascii=False, separators=(",", ":")) for v in (tokens, numbers)]
-    return tuple(f"from_json({quoted(v)}, 'array<string>')" for v in as_json)
+    return tuple(f"from_json({_json(v)}, 'array<string>')" for v in (tokens, numbers))
 
 
 def bound(sql: str, **literals: str) -> str:
@@ -87,44 +94,82 @@ def bound(sql: str, **literals: str) -> str:
 
 
 def fold(word: str) -> str:
-    """SQL for the ids (array<int>) of a word; ``c.ranks`` is the rank map."""
+    """SQL for the ids (array<int>) of a word by merges; ``c`` holds the rank literals."""
 
-    def rank(key: str) -> str:
-        return f"coalesce({look_up('c.ranks', key)}, {NONE})"
+    def rank(left: str, right: str) -> str:
+        bucket = f"c.ranks[cast(({left} * 31 + {right}) % {BUCKETS} as int)]"
+        key = f"(shiftleft(cast({left} as bigint), 32) + {right})"
+        return f"coalesce(get({bucket}.v, cast(array_position({bucket}.k, {key}) as int) - 1), {NONE})"
 
+    byte_ids = (
+        f"transform(array(cast({word} as binary)), b -> transform(sequence(1, length(b)), "
+        "i -> c.bytes[ascii(decode(substring(b, i, 1), 'ISO-8859-1'))]))[0]"
+    )
+    # s.ids: the parts; s.ranks: rank of each part with the next; x.m: place of the merged pair
     start = (
-        "transform(array(split(w, '')), p -> struct(p as parts, "
-        f"if(size(p) < 2, cast(array() as array<int>), transform(sequence(1, size(p) - 1), i -> {rank('concat(p[i - 1], p[i])')})) as ranks))[0]"
+        f"transform(array({byte_ids}), p -> struct(p as ids, if(size(p) < 2, cast(array() as array<int>), "
+        f"transform(sequence(1, size(p) - 1), i -> {rank('p[i - 1]', 'p[i]')})) as ranks))[0]"
     )
-    # m: position of the merged pair (from 1), t: the merged part
+    no_rank = "cast(array() as array<int>)"
     merged = (
-        "struct(concat(slice(s.parts, 1, x.m - 1), array(x.t), slice(s.parts, x.m + 2, size(s.parts))) as parts, "
+        "struct(concat(slice(s.ids, 1, x.m - 1), array(x.t), slice(s.ids, x.m + 2, size(s.ids))) as ids, "
         "concat(slice(s.ranks, 1, greatest(x.m - 2, 0)), "
-        f"if(x.m > 1, array({rank('concat(s.parts[x.m - 2], x.t)')}), cast(array() as array<int>)), "
-        f"if(x.m < size(s.ranks), array({rank('concat(x.t, s.parts[x.m + 1])')}), cast(array() as array<int>)), "
+        f"if(x.m > 1, array({rank('s.ids[x.m - 2]', 'x.t')}), {no_rank}), "
+        f"if(x.m < size(s.ranks), array({rank('x.t', 's.ids[x.m + 1]')}), {no_rank}), "
         "slice(s.ranks, x.m + 2, size(s.ranks))) as ranks)"
     )
-    place = "cast(array_position(s.ranks, array_min(s.ranks)) as int)"
+    least = "struct(cast(array_position(s.ranks, t) as int) as m, t as t)"
     step = (
-        f"if(coalesce(array_min(s.ranks), {NONE}) = {NONE}, s, "
-        f"transform(transform(array({place}), m -> struct(m as m, concat(s.parts[m - 1], s.parts[m]) as t)), x -> {merged})[0])"
-    )
-    whole = look_up("c.ranks", "w")
-    many = f"aggregate(sequence(1, length(w)), {start}, (s, i) -> {step}, s -> transform(s.parts, t -> {rank('t')}))"
-    return (
-        f"transform(array(decode(cast({word} as binary), 'ISO-8859-1')), w -> "
-        f"transform(array({whole}), r -> if(r is not null, array(r), {many}))[0])[0]"
+        f"transform(array(coalesce(array_min(s.ranks), {NONE})), t -> if(t = {NONE}, s, "
+        f"transform(array({least}), x -> {merged})[0]))[0]"
     )
+    return f"aggregate(sequence(1, octet_length({word})), {start}, (s, i) -> {step}, s -> s.ids)"
+
+
+def folded(words: DataFrame, column: str, path: str) -> DataFrame:
+    """``words`` with ``column`` (array<string>, no empty string) replaced by the arrays of ids."""
+    return words.withColumn(column, F.expr(bound(f"transform({column}, v -> {fold('v')})", **rank_literals(path))))
 
 
 def common_words(docs: DataFrame, path: str, pattern: str, *, most: int, sample: int) -> dict[str, list[int]]:
-    """Ids of the ``most`` most frequent words of about ``sample`` documents."""
+    """Ids of the ``most`` most frequent words of about ``sample`` documents, without words
+    that are tokens."""
     n = docs.count()
     part = docs.select("text") if n <= sample else docs.select("text").sample(sample / n, seed=5)
-    words = part.select(F.explode(F.expr(pieces_of("text", pattern))).alias("word")).groupBy("word").count()
-    top = words.orderBy(F.desc("count"), "word").limit(most).select("word")
-    found = top.repartition(max(2, most // 5000)).select("word", F.expr(bound(fold("word"), ranks=rank_literal(path))).alias("ids"))
-    return {r.word: r.ids for r in found.collect()}
+    split = F.expr(f"regexp_extract_all(text, {quoted(java_pattern(pattern))}, 0)")
+    words = part.select(F.explode(split).alias("word")).groupBy("word").count()
+    top = words.orderBy(F.desc("count"), "word").limit(most).select(F.array("word").alias("ids"), "word")
+    found = folded(top.repartition(max(2, most // 5000)), "ids", path)
+    whole = ranks_of(path)
+    return {r.word: r.ids[0] for r in found.toLocalIterator() if r.word.encode() not in whole}
+
+
+def _lists(flat: bytes | np.ndarray, lengths: list[int] | np.ndarray) -> pa.Array:
+    """Lists of the given lengths of 32-bit integers that lie one after the other."""
+    values = pa.array(np.frombuffer(flat, "<i4") if isinstance(flat, bytes) else flat, pa.int32())
+    ends = np.concatenate([[0], np.cumsum(np.asarray(lengths, np.int64))]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)
+
+
+def filled(ids: np.ndarray, lengths: np.ndarray, rare: list[list[list[int]]]) -> tuple[np.ndarray, np.ndarray]:
+    """Ids and list lengths with every hole ``-1 - k`` replaced by its list's ``rare[k]``."""
+    holes = np.flatnonzero(ids < 0)
+    if not len(holes):
+        return ids, lengths
+    owner = np.repeat(np.arange(len(lengths)), lengths)[holes]
+    base = np.concatenate([[0], np.cumsum([len(r) for r in rare])])
+    word = base[owner] - 1 - ids[holes].astype(np.int64)
+    size = np.array([len(w) for r in rare for w in r], np.int64)
+    flat = np.array([i for r in rare for w in r for i in w], np.int32)
+    first = np.cumsum(size) - size
+    wide = np.ones(len(ids), np.int64)
+    wide[holes] = size[word]
+    out = np.repeat(ids, wide)
+    long = size[word]
+    turn = np.arange(long.sum()) - np.repeat(np.cumsum(long) - long, long)
+    out[out < 0] = flat[np.repeat(first[word], long) + turn]
+    grown = lengths + np.bincount(owner, weights=long - 1, minlength=len(lengths)).astype(np.int64)
+    return out, grown
 
 
 def encoded(
@@ -133,11 +178,53 @@ def encoded(
     """``docs`` with ``ids`` (array<int>): every match of ``pattern`` in the text, encoded by
     the ranks in ``path`` without special tokens.  Null and empty texts have no ids.  Other
     columns stay; an existing column ``ids`` is replaced."""
-    named = docs.withColumn("__text", F.coalesce(F.col(text), F.lit("")))
-    words = common_words(named.select(F.col("__text").alias("text")), path, pattern, most=most, sample=sample)
-    known = bucketed(words, "array<int>")
-    ids = f"flatten(transform({pieces_of('__text', pattern)}, v -> coalesce({look_up('c.words', 'v')}, {fold('v')})))"
-    return named.withColumn("ids", F.expr(bound(ids, ranks=rank_literal(path), words=known))).drop("__text")
+    kept = [c for c in docs.columns if c != "ids"]
+    common = common_words(docs.select(F.coalesce(F.col(text), F.lit("")).alias("text")), path, pattern, most=most, sample=sample)
+    known = {w: np.array(ids, "<i4").tobytes() for w, ids in common.items()}
+    whole = {t: np.array([i], "<i4").tobytes() for t, i in ranks_of(path).items()}
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        find = regex.compile(pattern).findall
+        ids_of = dict(known)
+        for token, i in whole.items():
+            try:
+                ids_of[token.decode()] = i
+            except UnicodeDecodeError:  # part of a character: no word
+                pass
+        for batch in batches:
+            texts = batch.column(batch.num_columns - 1).to_pylist()
+            for begin, end in in_parts(texts):
+                found, rare = [], []
+                for t in texts[begin:end]:
+                    words = find(t or "")
+                    ids = list(map(ids_of.get, words))
+                    new: dict[str, int] = {}
+                    if None in ids:
+                        for k, v in enumerate(ids):
+                            if v is None:
+                                ids[k] = (-1 - new.setdefault(words[k], len(new))).to_bytes(4, "little", signed=True)
+                    found.append(b"".join(ids))
+                    rare.append(list(new))
+                yield pa.RecordBatch.from_arrays(
+                    [*(c.slice(begin, end - begin) for c in batch.columns[:-1]),
+                     _lists(b"".join(found), [len(f) // 4 for f in found]), pa.array(rare, pa.list_(pa.string()))],
+                    names=[*kept, "__holed", "__rare"],
+                )
+
+    def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            holed, rare = batch.columns[-2:]
+            ids, lengths = filled(
+                holed.flatten().to_numpy(zero_copy_only=False), holed.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64),
+                rare.to_pylist(),
+            )
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-2], _lists(ids, lengths)], names=[*kept, "ids"])
+
+    schema = docs.select(kept)
+    holed = schema.withColumns({"__holed": F.expr("array(1)"), "__rare": F.expr("array('a')")}).schema
+    done = schema.withColumn("ids", F.expr("array(1)")).schema
+    parts = docs.select(*kept, F.col(text).alias("__text")).mapInArrow(split, holed)
+    return folded(parts, "__rare", path).mapInArrow(assemble, done)
 
 
 def decoded(ids: str, path: str) -> Column:

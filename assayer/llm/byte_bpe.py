@@ -8,8 +8,8 @@ rank, found in a literal rank map, until no pair has a rank.  Nothing is shuffle
 fold and assembly follow one another on each batch of documents.  Decoding looks up each
 id's bytes and joins them.
 
-The rank map is keyed by the pair of ids: an array of small buckets, as Spark searches a
-map from end to end.
+The rank map is keyed by the pair of ids and lies in flat arrays with a slot for each pair,
+as Spark searches a map from end to end.
 """
 
 from __future__ import annotations
@@ -27,9 +27,10 @@ from pyspark.sql import functions as F
 
 from assayer.llm.crf import in_parts
 
-BUCKETS = 1 << 16
+#: Buckets and slots of the rank map; SPREAD keeps pairs of one bucket apart.
+BUCKETS, SLOTS, SPREAD = 1 << 16, (1 << 19) - 1, 65599
 NONE = 2147483647
-WORDS, SAMPLE_DOCS = 200_000, 16_000
+WORDS, SAMPLE_DOCS = 500_000, 32_000
 
 
 def ranks_of(path: str) -> dict[bytes, int]:
@@ -55,23 +56,40 @@ def _json(value: object) -> str:
     return quoted(json.dumps(value, ensure_ascii=False, separators=(",", ":")))
 
 
+def _slots(pairs: dict[tuple[int, int], int]) -> tuple[list[int], list[int], list[int]]:
+    """A hash table without collisions: keys, ranks, and by bucket the shift of its slots.
+    Buckets take the first shift that leaves all their slots free, the fullest ones first."""
+    buckets: dict[int, list[tuple[int, int, int]]] = {}
+    for (left, right), rank in pairs.items():
+        buckets.setdefault((left * 31 + right) % BUCKETS, []).append(((left * SPREAD + right) % SLOTS, (left << 32) + right, rank))
+    keys, values, shifts = [-1] * SLOTS, [NONE] * SLOTS, [0] * BUCKETS
+    for bucket, members in sorted(buckets.items(), key=lambda item: -len(item[1])):
+        if len({place for place, _, _ in members}) < len(members):
+            raise ValueError("two pairs of one bucket share a slot: choose another SPREAD")
+        shift = next(n for n in range(SLOTS) if all(keys[(place + n) % SLOTS] < 0 for place, _, _ in members))
+        shifts[bucket] = shift
+        for place, key, rank in members:
+            keys[(place + shift) % SLOTS], values[(place + shift) % SLOTS] = key, rank
+    return keys, values, shifts
+
+
 @cache
 def rank_literals(path: str) -> dict[str, str]:
-    """SQL literals of the fold: ``bytes``, the id of each single byte, and ``ranks``, by
-    bucket the pairs of ids that make a token (``k``) and that token's rank (``v``)."""
+    """SQL literals of the fold: ``bytes``, the id of each single byte, and the rank map of
+    the pairs of ids that make a token, as flat arrays: ``keys``, ``ranks``, ``shifts``."""
     ranks = ranks_of(path)
-    pairs: list[dict[str, list[int]]] = [{"k": [], "v": []} for _ in range(BUCKETS)]
+    pairs = {}
     for token, rank in ranks.items():
         for cut in range(1, len(token)):
             left, right = ranks.get(token[:cut]), ranks.get(token[cut:])
             if left is not None and right is not None:
-                key = (left << 32) + right
-                bucket = pairs[(left * 31 + right) % BUCKETS]
-                bucket["k"].append(key)
-                bucket["v"].append(rank)
+                pairs[left, right] = rank
+    keys, values, shifts = _slots(pairs)
     return {
         "bytes": f"from_json({_json([ranks[bytes([b])] for b in range(256)])}, 'array<int>')",
-        "ranks": f"from_json({_json(pairs)}, 'array<struct<k:array<bigint>,v:array<int>>>')",
+        "keys": f"from_json({_json(keys)}, 'array<bigint>')",
+        "ranks": f"from_json({_json(values)}, 'array<int>')",
+        "shifts": f"from_json({_json(shifts)}, 'array<int>')",
     }
 
 
@@ -97,9 +115,9 @@ def fold(word: str) -> str:
     """SQL for the ids (array<int>) of a word by merges; ``c`` holds the rank literals."""
 
     def rank(left: str, right: str) -> str:
-        bucket = f"c.ranks[cast(({left} * 31 + {right}) % {BUCKETS} as int)]"
+        slot = f"cast((cast({left} as bigint) * {SPREAD} + {right} + c.shifts[({left} * 31 + {right}) % {BUCKETS}]) % {SLOTS} as int)"
         key = f"(shiftleft(cast({left} as bigint), 32) + {right})"
-        return f"coalesce(get({bucket}.v, cast(array_position({bucket}.k, {key}) as int) - 1), {NONE})"
+        return f"if(c.keys[{slot}] = {key}, c.ranks[{slot}], {NONE})"
 
     byte_ids = (
         f"transform(array(cast({word} as binary)), b -> transform(sequence(1, length(b)), "

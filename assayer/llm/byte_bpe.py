@@ -28,7 +28,9 @@ from pyspark.sql import functions as F
 from assayer.llm.crf import in_parts
 
 #: Buckets and slots of the rank map; SPREAD keeps pairs of one bucket apart.
-BUCKETS, SLOTS, SPREAD = 1 << 16, (1 << 19) - 1, 65599
+BUCKETS, SLOTS, SPREAD = 1 << 15, 196613, 65599
+#: A slot holds left id, right id and rank in one number; ids have 17 bits.
+ID_BITS = 17
 NONE = 2147483647
 WORDS, SAMPLE_DOCS = 500_000, 32_000
 
@@ -56,27 +58,28 @@ def _json(value: object) -> str:
     return quoted(json.dumps(value, ensure_ascii=False, separators=(",", ":")))
 
 
-def _slots(pairs: dict[tuple[int, int], int]) -> tuple[list[int], list[int], list[int]]:
-    """A hash table without collisions: keys, ranks, and by bucket the shift of its slots.
+def _slots(pairs: dict[tuple[int, int], int]) -> tuple[list[int], list[int]]:
+    """A hash table without collisions: its slots, and by bucket the shift of its slots.
     Buckets take the first shift that leaves all their slots free, the fullest ones first."""
-    buckets: dict[int, list[tuple[int, int, int]]] = {}
+    buckets: dict[int, list[tuple[int, int]]] = {}
     for (left, right), rank in pairs.items():
-        buckets.setdefault((left * 31 + right) % BUCKETS, []).append(((left * SPREAD + right) % SLOTS, (left << 32) + right, rank))
-    keys, values, shifts = [-1] * SLOTS, [NONE] * SLOTS, [0] * BUCKETS
+        value = (((rank << ID_BITS) + left) << ID_BITS) + right
+        buckets.setdefault((left * 31 + right) % BUCKETS, []).append(((left * SPREAD + right) % SLOTS, value))
+    slots, shifts = [-1] * SLOTS, [0] * BUCKETS
     for bucket, members in sorted(buckets.items(), key=lambda item: -len(item[1])):
-        if len({place for place, _, _ in members}) < len(members):
+        if len({place for place, _ in members}) < len(members):
             raise ValueError("two pairs of one bucket share a slot: choose another SPREAD")
-        shift = next(n for n in range(SLOTS) if all(keys[(place + n) % SLOTS] < 0 for place, _, _ in members))
+        shift = next(n for n in range(SLOTS) if all(slots[(place + n) % SLOTS] < 0 for place, _ in members))
         shifts[bucket] = shift
-        for place, key, rank in members:
-            keys[(place + shift) % SLOTS], values[(place + shift) % SLOTS] = key, rank
-    return keys, values, shifts
+        for place, value in members:
+            slots[(place + shift) % SLOTS] = value
+    return slots, shifts
 
 
 @cache
 def rank_literals(path: str) -> dict[str, str]:
     """SQL literals of the fold: ``bytes``, the id of each single byte, and the rank map of
-    the pairs of ids that make a token, as flat arrays: ``keys``, ``ranks``, ``shifts``."""
+    the pairs of ids that make a token, as flat arrays: ``slots`` and ``shifts``."""
     ranks = ranks_of(path)
     pairs = {}
     for token, rank in ranks.items():
@@ -84,11 +87,10 @@ def rank_literals(path: str) -> dict[str, str]:
             left, right = ranks.get(token[:cut]), ranks.get(token[cut:])
             if left is not None and right is not None:
                 pairs[left, right] = rank
-    keys, values, shifts = _slots(pairs)
+    slots, shifts = _slots(pairs)
     return {
         "bytes": f"from_json({_json([ranks[bytes([b])] for b in range(256)])}, 'array<int>')",
-        "keys": f"from_json({_json(keys)}, 'array<bigint>')",
-        "ranks": f"from_json({_json(values)}, 'array<int>')",
+        "slots": f"from_json({_json(slots)}, 'array<bigint>')",
         "shifts": f"from_json({_json(shifts)}, 'array<int>')",
     }
 
@@ -115,9 +117,10 @@ def fold(word: str) -> str:
     """SQL for the ids (array<int>) of a word by merges; ``c`` holds the rank literals."""
 
     def rank(left: str, right: str) -> str:
-        slot = f"cast((cast({left} as bigint) * {SPREAD} + {right} + c.shifts[({left} * 31 + {right}) % {BUCKETS}]) % {SLOTS} as int)"
-        key = f"(shiftleft(cast({left} as bigint), 32) + {right})"
-        return f"if(c.keys[{slot}] = {key}, c.ranks[{slot}], {NONE})"
+        place = f"cast((cast({left} as bigint) * {SPREAD} + {right} + c.shifts[({left} * 31 + {right}) % {BUCKETS}]) % {SLOTS} as int)"
+        key = f"(shiftleft(cast({left} as bigint), {ID_BITS}) + {right})"
+        value = f"c.slots[{place}]"
+        return f"if(({value} & {(1 << 2 * ID_BITS) - 1}) = {key}, cast(shiftright({value}, {2 * ID_BITS}) as int), {NONE})"
 
     byte_ids = (
         f"transform(array(cast({word} as binary)), b -> transform(sequence(1, length(b)), "

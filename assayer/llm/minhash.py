@@ -9,10 +9,12 @@ dart of each coordinate is kept; two documents agree in a coordinate with the pr
 their Jaccard similarity.
 
 Exact copies are first reduced to one document.  Bands of the signature are keys; in every
-bucket of a key the members are tied to one leader (a combine and a join, never all pairs),
-with two orders of leaders, and again in the finer buckets of two bands together, so that
-pairs within a crowded bucket meet too.  The ties are verified by exact similarity, and
-components of verified ties are the classes.
+bucket of a key the members are tied to one leader (a combine and a join), and again in the
+finer buckets of two bands together.  The ties are verified by exact similarity, and
+components of verified ties are the classes so far.  Buckets that still hold several classes
+go on in rounds: more and more members are compared with all the others of another class and
+size that fits, until all pairs that share a band are verified, unlike, or in one class.
+Near copies thus cost few pairs; a bucket of unlike members costs all pairs of them.
 """
 
 from __future__ import annotations
@@ -146,21 +148,28 @@ def _sets(texts: Sequence[str | None], weighted: bool) -> Iterator[np.ndarray]:
         yield shingles(word_hashes((text or "").encode("utf-8", "replace")), weighted)
 
 
+def _short(elements: np.ndarray) -> np.ndarray:
+    """The set as it is compared: distinct 32-bit hashes."""
+    return np.unique((elements >> U(32)).astype(np.uint32)).view(np.int32)
+
+
 def signed(docs: DataFrame, *, weighted: bool = False, n_bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """id, key (md5 of the text) and bands; bands are null for texts without a word."""
+    """id, key (md5 of the text), size (of the set that is compared) and bands; bands are null
+    for texts without a word."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = [
-                bands(signature(s, n_bands * rows), rows) if len(s) else None
-                for s in _sets(batch.column(2).to_pylist(), weighted)
-            ]
+            out, sizes = [], []
+            for s in _sets(batch.column(2).to_pylist(), weighted):
+                out.append(bands(signature(s, n_bands * rows), rows) if len(s) else None)
+                sizes.append(len(_short(s)))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(out, pa.list_(pa.int64()))], names=["id", "key", "bands"]
+                [batch.column(0), batch.column(1), pa.array(sizes, pa.int32()), pa.array(out, pa.list_(pa.int64()))],
+                names=["id", "key", "size", "bands"],
             )
 
     return docs.select("id", F.unhex(F.md5("text")).alias("key"), "text").mapInArrow(
-        run, "id long, key binary, bands array<long>"
+        run, "id long, key binary, size int, bands array<long>"
     )
 
 
@@ -190,7 +199,7 @@ def shingled(docs: DataFrame, ids: DataFrame, *, weighted: bool = False) -> Data
             batch = batch.filter(pa.array((wanted[(at >> U(6)).astype(np.int64)] >> (at & U(63))) & U(1) > 0))
             ids, texts = batch.column(0), batch.column(1).to_pylist()
             for begin, end in in_parts(texts):
-                sets = [np.unique((s >> U(32)).astype(np.uint32)).view(np.int32) for s in _sets(texts[begin:end], weighted)]
+                sets = [_short(s) for s in _sets(texts[begin:end], weighted)]
                 yield pa.RecordBatch.from_arrays([ids.slice(begin, end - begin), pa.array(sets, pa.list_(pa.int32()))], names=["id", "set"])
 
     place = F.pmod(F.xxhash64("id"), F.lit(BITS)).alias("place")
@@ -211,18 +220,61 @@ def ties(keyed: DataFrame) -> DataFrame:
     ).distinct()
 
 
-def verified(pairs: DataFrame, docs: DataFrame, *, similar: float = SIMILAR, weighted: bool = False) -> DataFrame:
-    """The pairs whose sets have a Jaccard similarity of ``similar`` or more."""
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    sets = stored(shingled(docs, ids, weighted=weighted))
+def _fits(one: Column, other: Column, similar: float) -> Column:
+    return F.least(one, other) >= similar * F.greatest(one, other) - 1e-9
+
+
+def verified(pairs: DataFrame, sets: DataFrame, *, similar: float = SIMILAR) -> DataFrame:
+    """The pairs whose sets (id, set) have a Jaccard similarity of ``similar`` or more."""
     one = pairs.join(sets.select(F.col("id").alias("a"), F.col("set").alias("sa")), "a")
     both = one.join(sets.select(F.col("id").alias("b"), F.col("set").alias("sb")), "b")
-    fits = F.least(F.size("sa"), F.size("sb")) >= similar * F.greatest(F.size("sa"), F.size("sb"))
+    fits = _fits(F.size("sa"), F.size("sb"), similar)
     shared = F.when(fits, F.size(F.array_intersect("sa", "sb"))).otherwise(0)
     union = F.size("sa") + F.size("sb") - F.col("shared")
     return both.withColumn("shared", shared).where((F.col("shared") > 0) & (F.col("shared") >= F.lit(similar) * union - 1e-9)).select("a", "b")
 
 
+#: Members of a bucket that are compared with all others in the first round after the
+#: leaders, and how many times as many by each later round.
+FIRST, MORE = 8, 4
+
+
+def completed(keyed: DataFrame, sets: DataFrame, tried: DataFrame, roots: DataFrame, *, similar: float = SIMILAR) -> DataFrame:
+    """``roots`` (id, root) joined by all pairs that share a band and are alike.
+
+    ``keyed`` has id, size and bands of the documents in ``sets``; ``tried`` are the pairs
+    that need no second look.  A round compares some members of each bucket (all of them once
+    a round's number reaches the bucket's) with every other of another class, and takes them
+    out; members of the bucket's largest class wait, and a bucket of one class is done.
+    """
+    rows = keyed.select("id", "size", F.posexplode("bands").alias("place", "bucket")).select(
+        "id", "size", F.xxhash64("place", "bucket").alias("bucket")
+    )
+    # the leader has settled a bucket of two
+    crowded = rows.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 2")
+    rest, most = stored(rows.join(crowded, "bucket")), FIRST
+    while True:
+        here = rest.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
+        each = here.groupBy("bucket", "root").agg(F.count("*").alias("c"))
+        mixed = each.groupBy("bucket").agg(
+            F.max(F.struct("c", "root")).alias("top"), F.count("*").alias("classes")
+        ).where("classes > 1").select("bucket", F.col("top.root").alias("main"))
+        here = stored(here.join(mixed, "bucket"))
+        if here.isEmpty():
+            return roots
+        turn = F.pmod(F.xxhash64("id", F.lit(7)), F.lit(1 << 30))
+        now = (F.col("root") != F.col("main")) & ((F.col("n") <= most) | (turn * F.col("n") < F.lit(most * (1 << 30))))
+        lead = here.where(now).select("bucket", F.col("id").alias("l"), F.col("size").alias("ls"), F.col("root").alias("lr"))
+        new = lead.join(here, "bucket").where((F.col("lr") != F.col("root")) & _fits(F.col("ls"), F.col("size"), similar))
+        new = new.select(F.greatest("id", "l").alias("a"), F.least("id", "l").alias("b")).distinct()
+        new = stored(new.join(tried, ["a", "b"], "left_anti"))
+        near = stored(verified(new, sets, similar=similar))
+        if not near.isEmpty():
+            roots = stored(components(near.unionByName(roots.select(F.col("id").alias("a"), F.col("root").alias("b")))))
+        tried = tried.unionByName(new)
+        rest, most = here.where(~now).drop("root", "main"), most * MORE
+
+
 def id_of() -> Column:
     """doc_id; null is stood in for by a hash of the text."""
     stand_in = F.xxhash64("text").bitwiseOR(F.lit(1 << 62)).bitwiseAND(F.lit((1 << 63) - 1))
@@ -242,16 +294,18 @@ def classes(docs: DataFrame, *, similar: float = SIMILAR, weighted: bool = False
     sign = stored(signed(given, weighted=weighted))
     worded = sign.where("bands is not null")
     copies = worded.groupBy("key").agg(F.min("id").alias("rep"))
-    reps = worded.join(copies.select(F.col("rep").alias("id")).distinct(), "id", "left_semi").select("id", "bands")
+    reps = worded.join(copies.select(F.col("rep").alias("id")).distinct(), "id", "left_semi").select("id", "size", "bands")
     pairs = stored(ties(reps))
-    near = verified(pairs, given, similar=similar, weighted=weighted)
-    roots = stored(components(near))
+    ids = stored(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct())
+    sets = stored(shingled(given, ids, weighted=weighted))
+    roots = stored(components(verified(pairs, sets, similar=similar)))
+    roots = completed(reps.join(ids, "id", "left_semi"), sets, pairs, roots, similar=similar)
     member = sign.join(copies, "key", "left").withColumn("rep", F.coalesce("rep", "id")).select("id", "rep")
     # texts that share an id share a class: their representatives are tied as well
     split = member.groupBy("id").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).where("lo <> hi")
     if not split.isEmpty():
         both = member.join(split, "id").select(F.col("rep").alias("a"), F.col("lo").alias("b"))
-        roots = stored(components(near.unionByName(both)))
+        roots = stored(components(roots.select(F.col("id").alias("a"), F.col("root").alias("b")).unionByName(both)))
     found = member.join(roots.withColumnRenamed("id", "rep"), "rep", "left")
     return found.select(
         F.col("id").alias("doc_id"), F.coalesce("root", "rep").alias("class_id"),

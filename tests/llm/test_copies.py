@@ -84,6 +84,24 @@ def test_near_copies(spark):
     assert sorted(r.class_id for r in minhash.classes(null).collect())[:2] == [3, 3]
 
 
+def test_crowded_family_of_unlike_texts(spark):
+    """A shared passage puts all texts near 0.79 of each other; every third pair is at 0.82."""
+    passage = [f"p{k}" for k in range(92)]
+    rows = []
+    for k in range(0, 160, 2):
+        own = 88 + 4 + (2 if k % 3 == 0 else 0)
+        start = passage[:92] + [f"s{k}" for _ in range(own - 92)]
+        for doc in (k, k + 1):
+            words = start + [f"d{doc}x{j}" for j in range(104 - own)]
+            rows.append((doc, " ".join(words)))
+    sets = {d: {tuple(w[i : i + 5]) for i in range(len(w) - 4)} for d, t in rows for w in [t.split()]}
+    like = {(a, b): len(sets[a] & sets[b]) / len(sets[a] | sets[b]) for a in sets for b in sets if a < b}
+    linked = [p for p, s in like.items() if s >= 0.8]
+    assert len(linked) == 27 and 0.78 < min(like.values())
+    got = minhash.classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.class_id for r in got} == _roots(sorted(sets), linked)
+
+
 def test_embeddings(spark):
     rng = np.random.default_rng(5)
     base = rng.normal(size=(40, 16))

@@ -71,10 +71,20 @@ BASE = (
     ),
 )
 IBAN_TEXT = "replace(m, ' ', '')"
+#: Countries by the length of their IBANs, so that what follows a number is not read with it.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB PL SV",
+    29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+IBAN_OF = "|".join(
+    rf"(?:{names.replace(' ', '|')})[0-9]{{2}}(?:\x20?[A-Z0-9]){{{n - 4}}}(?![A-Za-z0-9])" for n, names in IBAN_LENGTHS.items()
+)
 ADDED = (
     Kind(
         "iban",
-        r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}(?![A-Za-z0-9])",
+        rf"(?<![A-Za-z0-9])(?:{IBAN_OF}|[A-Z]{{2}}[0-9]{{2}}(?:\x20?[A-Z0-9]){{11,30}}(?![A-Za-z0-9]))",
         "t rlike '[A-Z]{2}[0-9]{2}'",
         MOD97.format(d=f"concat(substring({IBAN_TEXT}, 5), substring({IBAN_TEXT}, 1, 4))"),
         0.8, ("iban", "account", "bank"), 0.2, 0.5,

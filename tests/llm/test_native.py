@@ -119,6 +119,21 @@ def test_personal_data(spark, data):
     assert got[13].spans.endswith("iban:5:32") and got[14].spans.endswith("ssn:4:15")
 
 
+def test_ibans_before_capitals(spark):
+    texts = {
+        "IBAN GB82 WEST 1234 5698 7654 32 BIC WESTGB2L": ["GB82 WEST 1234 5698 7654 32"],
+        "IBAN DE89370400440532013000 BIC COBADEFFXXX": ["DE89370400440532013000"],
+        "NO9386011117947 NO9386011117947 X": ["NO9386011117947"] * 2,
+        "IBAN DE89370400440532013001 BIC COBADEFFXXX": [],
+    }
+    rows = list(enumerate(texts))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for r in pii.report(df).collect():
+        text = rows[r.doc_id][1]
+        spans = [s.split(":") for s in r.spans.split(",") if s.startswith("iban")]
+        assert [text[int(a) : int(b)] for _, a, b in spans] == texts[text], text
+
+
 def test_redaction(spark):
     df = spark.createDataFrame([(1, "é me@x.io, 1.2.3.4!", 9, "k"), (2, None, None, "k"), (3, "", 0, "k")], "doc_id long, text string, n_chars long, spans string")
     got = pii.redacted(df)

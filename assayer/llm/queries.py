@@ -5,7 +5,10 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from assayer.llm import byte_bpe, chat, embeddings, language_id, minhash, mixing, pii, quality_classifier, quality_rules, url_filter
+from assayer.llm import (
+    byte_bpe, chat, conversation_trie, embeddings, language_id, license_scan, minhash, mixing, periodic_runs, pii,
+    quality_classifier, quality_rules, url_filter,
+)
 from assayer.llm.common import table
 from assayer.llm.oracle import ORACLE  # noqa: F401
 
@@ -56,4 +59,19 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op1_minhash, op2_byte_bpe, op3_url_filter, op4_embeddings, op5_mixing, op6_chat, op7_pii, op8_quality_rules, op9_language_id, op10_quality_classifier)}
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.digests(periodic_runs.with_planted_runs(table(spark, sf_dir, "documents")))
+
+
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+def op13_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.report(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_minhash, op2_byte_bpe, op3_url_filter, op4_embeddings, op5_mixing, op6_chat, op7_pii, op8_quality_rules,
+    op9_language_id, op10_quality_classifier, op11_periodic_runs, op12_conversation_trie, op13_license_scan,
+)}

@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from assayer.functions.exprs import name, rows_of, text, texts
-from assayer.model import Check, union_all
+from assayer.functions.exprs import name, texts
+from assayer.model import Check
+from assayer.operators import grains
+from assayer.operators.grains import Member, Use
 
 
 def events_checks(
@@ -22,6 +23,16 @@ def events_checks(
     ]
 
 
+def encounters(table: str, enc_types: Sequence[str]) -> Member:
+    """Rows by encounter type."""
+    return Member(table, "ENC_TYPE", f"ENC_TYPE in {texts(enc_types)}")
+
+
+def events(table: str, type_field: str, known: Sequence[str], enc_types: Sequence[str]) -> Member:
+    """Rows of known code type by encounter type."""
+    return Member(table, "ENC_TYPE", f"ENC_TYPE in {texts(enc_types)} and {name(type_field)} in {texts(known)}")
+
+
 def events_evidence(
     encounter: DataFrame,
     sources: Sequence[tuple[DataFrame, str, list[str], dict[int, str]]],
@@ -32,25 +43,9 @@ def events_evidence(
     ``sources``: (table, code type column, known types, check id -> encounter type).  An
     encounter type without events gives no row unless ``include_empty``, which reports 0.
     """
-    sides = [f"e{n}" for n in range(len(sources))]
     enc_types = sorted({t for *_, ids in sources for t in ids.values()})
-
-    def tagged(df: DataFrame, side: str) -> DataFrame:
-        return df.where(f"ENC_TYPE in {texts(enc_types)}").selectExpr(
-            "ENC_TYPE as enc_type", *[f"{int(s == side)}L as {s}" for s in ["enc", *sides]],
-        )
-
-    parts = [tagged(encounter, "enc")]
-    for side, (df, type_field, known, _) in zip(sides, sources):
-        parts.append(tagged(df.where(f"{name(type_field)} in {texts(known)}"), side))
-    per_type = union_all(parts).groupBy("enc_type").agg(
-        *[F.sum(s).alias(s) for s in ["enc", *sides]]
-    )
-    rows = per_type.selectExpr("enc_type", rows_of(
-        {"check_id": str(i), "asked": text(t), "numerator": side, "denominator": "enc"}
-        for side, (*_, ids) in zip(sides, sources)
-        for i, t in ids.items()
-    )).where("enc_type = asked")
-    if not include_empty:
-        rows = rows.where("numerator > 0")
-    return rows.select("check_id", "numerator", "denominator")
+    tables, members, uses = {"": encounter}, {0: encounters("", enc_types)}, []
+    for n, (df, type_field, known, ids) in enumerate(sources, 1):
+        tables[str(n)], members[n] = df, events(str(n), type_field, known, enc_types)
+        uses += [Use(i, member, role, t) for i, t in ids.items() for member, role in ((n, "numerator"), (0, "denominator"))]
+    return grains.evidence(tables, members, uses, include_empty=include_empty)

@@ -3,11 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from assayer import model
-from assayer.functions.exprs import comparable
-from assayer.model import Check, union_all
+from assayer.model import Check
+from assayer.operators.keystate import Pass
 
 
 def primary_key_check(table: str, field: str, test: str = "DC 1.05") -> Check:
@@ -21,14 +20,13 @@ def primary_key_evidence(df: DataFrame, field: str, check_id: int) -> DataFrame:
     ``field`` may list several columns ("A, B").  Rows are counted per key before the
     shuffle, so a key held by a third of the rows reaches the reducer as one row per task.
     """
-    return (
-        df.groupBy(*field.split(", ")).agg(F.count(F.lit(1)).alias("rows"))
-        .agg(
-            F.count_if(F.col("rows") > 1).alias("numerator"),
-            F.count(F.lit(1)).alias("denominator"),
-        )
-        .select(F.lit(check_id).alias("check_id"), "numerator", "denominator")
-    )
+    one = Pass({"": df})
+    one.primary_key(check_id, "", columns(field))
+    return one.evidence()
+
+
+def columns(field: str) -> list[str]:
+    return [c.strip() for c in field.split(",")]
 
 
 def duplication_check(table: str, field: str, unit: str = "PATID", test: str = "DC 1.11") -> Check:
@@ -40,26 +38,12 @@ def duplication_evidence(sources: dict[int, tuple[DataFrame, str, str]]) -> Data
     """Per check, field values tied to more than one non-NULL unit over distinct values.
 
     ``sources`` maps check id to (table, field, unit).  The NULL field value counts as a
-    group in the numerator and not in the denominator.  A value has several units when its
-    least and greatest differ: one aggregate, combined before the shuffle, so a hot value
-    reaches its reducer as one row per task.
+    group in the numerator and not in the denominator.  A value has several units when the
+    least and greatest of their numbers differ (64-bit hashes, unless units are integers): one
+    hash aggregate of fixed width, combined before the shuffle, so a hot value reaches its
+    reducer as one row per task and nothing is sorted.
     """
-    items = comparable((df, field) for df, field, _ in sources.values())
-    units = comparable((df, unit) for df, _, unit in sources.values())
-    rows = union_all([
-        df.selectExpr(f"{i} as check_id", f"{item} as item", f"{unit} as unit")
-        for (i, (df, *_)), item, unit in zip(sources.items(), items, units)
-    ])
-    per_item = rows.groupBy("check_id", "item").agg(F.min("unit").alias("least"), F.max("unit").alias("greatest"))
-    counted = per_item.groupBy("check_id").agg(
-        F.count_if(F.col("least") != F.col("greatest")).alias("numerator"),
-        F.count("item").alias("denominator"),
-    )
-    empty = model.evidence_rows(rows.sparkSession, [(i, 0, 0) for i in sources])
-    return _sum_by_check(counted, empty)
-
-
-def _sum_by_check(*parts: DataFrame) -> DataFrame:
-    return union_all(parts).groupBy("check_id").agg(
-        F.sum("numerator").alias("numerator"), F.sum("denominator").alias("denominator")
-    )
+    one = Pass({str(i): df for i, (df, *_) in sources.items()})
+    for i, (_, field, unit) in sources.items():
+        one.duplicated(i, str(i), field, unit)
+    return one.evidence()

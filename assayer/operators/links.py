@@ -1,27 +1,21 @@
 """Checks between the keys of several tables: orphans, and patients per encounter.
 
-All children of one parent key are measured together.  Every table contributes its
-keys tagged with a bit of its own; one aggregation by key ORs the bits.  Each key is
-then one row that says in which tables it occurs, and every check of the family is a
-conditional count over those rows.  The parent is shuffled once however many children
-it has, nothing is joined, and the OR runs before the shuffle, so a key repeated in a
-third of a table's rows costs one row per task.
+All children of one parent key are measured together (``keystate``): every table tags its
+keys with a bit of its own, one aggregation by key ORs the bits, and each check counts keys
+by their bits.  The parent is shuffled once however many children it has, and nothing is
+joined.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from assayer import model
-from assayer.functions.exprs import comparable, name, rows_of
-from assayer.model import Check, union_all
-
-# Bits of a signed long, one of them for the parent.
-TABLES_PER_PASS = 60
-PARENT_BIT = 1 << 62
+from assayer.model import Check
+from assayer.operators.keystate import Pass
 
 
 @dataclass(frozen=True)
@@ -58,49 +52,14 @@ def link_evidence(
     ``parents`` lists (table, key column); a key present in any of them is no orphan.
     NULL keys are never orphans.
     """
-    items = list(links.items())
-    frames = []
-    for start in range(0, len(items), TABLES_PER_PASS // 2):
-        frames.append(_one_pass(tables, dict(items[start:start + TABLES_PER_PASS // 2]), parents))
-    return union_all(frames)
-
-
-def key_presence(
-    tables: dict[str, DataFrame], members: dict[tuple[str, str], int]
-) -> DataFrame:
-    """One row per distinct non-NULL key, with the bits of the (table, column) holding it."""
-    keys = comparable((tables[table], column) for table, column in members)
-    return union_all([
-        tables[table].where(f"{name(column)} is not null").selectExpr(f"{key} as key", f"{bit}L as bit")
-        for ((table, column), bit), key in zip(members.items(), keys)
-    ]).groupBy("key").agg(F.bit_or("bit").alias("bits"))
-
-
-def _one_pass(tables, links: dict[int, Link], parents: list[tuple[str, str]]) -> DataFrame:
-    bits: dict[tuple[str, str], int] = {}
+    one = Pass(tables)
+    for i, link in links.items():
+        ask(one, i, link, parents)
+    return one.evidence()
 
-    def bit_of(table: str, key: str) -> int:
-        return bits.setdefault((table, key), 1 << len(bits))
 
-    plan = []
-    for i, link in links.items():
-        child = bit_of(link.child, link.key)
-        plan.append((i, child, bit_of(link.base, link.key) if link.base else None))
-    members = dict(bits)
-    parent_mask = 0
-    if any(base is None for _, _, base in plan):
-        for parent in parents:
-            # A parent that is itself a child of another link keeps its own bit.
-            members.setdefault(parent, PARENT_BIT)
-            parent_mask |= members[parent]
-
-    def has(mask: int) -> str:
-        return f"(bits & {mask}L) <> 0"
-
-    counts, rows = [], []
-    for i, child, base in plan:
-        orphan = f"{has(child)} and not ({has(parent_mask)})"
-        num, den = (orphan, has(child)) if base is None else (has(child), has(base))
-        counts += [F.expr(f"count_if({num}) as n{i}"), F.expr(f"count_if({den}) as d{i}")]
-        rows.append({"check_id": str(i), "numerator": f"n{i}", "denominator": f"d{i}"})
-    return key_presence(tables, members).agg(*counts).selectExpr(rows_of(rows))
+def ask(one: Pass, i: int, link: Link, parents: Iterable[tuple[str, str]]) -> None:
+    if link.base:
+        one.share(i, link.child, link.base, link.key)
+    else:
+        one.orphans(i, link.child, link.key, parents)

@@ -1,13 +1,14 @@
-"""Distinct counts and exact percentiles of many columns at once, without one task ever
+"""Exact percentiles of many columns at once by radix selection, without one task ever
 holding a column.
 
-Spark's ``percentile`` keeps all distinct values of a column in one buffer.  Here the
-value counts are summed per cell of an order-preserving grid, which tells in which cell
-each wanted rank lies; only the values of those cells, at most two per percentile and
-column, go on.  A second, finer grid inside each such cell repeats this, so values
-crowded into a small part of their range are spread as well.  What is left is ranked.
+Spark's ``percentile`` keeps all distinct values of a column in one buffer.  Here a value is
+a whole number of 64 bits that orders as the values do, and a wanted rank is narrowed down
+16 bits at a time: rows are summed by the leading bits, running sums over these at most
+65,536 groups tell which of them hold a wanted rank, and only values with these leading bits
+go on to the next 16.  Four rounds end at the value, whatever the distribution: outliers,
+values crowded at several scales and heavy ties cost the same.
 
-Every step reads ``counts`` with the same columns and no filter of its own: pruned
+Every round reads ``counts`` with the same columns and no filter of its own: pruned
 differently, it would be several exchanges over several scans instead of one reused.
 """
 
@@ -18,21 +19,37 @@ from pyspark.sql import functions as F
 
 from assayer.functions.exprs import text
 
-CELLS = 1 << 16
-
+#: Bits left below the leading ones, round by round; a round resolves 16 of 64.
+ROUNDS = (48, 32, 16, 0)
+#: 2^52 steps from one power of two to the next; infinity lies above all powers.
+STEPS, TOP = 1 << 52, 2047
+
+
+def order_key(value: str) -> dict[str, str]:
+    """Columns to add, one after the other, that end in ``key``: a BIGINT that orders as the
+    doubles do, equal for equal values; 0.0 and -0.0 are one value, NaN is the greatest, and
+    NULL has the key 0."""
+    size, inf = f"abs({value})", "double('infinity')"
+    plain = f"(not isnan({value}) and {value} <> 0 and {size} < {inf})"
+    near = f"if({plain}, cast(floor(log2({size})) as int), 0)"
+    # The logarithm may be off by one next to a power of two.
+    power = f"near - if({size} < pow(2D, near), 1, 0) + if(near < 1023 and {size} >= pow(2D, near + 1), 1, 0)"
+    steps = (
+        f"if(power >= -1022, (power + 1023) * {STEPS}L + cast(({size} / pow(2D, power) - 1) * {STEPS}L as bigint),"
+        f" cast({size} / 4.9E-324D as bigint))"
+    )
+    return {
+        "near": near,
+        "power": power,
+        "key": f"case when isnan({value}) then {TOP * STEPS + 1}L when {size} = {inf} then cast(signum({value}) as bigint) * {TOP * STEPS}L"
+               f" when {value} = 0 then 0L else coalesce(cast(signum({value}) as bigint) * {steps}, 0L) end",
+    }
 
-def _cell(scale: str, cells: str) -> str:
-    """Grid cell of ``value`` between ``low`` and ``high``, by a monotone ``scale``."""
-    def at(column: str) -> str:
-        # Halves keep the span of the widest doubles finite.
-        return f"({scale.format(column)} / 2)"
 
-    span = f"({at('high')} - {at('low')})"
-    inside = f"cast(floor(({at('value')} - {at('low')}) / nullif({span}, 0D) * {cells}) as int)"
-    return (
-        f"case when isnan(value) then {CELLS + 2} when value = double('infinity') then {CELLS + 1}"
-        f" when value = -double('infinity') then -1 else coalesce({inside}, 0) end"
-    )
+def with_order_key(df: DataFrame, value: str = "value") -> DataFrame:
+    for column, expression in order_key(value).items():
+        df = df.selectExpr("*", f"{expression} as {column}")
+    return df.drop("near", "power")
 
 
 def _holding(df: DataFrame, keys: list[str], order: str, wanted: str, keep: list[str]) -> DataFrame:
@@ -43,55 +60,44 @@ def _holding(df: DataFrame, keys: list[str], order: str, wanted: str, keep: list
     window = f"sum(n) over (partition by {', '.join(keys)} order by {order})"
     ranked = df.selectExpr("*", f"start + {window} as next").selectExpr("*", "next - n as first")
     return ranked.selectExpr(
-        *keep, "first as begin", f"filter({wanted}, w -> w.rank >= first and w.rank < next) as hits"
+        *keep, "first as start", f"filter({wanted}, w -> w.rank >= first and w.rank < next) as hits"
     ).where("size(hits) > 0")
 
 
-def value_statistics(counts: DataFrame, percentiles: dict[str, float]) -> DataFrame:
-    """``(column_id, nd, <name>…)``: distinct values, and percentiles interpolated
-    linearly between neighbouring ranks.
+def leading(keyed: DataFrame, held: DataFrame | None, before: int, shift: int) -> DataFrame:
+    """Rows summed by the leading bits of their key down to ``shift``, of the groups in
+    ``held`` (column_id, bits, of what is above ``before``) or of all."""
+    if held is None:
+        return keyed.groupBy("column_id", F.expr(f"shiftright(key, {shift})").alias("bits")).agg(F.sum("n").alias("n"))
+    # Broadcast: at most two rows per percentile and column.
+    near = F.broadcast(held.selectExpr("column_id as of", "bits as above"))
+    among = keyed.join(near, F.expr(f"column_id = of and shiftright(key, {before}) = above"))
+    value = ["value"] if not shift else []
+    return among.groupBy("column_id", "above", F.expr(f"shiftright(key, {shift})").alias("bits"), *value).agg(F.sum("n").alias("n"))
 
-    ``counts`` holds ``(column_id, value, n)`` with distinct non-NULL double values.
+
+def percentiles_of(counts: DataFrame, percentiles: dict[str, float]) -> DataFrame:
+    """``(column_id, <name>…)``: percentiles interpolated linearly between neighbouring ranks.
+
+    ``counts`` holds ``(column_id, value, key, n)`` with distinct non-NULL double values and
+    their order keys, which are not NULL.  Rows without a value weigh nothing, but are read: see
+    above.
     """
     ranks = "array(" + ", ".join(
         f"named_struct('name', {text(f'{name}_{side}')}, 'rank', cast({edge}({p}D * (total - 1)) as bigint))"
         for name, p in percentiles.items()
         for side, edge in (("low", "floor"), ("high", "ceil"))
     ) + ")"
-    finite = "not isnan(value) and abs(value) <> double('infinity')"
-    columns = counts.groupBy("column_id").agg(
-        F.expr("count_if(n > 0) as nd"),  # reads n, as all other uses of counts do
-        F.expr(f"min(if({finite}, value, null)) as low"),
-        F.expr(f"max(if({finite}, value, null)) as high"),
-        F.expr(f"min(if({finite} and value <> 0, abs(value), null)) as tiny"),
-    )
-    # Broadcasts below hold a row per profiled column, or two per percentile and column.
-    # The first grid is logarithmic from the smallest value on, so that neither outliers nor
-    # values crowded near zero swallow it.
-    coarse = counts.join(F.broadcast(columns), "column_id").selectExpr(
-        "column_id", "value", "n", "nd",
-        f"{_cell('(signum({0}) * if({0} = 0, 0D, 1 + ln(abs({0})) - ln(tiny)))', f'least(nd, {CELLS}L)')} as cell",
-    )
-    # The windows run over cells, at most CELLS + 4 per group, until few values are left.
-    cells = coarse.groupBy("column_id", "cell").agg(
-        F.sum("n").alias("n"), F.min("value").alias("low"), F.max("value").alias("high"),
-    ).selectExpr("*", "0L as start", "sum(n) over (partition by column_id) as total")
-    cell = ["column_id", "cell"]
-    first = _holding(cells, ["column_id"], "cell", ranks, [*cell, "low", "high", "total"])
-    fine = coarse.join(F.broadcast(first.select(*cell, "low", "high")), cell).selectExpr(
-        *cell, "value", "n", "nd", f"{_cell('{0}', f'{CELLS}L')} as subcell"
-    )
-    subcell = [*cell, "subcell"]
-    subcells = fine.groupBy(*subcell).agg(F.sum("n").alias("n")).join(
-        F.broadcast(first.selectExpr(*cell, "total", "begin as start", "hits")), cell
-    )
-    second = _holding(subcells, cell, "subcell", "hits", [*subcell, "total"])
-    left = fine.join(F.broadcast(second.withColumnRenamed("begin", "start")), subcell)
-    found = _holding(
-        left, subcell, "value", "hits", ["column_id", "value", "nd", "total"]
-    ).selectExpr("column_id", "value", "nd", "total", "inline(hits)")
-    edges = found.groupBy("column_id").agg(
-        F.max("nd").alias("nd"), F.max("total").alias("total"), *[
+    keyed = counts.selectExpr("column_id", "value", "key", "if(value is null, 0L, n) as n")
+    first = leading(keyed, None, 0, ROUNDS[0]).selectExpr("*", "0L as start", "sum(n) over (partition by column_id) as total")
+    held = _holding(first, ["column_id"], "bits", ranks, ["column_id", "bits", "total"])
+    for before, shift in zip(ROUNDS, ROUNDS[1:]):
+        known = F.broadcast(held.withColumnRenamed("bits", "above"))
+        cells = leading(keyed, held, before, shift).join(known, ["column_id", "above"])
+        value = ["value"] if not shift else []
+        held = _holding(cells, ["column_id", "above"], ", ".join(["bits", *value]), "hits", ["column_id", "bits", "total", *value])
+    edges = held.selectExpr("column_id", "value", "total", "inline(hits)").groupBy("column_id").agg(
+        F.max("total").alias("total"), *[
             F.expr(f"max(if(name = '{name}_{side}', value, null)) as {name}_{side}")
             for name in percentiles for side in ("low", "high")
         ],
@@ -103,4 +109,11 @@ def value_statistics(counts: DataFrame, percentiles: dict[str, float]) -> DataFr
         low, high = f"{name}_low", f"{name}_high"
         return f"if({low} = {high}, {low}, {low} * (1 - {share}) + {high} * {share}) as {name}"
 
-    return edges.selectExpr("column_id", "nd", *[interpolated(name, p) for name, p in percentiles.items()])
+    return edges.selectExpr("column_id", *[interpolated(name, p) for name, p in percentiles.items()])
+
+
+def value_statistics(counts: DataFrame, percentiles: dict[str, float]) -> DataFrame:
+    """``(column_id, nd, <name>…)`` from ``(column_id, value, n)`` with distinct values."""
+    keyed = with_order_key(counts)
+    distinct = keyed.groupBy("column_id").agg(F.expr("count_if(n > 0 and key is not null) as nd"))
+    return distinct.join(percentiles_of(keyed, percentiles), "column_id")

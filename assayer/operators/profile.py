@@ -2,8 +2,10 @@
 
 A profile takes two passes over a table.  The first is one aggregate without a grouping
 key (counts, ranges, means).  The second counts distinct values in long form, text and
-numeric columns alike, with the counting done before the shuffle.  Percentiles are exact
-and read the value counts of the second pass.
+numeric columns alike, with the counting done before the shuffle.  A value is shuffled as
+numbers: a number as its order key, which percentiles are selected by, a text as 128 bits of
+hashes, so long texts cost no more than short ones and two texts are taken for one with a
+chance of 2^-128 a pair.
 """
 
 from __future__ import annotations
@@ -19,7 +21,7 @@ from pyspark.sql import types as T
 from assayer import model
 from assayer.functions.exprs import half_up, name, rows_of, texts as literals
 from assayer.model import local_table, union_all
-from assayer.operators.percentiles import value_statistics
+from assayer.operators.percentiles import order_key, percentiles_of
 from assayer.sources.registry import Tables
 
 # Four aggregates per column and spark.sql.codegen.maxFields = 100.
@@ -30,7 +32,7 @@ PERCENTILES = {"p05": 0.05, "p25": 0.25, "median": 0.50, "p75": 0.75, "p95": 0.9
 PROFILE_COLUMNS = [
     "table", "field", "required", "ordinal", "kind", "cn", "nd", "pct_dist", "n_null",
     "pct_null", "n_ni", "pct_missing", "min_text", "max_text", "min_num", "p05", "p25",
-    "median", "mean", "p75", "p95", "max_num",
+    "median", "mean", "p75", "p95", "max_num", "min_exact", "max_exact",
 ]
 REPORT_COLUMNS = [
     "table", "field", "required", "cn", "nd", "pct_dist", "n_null", "pct_null", "n_ni",
@@ -103,8 +105,8 @@ class Profiled:
     numeric: bool
 
     @property
-    def as_text(self) -> bool:
-        """Whether distinct values are counted as text: also for numbers that lose digits as doubles."""
+    def hashed(self) -> bool:
+        """Whether distinct values are told apart by hash: also of numbers that lose digits as doubles."""
         return not self.numeric or not _widens_to_double(self.dtype)
 
 
@@ -137,19 +139,16 @@ def _profile(tables: Tables, metadata: DataFrame | None) -> DataFrame:
     )
     out = names.join(basics, "column_id")
 
-    texts = _long(tables, [c for c in columns if c.as_text], "string")
-    if texts is not None:
-        distinct = texts.distinct().groupBy("column_id").agg(F.count(F.lit(1)).alias("nd_text"))
-        out = out.join(distinct, "column_id", "left")
+    counts = _long(tables, columns).groupBy("column_id", "hashed", "key", "more", "value").agg(F.count(F.lit(1)).alias("n"))
+    # Reads every column of the counts, as the percentiles do, so that both read one exchange.
+    distinct = counts.groupBy("column_id").agg(
+        *[F.expr(f"count_if({kind} and n > 0 and (key <> 0 or more <> 0 or coalesce(value, 0D) = 0)) as {n}")
+          for n, kind in (("nd_hashed", "hashed"), ("nd_plain", "not hashed"))])
+    out = out.join(distinct, "column_id", "left")
+    if any(c.numeric for c in columns):
+        out = out.join(percentiles_of(counts, PERCENTILES), "column_id", "left")
     else:
-        out = out.selectExpr("*", "cast(null as bigint) as nd_text")
-    numbers = _long(tables, [c for c in columns if c.numeric], "double")
-    if numbers is not None:
-        counts = numbers.groupBy("column_id", "value").agg(F.count(F.lit(1)).alias("n"))
-        out = out.join(value_statistics(counts, PERCENTILES), "column_id", "left")
-    else:
-        out = out.selectExpr("*", "cast(null as bigint) as nd",
-                             *[f"cast(null as double) as {p}" for p in PERCENTILES])
+        out = out.selectExpr("*", *[f"cast(null as double) as {p}" for p in PERCENTILES])
     if metadata is not None:
         spec = metadata.select("table", "field", "required", "ordinal")
         out = out.join(spec, ["table", "field"], "left")
@@ -159,7 +158,8 @@ def _profile(tables: Tables, metadata: DataFrame | None) -> DataFrame:
     def percent(part: str) -> str:
         return f"{half_up(part, 'cn', 1000)} / 10D"
 
-    nd = "coalesce(nd_text, nd, 0L)"
+    exact = {c.column_id for c in columns if c.hashed}
+    nd = f"coalesce(if(column_id in ({', '.join(map(str, sorted(exact))) or '-1'}), nd_hashed, nd_plain), 0L)"
     derived = {
         "nd": nd,
         "ordinal": "coalesce(ordinal, live_ordinal)",
@@ -172,16 +172,30 @@ def _profile(tables: Tables, metadata: DataFrame | None) -> DataFrame:
     ).orderBy("table", "ordinal", "field")
 
 
-def _long(tables: Tables, columns: list[Profiled], kind: str) -> DataFrame | None:
-    """Non-NULL values in long form ``(column_id, value)``, one scan per table."""
-    parts = [
-        df.selectExpr(rows_of(
-            {"column_id": str(c.column_id), "value": f"cast({name(c.name)} as {kind})"}
-            for c in columns if c.table == table
-        ))
-        for table, df in tables.items() if any(c.table == table for c in columns)
-    ]
-    return union_all(parts).where("value is not null") if parts else None
+def _long(tables: Tables, columns: list[Profiled]) -> DataFrame:
+    """Non-NULL values in long form ``(column_id, hashed, key, more, value)``, one scan per
+    table: a hash of 128 bits, or the order key of a number with the number itself."""
+    parts = []
+    for table, df in tables.items():
+        own = [c for c in columns if c.table == table]
+        if not own:
+            continue
+        rows = []
+        for c in own:
+            as_double = f"cast({name(c.name)} as double)"
+            if c.hashed:
+                as_text = f"cast({name(c.name)} as string)"
+                rows.append({"column_id": str(c.column_id), "hashed": "true", "there": f"{name(c.name)} is not null",
+                             "key": f"xxhash64({as_text})", "more": f"xxhash64(1, {as_text})", "value": "cast(null as double)"})
+            if c.numeric:
+                rows.append({"column_id": str(c.column_id), "hashed": "false", "there": f"{name(c.name)} is not null",
+                             "key": "0L", "more": "0L", "value": as_double})
+        parts.append(df.selectExpr(rows_of(rows)).where("there").drop("there"))
+    keyed = union_all(parts)
+    for column, expression in order_key("value").items():
+        if column != "key":
+            keyed = keyed.selectExpr("*", f"{expression} as {column}")
+    return keyed.selectExpr("column_id", "hashed", f"if(hashed, key, {order_key('value')['key']}) as key", "more", "value")
 
 
 def _basics(df: DataFrame, columns: list[Profiled]) -> DataFrame:
@@ -197,6 +211,7 @@ def _basics(df: DataFrame, columns: list[Profiled]) -> DataFrame:
                 "n_ni": "cast(null as bigint)", "min_text": "cast(null as string)",
                 "max_text": "cast(null as string)", "min_num": f"cast(lo{i} as double)",
                 "max_num": f"cast(hi{i} as double)", "mean": f"cast(m{i} as double)",
+                "min_exact": f"cast(lo{i} as string)", "max_exact": f"cast(hi{i} as string)",
             }
         else:
             coded = isinstance(c.dtype, T.StringType)
@@ -206,17 +221,16 @@ def _basics(df: DataFrame, columns: list[Profiled]) -> DataFrame:
                 "n_ni": f"ni{i}" if coded else "0L", "min_text": f"cast(lo{i} as string)",
                 "max_text": f"cast(hi{i} as string)", "min_num": "cast(null as double)",
                 "max_num": "cast(null as double)", "mean": "cast(null as double)",
+                "min_exact": "cast(null as string)", "max_exact": "cast(null as string)",
             }
         rows.append(row)
     return df.agg(*[F.expr(e) for e in counts]).selectExpr(rows_of(rows))
 
 
 def report(profiles: DataFrame) -> DataFrame:
-    """The profile as text, with one ``min`` and one ``max`` column, for a CSV sink."""
-    columns = {
-        "min": "coalesce(min_text, cast(min_num as string))",
-        "max": "coalesce(max_text, cast(max_num as string))",
-    }
+    """The profile as text, with one ``min`` and one ``max`` column, for a CSV sink.  Extremes
+    of numbers come with all their digits, not as doubles."""
+    columns = {"min": "coalesce(min_text, min_exact)", "max": "coalesce(max_text, max_exact)"}
     return profiles.selectExpr(*[
         f"cast({columns.get(c, name(c))} as string) as {name(c)}" for c in REPORT_COLUMNS
     ])

@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 
 from assayer import model
 from assayer.functions.exprs import month_index, name, texts
-from assayer.model import Check, local_table, union_all
+from assayer.model import Check, local_table
+from assayer.operators import grains
+from assayer.operators.grains import Member
 
 
 def latency_check(table: str, field: str, test: str) -> Check:
@@ -16,6 +18,13 @@ def latency_check(table: str, field: str, test: str) -> Check:
                  f"The newest month of {table}.{field} holds {{value}} percent of the baseline rows.")
 
 
+def months(table: str, field: str, by_enc_type: bool) -> Member:
+    """Rows by month of ``field``; with ``by_enc_type`` rows of other than the main encounter
+    types weigh nothing, but their months are ranked."""
+    weight = f"if(ENC_TYPE in {texts(model.ENCOUNTER_TYPES)}, 1L, 0L)" if by_enc_type else "1L"
+    return Member(table, f"cast({month_index(field)} as string)", f"{name(field)} is not null", weight)
+
+
 def latency_parts(sources: dict[int, tuple[DataFrame, str, bool]]) -> DataFrame:
     """``(check_id, newest, baseline_rows, baseline_months)``.
 
@@ -23,33 +32,19 @@ def latency_parts(sources: dict[int, tuple[DataFrame, str, bool]]) -> DataFrame:
     by presence in the table, newest first; with ``by encounter type`` the ranks still
     come from all rows but only rows of the main encounter types are counted, and months
     without any leave the average.  Rows are counted per month before they are ranked, so
-    each window partition holds months, not rows.
+    what is ranked is months, not rows.
     """
-    months = []
-    for i, (df, field, by_enc_type) in sources.items():
-        counted = f"ENC_TYPE in {texts(model.ENCOUNTER_TYPES)}" if by_enc_type else "true"
-        months.append(df.where(f"{name(field)} is not null").selectExpr(
-            f"{i} as check_id", f"{month_index(field)} as month", f"if({counted}, 1L, 0L) as n",
-        ))
+    tables = {str(i): df for i, (df, *_) in sources.items()}
+    counted = grains.counts(tables, {i: months(str(i), f, by_type) for i, (_, f, by_type) in sources.items()})
     # A row without a month keeps a check on an empty table in the result.
-    spark = months[0].sparkSession
-    months.append(local_table(
-        spark,
-        pa.schema([("check_id", pa.int32()), ("month", pa.int32()), ("n", pa.int64())]),
-        [{"check_id": i, "month": None, "n": 0} for i in sources],
-    ))
-    per_month = union_all(months).groupBy("check_id", "month").agg(F.sum("n").alias("n"))
-    ranked = per_month.selectExpr(
-        "check_id", "n",
-        "dense_rank() over (partition by check_id order by month desc nulls last) as rank",
-    )
-    first, last = model.BASELINE_RANKS
-    baseline = f"rank between {first} and {last}"
-    return ranked.groupBy("check_id").agg(
-        F.expr("max(if(rank = 1, n, null)) as newest"),
-        F.expr(f"coalesce(sum(if({baseline}, n, null)), 0L) as baseline_rows"),
-        F.expr(f"count_if({baseline} and n > 0) as baseline_months"),
+    empty = local_table(
+        counted.sparkSession,
+        pa.schema([("member", pa.int32()), ("value", pa.string()), ("n", pa.int64())]),
+        [{"member": i, "value": None, "n": 0} for i in sources],
     )
+    ranked = counted.unionByName(empty).groupBy("member", "value").agg(F.sum("n").alias("n")).groupBy("member").agg(
+        F.expr(grains.MONTHS.format("true")).alias("months"))
+    return ranked.selectExpr("member as check_id", *[f"{e} as {c}" for c, e in grains.recency("months").items()])
 
 
 def latency_evidence(sources: dict[int, tuple[DataFrame, str, bool]]) -> DataFrame:

@@ -18,50 +18,64 @@ from assayer.functions.exprs import missing_or_null, name, outside, rows_of, tex
 from assayer.model import Check, union_all
 
 # Aggregates with more output fields than spark.sql.codegen.maxFields (100) lose
-# whole-stage code generation, so a pass holds at most this many measures.
-MEASURES_PER_PASS = 30
+# whole-stage code generation, so a pass holds at most this many counters.
+COUNTERS_PER_PASS = 90
 
 
 @dataclass(frozen=True)
 class Measure:
     """Predicates to count.  ``denominator`` None counts all rows; with ``seen`` the check
-    gives no result row unless that predicate occurs."""
+    gives no result row unless that predicate occurs.  With ``whole`` the numerator is an
+    aggregate itself."""
 
-    check: Check
+    check: Check | None
     numerator: str
     denominator: str | None = None
     seen: str | None = None
+    whole: bool = False
+
+    def counters(self) -> dict[str, str | None]:
+        """The aggregates of the measure, by what they stand for."""
+        def count(predicate: str | None) -> str:
+            return "count(*)" if predicate is None else f"count_if({predicate})"
+
+        return {
+            "numerator": self.numerator if self.whole else count(self.numerator),
+            "denominator": count(self.denominator),
+            "seen": None if self.seen is None else count(self.seen),
+        }
 
 
 def row_evidence(df: DataFrame, measures: dict[int, Measure]) -> DataFrame:
-    """Evidence of all measures of one table."""
-    items = list(measures.items())
-    passes = [
-        _one_pass(df, items[i:i + MEASURES_PER_PASS])
-        for i in range(0, len(items), MEASURES_PER_PASS)
-    ]
-    return union_all(passes)
+    """Evidence of all measures of one table, from one scan unless they need very many counters."""
+    passes: list[list[tuple[int, Measure]]] = []
+    counted: set[str] = set()
+    for item in measures.items():
+        own = {c for c in item[1].counters().values() if c}
+        if not passes or len(counted | own) > COUNTERS_PER_PASS:
+            passes.append([])
+            counted = set()
+        counted |= own
+        passes[-1].append(item)
+    return union_all([_one_pass(df, items) for items in passes])
 
 
 def _one_pass(df: DataFrame, items: Sequence[tuple[int, Measure]]) -> DataFrame:
     # Equal predicates are counted once.
     counted: dict[str, str] = {}
-
-    def count(predicate: str | None) -> str:
-        expression = "count(*)" if predicate is None else f"count_if({predicate})"
-        return counted.setdefault(expression, f"k{len(counted)}")
-
-    rows = [
-        {
-            "check_id": str(i), "numerator": count(m.numerator), "denominator": count(m.denominator),
-            "seen": "1L" if m.seen is None else count(m.seen),
-        }
-        for i, m in items
-    ]
+    rows = []
+    for i, m in items:
+        parts = {k: c and counted.setdefault(c, f"k{len(counted)}") for k, c in m.counters().items()}
+        rows.append({"check_id": str(i), **parts, "seen": parts["seen"] or "1L"})
     totals = df.agg(*[F.expr(f"{expression} as {alias}") for expression, alias in counted.items()])
     return totals.selectExpr(rows_of(rows)).where("seen > 0").drop("seen")
 
 
+def longest(field: str) -> Measure:
+    """Length of the longest value of a column, as text."""
+    return Measure(None, f"cast(max(length(cast({name(field)} as string))) as bigint)", whole=True)
+
+
 def rows_present(table: str, test: str = "DC 1.02") -> Measure:
     return Measure(
         Check(test, table, fails="not_above", text=f"{table} has {{value}} rows."), "true",

@@ -8,13 +8,11 @@ from __future__ import annotations
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from assayer.model import RESULT_COLUMNS, local_table, union_all
+from assayer.model import RESULT_COLUMNS, evidence_rows, local_table, union_all
+from assayer.operators import row
 from assayer.sources.registry import Tables, catalog
 
-LENGTHS_PER_PASS = 80
-
 
 def _result(df: DataFrame, test: str, text: Column, **given: Column) -> DataFrame:
     types = {"numerator": "bigint", "denominator": "bigint", "value": "double", "threshold": "double"}
@@ -57,7 +55,8 @@ def required_fields(tables: Tables, metadata: DataFrame, test: str = "DC 1.03")
 
 
 def field_conformance(
-    tables: Tables, metadata: DataFrame, test: str = "DC 1.04", lengths: str = "declared"
+    tables: Tables, metadata: DataFrame, test: str = "DC 1.04", lengths: str = "declared",
+    observed: DataFrame | None = None,
 ) -> DataFrame:
     """FAIL rows for columns deviating in type, length or name; ``group`` says which.
 
@@ -65,6 +64,7 @@ def field_conformance(
     ``lengths="declared"`` the live declared length must equal the specified one; with
     ``"observed"`` no value may be longer; ``"auto"`` takes the declared length where there
     is one and else the observed one, which suits files, where strings carry no length.
+    ``observed`` gives the observed lengths where a run has measured them already.
     """
     live = catalog(metadata.sparkSession, tables)
     dtype = metadata.join(live, ["table", "field", "dtype"], "left_anti").select("table", "field")
@@ -76,7 +76,9 @@ def field_conformance(
     else:
         known = declared.where("length is not null" if lengths == "auto" else "false")
         rest = metadata.join(known, ["table", "field"], "left_anti")
-        found = known.unionByName(observed_lengths(tables, rest).withColumn("exact", F.lit(False)))
+        seen = observed_lengths(tables, rest) if observed is None else observed.join(
+            known.select("table", "field"), ["table", "field"], "left_anti")
+        found = known.unionByName(seen.withColumn("exact", F.lit(False)))
     fits = F.when(F.col("exact"), F.col("length") == F.col("spec")).otherwise(
         F.coalesce(F.col("length"), F.lit(0)) <= F.col("spec")
     )
@@ -97,28 +99,29 @@ def field_conformance(
     ])
 
 
-def observed_lengths(tables: Tables, metadata: DataFrame) -> DataFrame:
-    """``(table, field, length)``: longest value of each text column with a specified length."""
+def limited_columns(tables: Tables, metadata: DataFrame) -> list[tuple[str, str]]:
+    """Live columns with a specified length."""
     limited = {
         (r["table"], r["field"])
         for r in metadata.where("length is not null").select("table", "field").collect()
     }
-    spark = metadata.sparkSession
-    parts = [local_table(
-        spark, pa.schema([("table", pa.string()), ("field", pa.string()), ("length", pa.int32())]), [],
-    )]
-    for table, df in tables.items():
-        fields = [f for f in df.schema.fields if (table, f.name.upper()) in limited]
-        for start in range(0, len(fields), LENGTHS_PER_PASS):
-            chunk = fields[start:start + LENGTHS_PER_PASS]
-            sizes = [
-                F.max(F.length(F.col(f.name) if isinstance(f.dataType, T.StringType)
-                               else F.col(f.name).cast("string"))).alias(f.name)
-                for f in chunk
-            ]
-            parts.append(df.agg(*sizes).select(F.inline(F.array(*[
-                F.struct(F.lit(table).alias("table"), F.lit(f.name.upper()).alias("field"),
-                         F.col(f.name).alias("length"))
-                for f in chunk
-            ]))))
-    return union_all(parts)
+    return [(t, f) for t, df in tables.items() for f in df.columns if (t, f.upper()) in limited]
+
+
+def named_lengths(measured: DataFrame, columns: dict[int, tuple[str, str]]) -> DataFrame:
+    """``(table, field, length)`` from evidence of ``row.longest`` by check id."""
+    names = local_table(
+        measured.sparkSession, pa.schema([("check_id", pa.int32()), ("table", pa.string()), ("field", pa.string())]),
+        [{"check_id": i, "table": t, "field": f.upper()} for i, (t, f) in columns.items()],
+    )
+    return measured.join(names, "check_id").select("table", "field", F.col("numerator").cast("int").alias("length"))
+
+
+def observed_lengths(tables: Tables, metadata: DataFrame) -> DataFrame:
+    """``(table, field, length)``: longest value of each column with a specified length."""
+    columns = dict(enumerate(limited_columns(tables, metadata)))
+    parts = [evidence_rows(metadata.sparkSession, [])]
+    for table in dict.fromkeys(t for t, _ in columns.values()):
+        own = {i: row.longest(f) for i, (t, f) in columns.items() if t == table}
+        parts.append(row.row_evidence(tables[table], own))
+    return named_lengths(union_all(parts), columns)

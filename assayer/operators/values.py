@@ -6,8 +6,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from assayer.functions.exprs import name, rows_of
-from assayer.model import Check, evidence_rows, local_table, union_all
+from assayer.functions.exprs import name
+from assayer.model import Check, local_table
+from assayer.operators import grains
+from assayer.operators.grains import Member, Use
 
 
 def value_set_check(table: str, field: str, test: str = "DC 1.06") -> Check:
@@ -20,32 +22,21 @@ def production_name(table: str) -> str:
     return table.removesuffix("_STG")
 
 
-def value_counts(tables: dict[str, DataFrame], fields: dict[int, tuple[str, str]]) -> DataFrame:
-    """``(check_id, value, n)`` for all given (table, field) pairs.
+def field_values(table: str, field: str) -> Member:
+    return Member(table, f"cast({name(field)} as string)", f"{name(field)} is not null")
 
-    One scan per table whatever the number of fields; values are counted before the
-    shuffle, and coded fields have few of them.
-    """
-    by_table: dict[str, list[tuple[int, str]]] = {}
-    for i, (table, field) in fields.items():
-        by_table.setdefault(table, []).append((i, field))
-    long = union_all([
-        tables[table].selectExpr(rows_of(
-            {"check_id": str(i), "value": f"cast({name(field)} as string)"} for i, field in items
-        ))
-        for table, items in by_table.items()
-    ])
-    return (
-        long.where(F.col("value").isNotNull())
-        .groupBy("check_id", "value").agg(F.count(F.lit(1)).alias("n"))
-    )
 
+def value_counts(tables: dict[str, DataFrame], fields: dict[int, tuple[str, str]]) -> DataFrame:
+    """``(check_id, value, n)`` for all given (table, field) pairs."""
+    found = grains.counts(tables, {i: field_values(t, f) for i, (t, f) in fields.items()})
+    return found.withColumnRenamed("member", "check_id")
 
-def _allowed(counts: DataFrame, fields: dict[int, tuple[str, str]], valuesets: DataFrame) -> DataFrame:
+
+def allowed_values(fields: dict[int, tuple[str, str]], valuesets: DataFrame) -> DataFrame:
     """Value-set items keyed by check.  Joins carry no hint: Catalyst broadcasts the sets
     when their known or observed size is small and shuffles them when it is not."""
     wanted = local_table(
-        counts.sparkSession,
+        valuesets.sparkSession,
         pa.schema([("check_id", pa.int32()), ("table", pa.string()), ("field", pa.string())]),
         [{"check_id": i, "table": production_name(t).upper(), "field": f.upper()} for i, (t, f) in fields.items()],
     )
@@ -66,7 +57,7 @@ def invalid_counts(
     reference table (no value is found in it).
     """
     counts = value_counts(tables, fields)
-    allowed = _allowed(counts, fields, valuesets)
+    allowed = allowed_values(fields, valuesets)
     marked = counts.join(allowed.withColumn("listed", F.lit(True)), ["check_id", "value"], "left")
     invalid = F.col("listed").isNull()
     if unlisted == "valid":
@@ -83,16 +74,9 @@ def value_set_evidence(
     unlisted: str = "valid",
 ) -> DataFrame:
     """Invalid rows over non-NULL rows, per check.  NULL is never invalid."""
-    marked = invalid_counts(tables, fields, valuesets, unlisted)
-    counted = marked.select(
-        "check_id",
-        F.when(F.col("invalid"), F.col("n")).otherwise(0).cast("bigint").alias("numerator"),
-        F.col("n").alias("denominator"),
-    )
-    empty = evidence_rows(marked.sparkSession, [(i, 0, 0) for i in fields])
-    return counted.unionByName(empty).groupBy("check_id").agg(
-        F.sum("numerator").alias("numerator"), F.sum("denominator").alias("denominator")
-    )
+    allowed = allowed_values(fields, valuesets).withColumnRenamed("check_id", "member")
+    members = {i: field_values(t, f) for i, (t, f) in fields.items()}
+    return grains.evidence(tables, members, [Use(i, i, "set") for i in fields], allowed, unlisted)
 
 
 def invalid_values(

@@ -49,7 +49,7 @@ class Workload:
     rows: dict[str, dict[int, row.Measure]]            # table -> measures
     primary_keys: dict[int, tuple[str, str]]           # (table, fields)
     values: dict[int, tuple[str, str]]                 # (table, field)
-    links: dict[tuple[tuple[str, str], ...], dict[int, links.Link]]  # parents -> links
+    links: dict[int, tuple[links.Link, tuple[tuple[str, str], ...]]]  # with parents
     copies: dict[str, dict[int, tuple[str, str]]]      # parent -> (child, field)
     duplicates: dict[int, tuple[str, str, str]]        # (table, field, unit)
     ages: dict[int, str]                               # table
@@ -66,15 +66,17 @@ OF_FIELDS = frozenset({
 
 
 class Compiler:
-    """Sorts manifest rows into a workload.  Unknown test ids give nothing."""
+    """Sorts manifest rows into a workload.  Unknown test ids give nothing.  Table names are
+    upper case from here on."""
 
     def __init__(self, tables: Tables, settings: Settings):
-        self.tables = tables
+        self.tables = {name.upper(): df for name, df in tables.items()}
         self.settings = settings
         self.next_id = 0
         self.work = Workload({}, {}, {}, {}, {}, {}, {}, {}, {}, {}, [], [])
 
     def add(self, table: str | None, field: str | None, test: str) -> None:
+        table = table.upper() if table else table
         if test in OF_FIELDS and not (table and field):
             self._unmeasured(table, field, test, f"{test} needs a table and a field.")
         elif test in ("DC 1.01", "DC 1.03", "DC 1.04"):
@@ -88,7 +90,7 @@ class Compiler:
                     self._new(Check(test, name, threshold=0, fails="not_above",
                                     text=f"{name} is not present."), available=False)
         elif test == "DC 1.05":
-            i, ok = self._on(keys.primary_key_check(table, field, test), (table, *field.split(", ")))
+            i, ok = self._on(keys.primary_key_check(table, field, test), (table, *keys.columns(field)))
             if ok:
                 self.work.primary_keys[i] = (table, field)
         elif test == "DC 1.06":
@@ -138,9 +140,7 @@ class Compiler:
             base = self.settings.encounter
             i, ok = self._on(links.patients_check(table, field, test), (table, PATIENT), (base, PATIENT))
             if ok:
-                # Shares the key aggregation of the patient orphans.
-                group = self._parents([("DEMOGRAPHIC", PATIENT)])
-                self.work.links.setdefault(group, {})[i] = links.Link(table, PATIENT, base)
+                self.work.links[i] = (links.Link(table, PATIENT, base), ())
         elif test in ("DC 3.07", "DC 3.11"):
             by_type = test == "DC 3.07"
             i, ok = self._on(recency.latency_check(table, field, test),
@@ -189,7 +189,7 @@ class Compiler:
         group = self._parents(parents)
         i, ok = self._on(links.orphan_check(table, key, test), (table, key), *group)
         if ok:
-            self.work.links.setdefault(group, {})[i] = links.Link(table, key)
+            self.work.links[i] = (links.Link(table, key), group)
 
     def _events(self, table: str, field: str, test: str) -> None:
         if test == "DC 3.01":

@@ -1,10 +1,11 @@
 """Running a manifest: many checks, few jobs.
 
-Checks are grouped by what has to be read and shuffled.  All row checks of a table share
-one scan and one aggregate; all value-set checks share one value count; all children of a
-parent share one aggregation by key; replicated fields, duplicated visits and recency
-share one job each.  The groups are unioned into a single DataFrame, so one action runs
-their stages side by side.
+Checks are grouped by what has to be read and shuffled.  A table is read at most four times,
+however many checks ask about it: once for everything counted row by row, observed lengths
+included (``row``); once for counts by value: value sets, months, encounter types
+(``grains``); once for its keys (``keystate``); and once for replicated fields or for ages.
+Each of these passes is one exchange over all tables.  The groups are unioned into a single
+DataFrame, so one action runs their stages side by side.
 """
 
 from __future__ import annotations
@@ -16,7 +17,9 @@ from pyspark.sql import DataFrame
 
 from assayer import model
 from assayer.model import evidence_rows, judge, union_all
-from assayer.operators import age, groups, keys, links, recency, replication, row, schema, values
+from assayer.operators import age, grains, groups, keys, links, recency, replication, row, schema, values
+from assayer.operators.grains import Member, Use
+from assayer.operators.keystate import Pass
 from assayer.plans.manifest import Compiler, Settings, Workload, manifest_frame
 from assayer.sources.registry import Tables
 
@@ -50,61 +53,105 @@ def run_checks(
     compiler = Compiler(tables, settings)
     for table, field, test in rows:
         compiler.add(table, field, test)
-    work = compiler.work
+    tables, work = compiler.tables, compiler.work
+    measured, lengths = _row_pass(tables, work, metadata, settings)
     parts = []
-    evidence = _evidence(tables, work, manifest, valuesets, as_of, settings)
+    evidence = _evidence(tables, work, measured, manifest, valuesets, as_of, settings)
     if evidence is not None:
         parts.append(judge(evidence, work.checks))
-    parts += _schema_results(tables, work, manifest, metadata, version, settings)
+    parts += _schema_results(tables, work, lengths, manifest, metadata, version, settings)
     if not parts:
         return judge(evidence_rows(manifest.sparkSession, []), {})
     return union_all(parts)
 
 
-def _evidence(
-    tables: Tables, work: Workload, manifest: DataFrame, valuesets: DataFrame | None,
-    as_of: datetime.date | None, settings: Settings,
-) -> DataFrame | None:
-    parts = [row.row_evidence(tables[t], measures) for t, measures in work.rows.items()]
-    parts += [
-        keys.primary_key_evidence(tables[t], fields, i) for i, (t, fields) in work.primary_keys.items()
-    ]
+def _row_pass(
+    tables: Tables, work: Workload, metadata: DataFrame | None, settings: Settings,
+) -> tuple[list[DataFrame], DataFrame | None]:
+    """Evidence by table of what is counted row by row, and observed lengths of columns.
+
+    Lengths are measures of the same aggregate, with ids behind those of the checks; both
+    results read all of it and filter after, so they share one exchange.
+    """
+    wanted: dict[int, tuple[str, str]] = {}
+    if "DC 1.04" in work.schema_tests and settings.lengths != "declared" and metadata is not None:
+        wanted = dict(enumerate(schema.limited_columns(tables, metadata), len(work.checks)))
+    measures = {t: dict(m) for t, m in work.rows.items()}
+    for i, (table, field) in wanted.items():
+        measures.setdefault(table, {})[i] = row.longest(field)
+    found = {t: row.row_evidence(tables[t], m) for t, m in measures.items()}
+    checked = [found[t].where(f"check_id < {len(work.checks)}") for t in work.rows]
+    if not wanted:
+        return checked, None
+    sized = dict.fromkeys(t for t, _ in wanted.values())
+    lengths = union_all([found[t].where(f"check_id >= {len(work.checks)} and denominator >= 0") for t in sized])
+    return checked, schema.named_lengths(lengths, wanted)
+
+
+def _grains(tables: Tables, work: Workload, valuesets: DataFrame | None, settings: Settings) -> DataFrame | None:
+    """Evidence of everything counted by value."""
+    members: list[Member] = []
+    uses: list[Use] = []
+    allowed = None
+
+    def number(member: Member) -> int:
+        if member not in members:
+            members.append(member)
+        return members.index(member)
+
     if work.values:
         if valuesets is None:
             raise ValueError("value-set checks (DC 1.06) need value sets")
-        parts.append(values.value_set_evidence(tables, work.values, valuesets, settings.unlisted))
-    parts += [links.link_evidence(tables, group, list(p)) for p, group in work.links.items()]
+        fields = {number(values.field_values(t, f)): (t, f) for t, f in work.values.values()}
+        uses += [Use(i, number(values.field_values(t, f)), "set") for i, (t, f) in work.values.items()]
+        allowed = values.allowed_values(fields, valuesets).withColumnRenamed("check_id", "member")
+    for i, (table, field, by_type) in work.latency.items():
+        uses.append(Use(i, number(recency.months(table, field, by_type)), "month"))
+    enc_types = sorted({t for ids in work.events.values() for t in ids.values()})
+    for (table, type_field, known), ids in work.events.items():
+        sides = [(number(groups.events(table, type_field, known, enc_types)), "numerator"),
+                 (number(groups.encounters("ENCOUNTER", enc_types)), "denominator")]
+        uses += [Use(i, member, role, t) for i, t in ids.items() for member, role in sides]
+    if not uses:
+        return None
+    return grains.evidence(tables, dict(enumerate(members)), uses, allowed, settings.unlisted, settings.include_empty)
+
+
+def _keys(tables: Tables, work: Workload) -> DataFrame | None:
+    """Evidence of everything asked of keys."""
+    one = Pass(tables)
+    for i, (table, fields) in work.primary_keys.items():
+        one.primary_key(i, table, keys.columns(fields))
+    for i, (link, parents) in work.links.items():
+        links.ask(one, i, link, parents)
+    for i, (table, field, unit) in work.duplicates.items():
+        one.duplicated(i, table, field, unit)
+    return one.evidence() if one.asked else None
+
+
+def _evidence(
+    tables: Tables, work: Workload, measured: list[DataFrame], manifest: DataFrame, valuesets: DataFrame | None,
+    as_of: datetime.date | None, settings: Settings,
+) -> DataFrame | None:
+    parts = [*measured, _keys(tables, work), _grains(tables, work, valuesets, settings)]
     parts += [
         replication.replication_evidence(tables, parent, "ENCOUNTERID", copies)
         for parent, copies in work.copies.items()
     ]
-    if work.duplicates:
-        parts.append(keys.duplication_evidence(
-            {i: (tables[t], f, unit) for i, (t, f, unit) in work.duplicates.items()}
-        ))
     parts += [
         age.extreme_age_evidence(tables[t], tables["DEATH"], i, as_of, settings.age_unit) for i, t in work.ages.items()
     ]
-    if work.events:
-        parts.append(groups.events_evidence(
-            tables["ENCOUNTER"],
-            [(tables[t], f, list(known), ids) for (t, f, known), ids in work.events.items()],
-            settings.include_empty,
-        ))
-    if work.latency:
-        parts.append(recency.latency_evidence(
-            {i: (tables[t], f, by_type) for i, (t, f, by_type) in work.latency.items()}
-        ))
     if work.unavailable:
         parts.append(evidence_rows(manifest.sparkSession, [(i, None, None) for i in work.unavailable]))
-    if not parts:
+    found = [p for p in parts if p is not None]
+    if not found:
         return None
-    return union_all([p.select("check_id", "numerator", "denominator") for p in parts])
+    return union_all([p.select("check_id", "numerator", "denominator") for p in found])
 
 
 def _schema_results(
-    tables: Tables, work: Workload, manifest: DataFrame, metadata: DataFrame | None, version: str,
-    settings: Settings,
+    tables: Tables, work: Workload, lengths: DataFrame | None, manifest: DataFrame, metadata: DataFrame | None,
+    version: str, settings: Settings,
 ) -> list[DataFrame]:
     out = []
     for test in work.schema_tests:
@@ -122,7 +169,7 @@ def _schema_results(
             failures = schema.required_fields(tables, metadata, test)
             text = "All required fields are present."
         else:
-            failures = schema.field_conformance(tables, metadata, test, settings.lengths)
+            failures = schema.field_conformance(tables, metadata, test, settings.lengths, lengths)
             text = "All fields conform to the specification."
         out.append(schema.pass_when_empty(failures, test, text))
     return out

@@ -67,13 +67,15 @@ def _holding(df: DataFrame, keys: list[str], order: str, wanted: str, keep: list
 def leading(keyed: DataFrame, held: DataFrame | None, before: int, shift: int) -> DataFrame:
     """Rows summed by the leading bits of their key down to ``shift``, of the groups in
     ``held`` (column_id, bits, of what is above ``before``) or of all."""
+    bits = F.expr(f"shiftright(key, {shift})").alias("bits")
     if held is None:
-        return keyed.groupBy("column_id", F.expr(f"shiftright(key, {shift})").alias("bits")).agg(F.sum("n").alias("n"))
+        return keyed.groupBy("column_id", bits).agg(F.sum("n").alias("n")).selectExpr(
+            "*", "0L as start", "sum(n) over (partition by column_id) as total")
     # Broadcast: at most two rows per percentile and column.
-    near = F.broadcast(held.selectExpr("column_id as of", "bits as above"))
+    near = F.broadcast(held.selectExpr("column_id as of", "bits as above", "start", "total"))
     among = keyed.join(near, F.expr(f"column_id = of and shiftright(key, {before}) = above"))
-    value = ["value"] if not shift else []
-    return among.groupBy("column_id", "above", F.expr(f"shiftright(key, {shift})").alias("bits"), *value).agg(F.sum("n").alias("n"))
+    value = [] if shift else ["value"]
+    return among.groupBy("column_id", "above", "start", "total", bits, *value).agg(F.sum("n").alias("n"))
 
 
 def percentiles_of(counts: DataFrame, percentiles: dict[str, float]) -> DataFrame:
@@ -89,13 +91,11 @@ def percentiles_of(counts: DataFrame, percentiles: dict[str, float]) -> DataFram
         for side, edge in (("low", "floor"), ("high", "ceil"))
     ) + ")"
     keyed = counts.selectExpr("column_id", "value", "key", "if(value is null, 0L, n) as n")
-    first = leading(keyed, None, 0, ROUNDS[0]).selectExpr("*", "0L as start", "sum(n) over (partition by column_id) as total")
-    held = _holding(first, ["column_id"], "bits", ranks, ["column_id", "bits", "total"])
+    held = _holding(leading(keyed, None, 0, ROUNDS[0]), ["column_id"], "bits", ranks, ["column_id", "bits", "total"])
     for before, shift in zip(ROUNDS, ROUNDS[1:]):
-        known = F.broadcast(held.withColumnRenamed("bits", "above"))
-        cells = leading(keyed, held, before, shift).join(known, ["column_id", "above"])
-        value = ["value"] if not shift else []
-        held = _holding(cells, ["column_id", "above"], ", ".join(["bits", *value]), "hits", ["column_id", "bits", "total", *value])
+        value = [] if shift else ["value"]
+        held = _holding(leading(keyed, held, before, shift), ["column_id", "above"], ", ".join(["bits", *value]), ranks,
+                        ["column_id", "bits", "total", *value])
     edges = held.selectExpr("column_id", "value", "total", "inline(hits)").groupBy("column_id").agg(
         F.max("total").alias("total"), *[
             F.expr(f"max(if(name = '{name}_{side}', value, null)) as {name}_{side}")

@@ -195,7 +195,7 @@ def _long(tables: Tables, columns: list[Profiled]) -> DataFrame:
     for column, expression in order_key("value").items():
         if column != "key":
             keyed = keyed.selectExpr("*", f"{expression} as {column}")
-    return keyed.selectExpr("column_id", "hashed", f"if(hashed, key, {order_key('value')['key']}) as key", "more", "value")
+    return keyed.selectExpr("column_id", "hashed", f"coalesce(if(hashed, key, {order_key('value')['key']}), 0L) as key", "more", "value")
 
 
 def _basics(df: DataFrame, columns: list[Profiled]) -> DataFrame:

@@ -13,9 +13,11 @@ import argparse
 import datetime
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from assayer import model
-from assayer.operators import values
+from assayer.model import union_all
+from assayer.operators import sketches, values
 from assayer.operators.profile import profile, profile_tables, report
 from assayer.plans.manifest import Settings
 from assayer.plans.run import run_checks
@@ -40,6 +42,7 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     parser.add_argument("--valuesets", help="value-set CSV")
     parser.add_argument("--reference-table", help="value sets as a table of the session catalog")
     parser.add_argument("--units", help="CSV of known units")
+    parser.add_argument("--unit-grammar", action="store_true", help="judge units by the grammar of unit codes too")
     parser.add_argument("--version", default="5.1")
     parser.add_argument("--as-of", type=datetime.date.fromisoformat)
     parser.add_argument("--min-flags", type=int, default=1)
@@ -47,6 +50,7 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     parser.add_argument("--include-empty", action="store_true", help="report encounter types without events")
     parser.add_argument("--age-unit", choices=["days", "years"], default="days")
     parser.add_argument("--union-parents", action="store_true")
+    parser.add_argument("--approximate", action="store_true", help="profile by sketches, stored and merged over run dates")
     parser.add_argument("--only", nargs=2, metavar=("FIELD", "VALUE"), help="profile only these rows")
     return parser.parse_args(argv)
 
@@ -84,6 +88,11 @@ def main(argv: list[str] | None = None) -> None:
                 if name in tables and field.upper() in _columns(tables[name]):
                     rows = report(profile(tables[name], name, metadata, (field, value)))
                     sinks.write_profile(rows, f"{args.out}/profile_filtered", (field, value), args.out_format)
+        elif args.approximate:
+            made = union_all([sketches.sketches(tables[n], n) for n in args.names or tables if n in tables])
+            sinks.write_sketches(made, f"{args.out}/sketches", datetime.date.today())
+            merged = sketches.merge(sinks.read_published(spark, f"{args.out}/sketches"))
+            sinks.write_profile(sketches.estimates(merged), f"{args.out}/profile_approximate", fmt=args.out_format)
         else:
             rows = report(profile_tables(tables, args.names, metadata))
             sinks.write_profile(rows, f"{args.out}/profile", fmt=args.out_format)
@@ -111,10 +120,12 @@ def main(argv: list[str] | None = None) -> None:
     if asked:
         invalid = values.invalid_values(tables, asked, sets, unlisted)
         sinks.write_invalid_values(invalid, f"{args.out}/invalid_values", args.out_format, today)
-        units = [(t, f) for t, f in asked if f.upper() in model.UNIT_FIELDS]
-        if units and args.units:
-            known = control.read_units(spark, args.units)
-            found = values.unit_validity(values.invalid_values(tables, units, sets, unlisted), known)
+        if args.units or args.unit_grammar:
+            # The listing is read back: values are not counted again.
+            listed = sinks.read_published(spark, f"{args.out}/invalid_values").where(F.col("run_date") == today)
+            units = listed.where(F.upper("field").isin(model.UNIT_FIELDS)).drop("run_date")
+            known = control.read_units(spark, args.units) if args.units else None
+            found = values.unit_validity(units, known, grammar=args.unit_grammar)
             sinks.write_unit_validity(found, f"{args.out}/unit_validity", args.out_format, today)
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from assayer.functions.exprs import name
 from assayer.model import Check, local_table
-from assayer.operators import grains
+from assayer.operators import grains, units
 from assayer.operators.grains import Member, Use
 
 
@@ -100,13 +100,19 @@ def invalid_values(
     )
 
 
-def unit_validity(invalid: DataFrame, known_units: DataFrame) -> DataFrame:
-    """Mark invalid unit values VALID when the user's unit table knows them.
+def unit_validity(invalid: DataFrame, known_units: DataFrame | None = None, grammar: bool = False) -> DataFrame:
+    """Mark invalid unit values VALID when the user's unit table knows them, or when with
+    ``grammar`` they are codes of the unit grammar (``units``).
 
     ``known_units`` has a column ``unit``.
     """
-    known = known_units.select(F.col("unit").alias("value")).distinct().withColumn("known", F.lit(True))
-    return invalid.join(known, "value", "left").select(
+    if known_units is not None:
+        known = known_units.select(F.col("unit").alias("value")).distinct().withColumn("known", F.lit(True))
+        invalid = invalid.join(known, "value", "left")
+    else:
+        invalid = invalid.withColumn("known", F.lit(None).cast("boolean"))
+    coded = units.valid_code("value") if grammar else "false"
+    return invalid.select(
         "table", "field", F.col("value").alias("unit"), "n",
-        F.when(F.col("known").isNull(), "INVALID").otherwise("VALID").alias("valid"),
+        F.expr(f"if(coalesce(known, false) or {coded}, 'VALID', 'INVALID')").alias("valid"),
     )

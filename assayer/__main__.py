@@ -49,6 +49,7 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     parser.add_argument("--lengths", choices=["auto", "declared", "observed"], default="auto")
     parser.add_argument("--include-empty", action="store_true", help="report encounter types without events")
     parser.add_argument("--age-unit", choices=["days", "years"], default="days")
+    parser.add_argument("--death-sources", nargs="+", help="values of DEATH_SOURCE, best first: one death a person counts")
     parser.add_argument("--union-parents", action="store_true")
     parser.add_argument("--approximate", action="store_true", help="profile by sketches, stored and merged over run dates")
     parser.add_argument("--only", nargs=2, metavar=("FIELD", "VALUE"), help="profile only these rows")
@@ -107,7 +108,8 @@ def main(argv: list[str] | None = None) -> None:
         sets = control.read_valuesets(spark, args.valuesets)
     settings = Settings(union_parents=args.union_parents, min_flags=args.min_flags,
                         unlisted=unlisted, lengths=args.lengths,
-                        include_empty=args.include_empty, age_unit=args.age_unit)
+                        include_empty=args.include_empty, age_unit=args.age_unit,
+                        death_sources=tuple(args.death_sources) if args.death_sources else None)
     today = datetime.date.today()
     results = run_checks(tables, manifest, metadata, sets, args.version, args.as_of or today, settings)
     sinks.write_results(results, f"{args.out}/results", today, args.out_format)

@@ -9,12 +9,13 @@ identifier repeated in a third of the rows shrinks to its distinct days.
 from __future__ import annotations
 
 import datetime
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from assayer import model
-from assayer.functions.exprs import comparable, saturated
+from assayer.functions.exprs import comparable, saturated, text
 from assayer.model import Check
 
 DAYS_PER_YEAR = 365  # the rule divides days by 365, leap years included
@@ -27,18 +28,39 @@ def extreme_age_check(table: str, field: str = "AGE", test: str = "DC 2.02") ->
                  f"{{value}} percent of ages in {table} are outside {low} to {high}.")
 
 
+def one_death(death: DataFrame, sources: Sequence[str]) -> DataFrame:
+    """One row (PATID, DEATH_DATE) per person: of the best source that gives a date, the
+    earliest date.  Sources that are not listed come last, persons without any date keep a
+    row without one.  The pick does not depend on the order of rows, and is made before the
+    shuffle as well as after, so no person's rows are gathered.
+    """
+    listed = " ".join(f"when {text(s)} then {rank}" for rank, s in enumerate(sources))
+    rank = f"case DEATH_SOURCE {listed} else {len(sources)} end" if sources else "0"
+    day = "datediff(try_cast(DEATH_DATE as date), date'1970-01-01')"
+    # Rank and day as one number: the least of it is the pick.  Days fit 32 bits.
+    return death.where("PATID is not null").selectExpr(
+        "PATID", f"cast({rank} as bigint) * 8589934592L + {day} + 4294967296L as pick"
+    ).groupBy("PATID").agg(F.min("pick").alias("pick")).selectExpr(
+        "PATID", "date_add(date'1970-01-01', cast(pmod(pick, 8589934592L) - 4294967296L as int)) as DEATH_DATE"
+    )
+
+
 def extreme_age_evidence(
     demographic: DataFrame,
     death: DataFrame,
     check_id: int,
     as_of: datetime.date | None = None,
     unit: str = "days",
+    sources: Sequence[str] | None = None,
 ) -> DataFrame:
     """Persons of implausible age, over the rows of ``demographic``.
 
-    A person with several death rows counts once per row in the numerator.  ``unit`` is
-    ``days`` (days / 365) or ``years`` (difference of the calendar years).
+    A person with several death rows counts once per row in the numerator, unless ``sources``
+    ranks the values of DEATH_SOURCE, best first: then one death counts, see ``one_death``.
+    ``unit`` is ``days`` (days / 365) or ``years`` (difference of the calendar years).
     """
+    if sources is not None:
+        death = one_death(death, sources)
     low, high = model.BOUNDS["AGE"]
     if unit == "days":
         point, scale = "datediff(try_cast({} as date), date'1970-01-01')", DAYS_PER_YEAR

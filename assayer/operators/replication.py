@@ -3,8 +3,10 @@
 The number of differing (child row, parent row) pairs is the number of pairs with both
 values present minus the pairs with equal values.  Both are sums of products of counts,
 so no pair is ever formed.  Copies mostly agree with their source, so counting rows per
-(key, field values) first leaves little more than one row per key; that also takes the
-weight out of a key repeated in a third of the rows before rows are gathered by key.
+(key, field values) first leaves little more than one row per key.  Counts are then taken in
+two levels: by (key, field, value), which spreads a key with very many values over all
+tasks, and by (key, field), where each task adds up what it holds of a key before a row of
+sums moves.  No task gathers the values of a key.
 """
 
 from __future__ import annotations
@@ -33,6 +35,17 @@ def _as_days(df: DataFrame, field: str) -> DataFrame:
     return df
 
 
+def by_value(combined: DataFrame, fields: int, sides: list[str]) -> DataFrame:
+    """Rows of each side by ``(key, field, value)``, dealt out by all three."""
+    return (
+        combined.selectExpr("key", *sides, rows_of(
+            {"field": str(n), "value": f"cast(v{n} as string)"} for n in range(fields)
+        ))
+        .where("value is not null")
+        .groupBy("key", "field", "value").agg(*[F.sum(s).alias(s) for s in sides])
+    )
+
+
 def replication_evidence(
     tables: dict[str, DataFrame],
     parent: str,
@@ -67,16 +80,7 @@ def replication_evidence(
     combined = union_all(parts).groupBy("key", *[f"v{n}" for n in range(len(fields))]).agg(
         *[F.sum(s).alias(s) for s in sides]
     )
-    # One shuffle by key serves both groupings below.
-    by_value = (
-        combined.repartition("key")
-        .selectExpr("key", *sides, rows_of(
-            {"field": str(n), "value": f"cast(v{n} as string)"} for n in range(len(fields))
-        ))
-        .where("value is not null")
-        .groupBy("key", "field", "value").agg(*[F.sum(s).alias(s) for s in sides])
-    )
-    by_key = by_value.groupBy("key", "field").agg(
+    by_key = by_value(combined, len(fields), sides).groupBy("key", "field").agg(
         F.sum("p").alias("p"),
         *[F.sum(c).alias(c) for c in side_of.values()],
         *[F.expr(f"sum(cast(p as decimal(19,0)) * {c}) as same_{c}") for c in side_of.values()],

@@ -26,6 +26,8 @@ class Settings:
     without events.  ``unlisted``: how a field without a value set reads.  ``lengths``:
     compare ``declared`` or ``observed`` lengths with the specification, or (``auto``) the
     declared one where there is one.  ``age_unit``: ``days`` (divided by 365) or ``years``.
+    ``death_sources``: values of DEATH_SOURCE, best first, by which one death of a person is
+    taken; without it every death row counts.
     """
 
     staging: bool = False
@@ -35,6 +37,7 @@ class Settings:
     unlisted: str = "valid"
     lengths: str = "auto"
     age_unit: str = "days"
+    death_sources: tuple[str, ...] | None = None
 
     @property
     def encounter(self) -> str:
@@ -127,7 +130,8 @@ class Compiler:
                 self._unmeasured(table, field, test, f"{table} has no rule for codes.")
         elif test == "DC 2.02" and field.upper() == "AGE":
             i, ok = self._on(age.extreme_age_check(table, field, test),
-                             (table, PATIENT, "BIRTH_DATE"), ("DEATH", PATIENT, "DEATH_DATE"))
+                             (table, PATIENT, "BIRTH_DATE"), ("DEATH", PATIENT, "DEATH_DATE",
+                                                              *(["DEATH_SOURCE"] if self.settings.death_sources else [])))
             if ok:
                 self.work.ages[i] = table
         elif test == "DC 2.02" and field.upper() in model.BOUNDS:

@@ -139,7 +139,8 @@ def _evidence(
         for parent, copies in work.copies.items()
     ]
     parts += [
-        age.extreme_age_evidence(tables[t], tables["DEATH"], i, as_of, settings.age_unit) for i, t in work.ages.items()
+        age.extreme_age_evidence(tables[t], tables["DEATH"], i, as_of, settings.age_unit, settings.death_sources)
+        for i, t in work.ages.items()
     ]
     if work.unavailable:
         parts.append(evidence_rows(manifest.sparkSession, [(i, None, None) for i in work.unavailable]))

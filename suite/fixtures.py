@@ -15,6 +15,7 @@ VALUE_SETS = {
     ("DIAGNOSIS", "ENC_TYPE"): ["AV", "ED", "EI", "IP", "OA"],
     ("DIAGNOSIS", "DX_TYPE"): ["09", "10", "SM"],
     ("LAB_RESULT_CM", "RESULT_UNIT"): ["purchase"],
+    ("LAB_UNITS", "RESULT_UNIT"): ["mg/dL"],
 }
 KNOWN_UNITS = ["click", "view"]
 

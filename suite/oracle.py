@@ -7,7 +7,7 @@ computes it: orphans by NOT EXISTS, replication by a join, percentiles by quanti
 from __future__ import annotations
 
 from suite import fixtures
-from suite.projections import TABLES, with_tables
+from suite.projections import TABLES, UNITS, with_tables
 
 VALUE = {
     "count": "cast(numerator as double)",
@@ -83,14 +83,22 @@ def outside(table: str, field: str, low: int, high: int, recorded: bool) -> str:
     )
 
 
-def age(unit: str) -> str:
+#: The death of the best source, and of those the earliest.
+ONE_DEATH = (
+    "(select PATID, DEATH_DATE from (select *, row_number() over (partition by PATID order by"
+    " case DEATH_SOURCE when 'S' then 0 when 'L' then 1 else 2 end, DEATH_DATE) as k from death"
+    " where DEATH_DATE is not null) where k = 1)"
+)
+
+
+def age(unit: str, death: str = "death") -> str:
     until = "coalesce(h.DEATH_DATE, date '2024-12-31')"
     if unit == "days":
         years = f"date_diff('day', d.BIRTH_DATE, {until}) / 365.0"
     else:
         years = f"year({until}) - year(d.BIRTH_DATE)"
     return (
-        f"select (select count(*) from demographic d left join death h on d.PATID = h.PATID"
+        f"select (select count(*) from demographic d left join {death} h on d.PATID = h.PATID"
         f" where {years} not between 0 and 89) as numerator,"
         f" (select count(*) from demographic) as denominator"
     )
@@ -292,13 +300,13 @@ def pct(part: str) -> str:
     return f"((2000*{part} + cn) // (2*cn)) / 10.0"
 
 
-def text_profile(table: str, field: str) -> str:
+def text_profile(table: str, field: str, where: str = "") -> str:
     return (
         f"select '{field}' as field, cn, nd, {pct('nd')} as pct_dist, n_null, {pct('n_null')} as pct_null,"
         f" n_ni, {pct('n_ni')} as pct_missing, min_text, max_text from ("
         f"select count(*) as cn, count(distinct {field}) as nd, count(*) - count({field}) as n_null,"
         f" count(*) filter (where cast({field} as varchar) in ('NI','UN','OT')) as n_ni,"
-        f" cast(min({field}) as varchar) as min_text, cast(max({field}) as varchar) as max_text from {table})"
+        f" cast(min({field}) as varchar) as min_text, cast(max({field}) as varchar) as max_text from {table} {where})"
     )
 
 
@@ -316,6 +324,39 @@ def numeric_profile(table: str, field: str, where: str = "") -> str:
     )
 
 
+def exact_profile(table: str, field: str) -> str:
+    return (
+        f"select '{field}' as field, count(*) as cn, count(distinct {field}) as nd, count(*) - count({field}) as n_null,"
+        f" cast(min({field}) as varchar) as min_exact, cast(max({field}) as varchar) as max_exact from {table}"
+    )
+
+
+def sketch_profile(table: str, field: str) -> str:
+    close = ", ".join(f"true as {n}_close" for n in ("nd", "p05", "p25", "median", "p75", "p95"))
+    return (
+        f"select '{field}' as field, count(*) as cn, count(*) - count({field}) as n_null,"
+        f" min({field}) as min_num, max({field}) as max_num, {close} from {table}"
+    )
+
+
+NUMERIC_ONLY = ["min_num", "p05", "p25", "median", "mean", "p75", "p95", "max_num"]
+
+
+def profile_filtered() -> str:
+    where, parts = "where RESULT_UNIT = 'click'", []
+    for column in TABLES["LAB_RESULT_CM"][0].columns:
+        if column == "RESULT_NUM":
+            shown = ["cn", "nd", "pct_dist", "n_null", "pct_null", "cast(null as bigint) as n_ni", "cast(null as double) as pct_missing",
+                     "cast(null as varchar) as min_text", "cast(null as varchar) as max_text", *NUMERIC_ONLY]
+            inner = numeric_profile("lab_result_cm", column, where)
+        else:
+            shown = ["cn", "nd", "pct_dist", "n_null", "pct_null", "n_ni", "pct_missing", "min_text", "max_text",
+                     *[f"cast(null as double) as {c}" for c in NUMERIC_ONLY]]
+            inner = text_profile("lab_result_cm", column, where)
+        parts.append(f"select field, {', '.join(shown)} from ({inner})")
+    return " union all ".join(parts)
+
+
 def profile_report() -> str:
     parts = []
     for t in ("DEMOGRAPHIC", "VITAL", "LAB_RESULT_CM"):
@@ -451,6 +492,7 @@ def build() -> dict[str, str]:
         "primary_key_error": simple(primary_key("diagnosis", "DIAGNOSISID"), "count", "0.0", "DIAGNOSIS"),
         "primary_key_composite": judged(primary_key("lineitem", "l_orderkey, l_linenumber"), "count", "0.0"),
         "value_validation": simple(in_value_set("demographic", "SEX", "DEMOGRAPHIC"), "count", "0.0", "DEMOGRAPHIC"),
+        "value_validation_name_case": simple(in_value_set("demographic", "SEX", "DEMOGRAPHIC"), "count", "0.0", "DEMOGRAPHIC"),
         "value_validation_ref": simple(in_value_set("demographic", "RACE", "DEMOGRAPHIC"), "count", "0.0", "DEMOGRAPHIC"),
         "invalid_values": with_tables(" union all ".join([
             listing("demographic", "SEX", "DEMOGRAPHIC"), listing("demographic", "RACE", "DEMOGRAPHIC"),
@@ -462,6 +504,13 @@ def build() -> dict[str, str]:
             "LAB_RESULT_CM"),
         "missing_default": simple(missing("demographic", "SEX", True, False), "pct2", "0.0", "DEMOGRAPHIC"),
         "missing_null_only": simple(missing("demographic", "BIRTH_DATE", False, False), "pct2", "10.0", "DEMOGRAPHIC"),
+        "missing_numeric": simple(missing("vital", "HT", False, False), "pct2", "0.0", "VITAL"),
+        "missing_date": simple(missing("death", "DEATH_DATE", False, False), "pct2", "0.0", "DEATH"),
+        "unit_validity_grammar": with_tables(
+            "select value as unit, n, case when good then 'VALID' else 'INVALID' end as valid"
+            f" from ({listing('lab_units', 'RESULT_UNIT', 'LAB_UNITS')}) join (values "
+            + ", ".join(f"('{u}', {str(good).lower()})" for u, good in UNITS.items()) + ") judged(unit, good) on unit = value",
+            "LAB_UNITS"),
         "missing_inpatient_date": simple(missing("encounter", "DISCHARGE_DATE", False, True), "pct2", "10.0", "ENCOUNTER"),
         "missing_disposition": simple(
             missing("encounter", "DISCHARGE_DISPOSITION", True, True), "pct2", "10.0", "ENCOUNTER"),
@@ -475,6 +524,8 @@ def build() -> dict[str, str]:
             orphans("encounter", "PROVIDERID", "provider", "PROVIDERID"), "count", "0.0", "ENCOUNTER", "PROVIDER"),
         "replication_field": simple(replicated("diagnosis", "ENC_TYPE"), "count", "0.0", "ENCOUNTER", "DIAGNOSIS"),
         "replication_date": simple(replicated("diagnosis", "ADMIT_DATE"), "count", "0.0", "ENCOUNTER", "DIAGNOSIS"),
+        "replication_timestamp": simple(
+            replicated("line_moments", "SEEN", "visit_moments"), "count", "0.0", "VISIT_MOMENTS", "LINE_MOMENTS"),
         "record_duplication": simple(duplication("diagnosis"), "pct2", "5.0", "DIAGNOSIS"),
         "extreme_ht": simple(outside("vital", "HT", 0, 94, True), "pct2", "10.0", "VITAL"),
         "extreme_wt": simple(outside("vital", "WT", 0, 350, True), "pct2", "10.0", "VITAL"),
@@ -482,6 +533,7 @@ def build() -> dict[str, str]:
         "extreme_systolic": simple(outside("vital", "SYSTOLIC", 40, 210, True), "pct2", "10.0", "VITAL"),
         "extreme_supply": simple(outside("dispensing", "DISPENSE_SUP", 1, 90, False), "pct2", "10.0", "DISPENSING"),
         "extreme_age": simple(age("days"), "pct2", "10.0", "DEMOGRAPHIC", "DEATH"),
+        "extreme_age_one_death": simple(age("days", ONE_DEATH), "pct2", "10.0", "DEMOGRAPHIC", "DEATH"),
         "extreme_age_years": simple(age("years"), "pct2", "10.0", "DEMOGRAPHIC", "DEATH"),
         "events_per_encounter_dx": with_tables(judged_events("diagnosis", DX_EVENTS), "DIAGNOSIS", "ENCOUNTER"),
         "events_per_encounter_px": with_tables(judged_events("procedures", PX_EVENTS), "PROCEDURES", "ENCOUNTER"),
@@ -505,8 +557,11 @@ def build() -> dict[str, str]:
             "DEMOGRAPHIC"),
         "profile_numeric": with_tables(
             " union all ".join(numeric_profile("vital", c) for c in ("HT", "WT", "DIASTOLIC", "SYSTOLIC")), "VITAL"),
-        "profile_filtered": with_tables(
-            numeric_profile("lab_result_cm", "RESULT_NUM", "where RESULT_UNIT = 'click'"), "LAB_RESULT_CM"),
+        "profile_filtered": with_tables(profile_filtered(), "LAB_RESULT_CM"),
+        "profile_long_integers": with_tables(
+            " union all ".join(exact_profile("long_numbers", c) for c in ("NUMBER", "AMOUNT")), "LONG_NUMBERS"),
+        "profile_sketches": with_tables(
+            " union all ".join(sketch_profile("vital", c) for c in ("HT", "WT", "DIASTOLIC", "SYSTOLIC")), "VITAL"),
         "profile_report": with_tables(profile_report(), "DEMOGRAPHIC", "VITAL", "LAB_RESULT_CM"),
         "run_manifest": with_tables(run_manifest(), *every),
         "run_staging_manifest": with_tables(run_staging_manifest(), "DEMOGRAPHIC", "DIAGNOSIS", "ENCOUNTER"),

@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from assayer.model import judge
-from assayer.operators import age, codes, groups, keys, links, recency, replication, row, schema, values
-from assayer.operators.profile import profile, profile_tables
+from assayer.operators import age, codes, groups, keys, links, recency, replication, row, schema, sketches, values
+from assayer.operators.profile import PERCENTILES, profile, profile_tables
 from assayer.plans.manifest import Settings, manifest_frame
 from assayer.plans.run import run_checks
 from assayer.sources.control import reference_valuesets
@@ -105,13 +105,12 @@ def patients_per_encounter(spark, root):
     return judge(evidence, {0: links.patients_check("DIAGNOSIS", "DX", "DC 3.04")}).select(*EVIDENCE)
 
 
-def _replication(field: str) -> Query:
+def _replication(field: str, child: str = "DIAGNOSIS", parent: str = "ENCOUNTER") -> Query:
     def query(spark: SparkSession, root: str) -> DataFrame:
         evidence = replication.replication_evidence(
-            _open(spark, root, "ENCOUNTER", "DIAGNOSIS"), "ENCOUNTER", "ENCOUNTERID",
-            {0: ("DIAGNOSIS", field)},
+            _open(spark, root, parent, child), parent, "ENCOUNTERID", {0: (child, field)},
         )
-        return judge(evidence, {0: replication.replication_check("DIAGNOSIS", field)}).select(*EVIDENCE)
+        return judge(evidence, {0: replication.replication_check(child, field)}).select(*EVIDENCE)
     return query
 
 
@@ -144,6 +143,13 @@ def unit_validity(spark, root):
     return values.unit_validity(invalid, fixtures.known_units(spark)).select("unit", "n", "valid")
 
 
+def unit_validity_grammar(spark, root):
+    """Units outside their set, judged by the grammar of unit codes."""
+    invalid = values.invalid_values(_open(spark, root, "LAB_UNITS"), [("LAB_UNITS", "RESULT_UNIT")],
+                                    fixtures.value_sets(spark))
+    return values.unit_validity(invalid, grammar=True).select("unit", "n", "valid")
+
+
 # ---- groups, ages, recency -----------------------------------------------------
 
 def _events(table: str, field: str, test: str) -> Query:
@@ -154,10 +160,10 @@ def _events(table: str, field: str, test: str) -> Query:
     return query
 
 
-def _age(unit: str) -> Query:
+def _age(unit: str, sources: tuple[str, ...] | None = None) -> Query:
     def query(spark: SparkSession, root: str) -> DataFrame:
         tables = _open(spark, root, "DEMOGRAPHIC", "DEATH")
-        evidence = age.extreme_age_evidence(tables["DEMOGRAPHIC"], tables["DEATH"], 0, AS_OF, unit)
+        evidence = age.extreme_age_evidence(tables["DEMOGRAPHIC"], tables["DEATH"], 0, AS_OF, unit, sources)
         return judge(evidence, {0: age.extreme_age_check("DEMOGRAPHIC")}).select(*EVIDENCE)
     return query
 
@@ -241,7 +247,35 @@ def profile_numeric(spark, root):
 
 def profile_filtered(spark, root):
     df = profile(frame(spark, root, "LAB_RESULT_CM"), "LAB_RESULT_CM", only=("RESULT_UNIT", "click"))
-    return _rounded(df.where("field = 'RESULT_NUM'"), NUMERIC_PROFILE)
+    return _rounded(df, [*TEXT_PROFILE, *NUMERIC_PROFILE[6:]])
+
+
+def profile_long_integers(spark, root):
+    """Extremes and distinct values of numbers that doubles cannot hold."""
+    df = profile(frame(spark, root, "LONG_NUMBERS"), "LONG_NUMBERS")
+    return df.select("field", "cn", "nd", "n_null", "min_exact", "max_exact")
+
+
+CLOSE = {"nd": 0.04, "rank": 0.01}
+
+
+def profile_sketches(spark, root):
+    """Sketches of each year of a table, merged: exact counts, and whether distinct counts and
+    percentiles are as close to the whole table as the library says."""
+    df = frame(spark, root, "VITAL")
+    merged = sketches.merge(sketches.sketches(df, "VITAL", by="year(MEASURE_DATE)"))
+    found = sketches.estimates(merged).where("kind = 'numeric'")
+    names = list(PERCENTILES)
+    long = df.selectExpr("inline(array(" + ", ".join(
+        f"named_struct('field', '{f}', 'value', {f})" for f in ("HT", "WT", "DIASTOLIC", "SYSTOLIC")) + "))").where("value is not null")
+    real = long.join(found.select("field", *names), "field").groupBy("field").agg(
+        F.countDistinct("value").alias("real_nd"), F.count(F.lit(1)).alias("rows"),
+        *[F.expr(f"count_if(value {sign} {p})").alias(f"{side}_{p}") for p in names for side, sign in (("under", "<"), ("upto", "<="))],
+    )
+    close = [f"under_{n} <= rows * {p + CLOSE['rank']}D and upto_{n} >= rows * {p - CLOSE['rank']}D as {n}_close"
+             for n, p in PERCENTILES.items()]
+    return found.join(real, "field").selectExpr(
+        "field", "cn", "n_null", "min_num", "max_num", f"abs(nd - real_nd) <= {CLOSE['nd']}D * real_nd as nd_close", *close)
 
 
 REPORT = ["table", "field", "required", "ordinal", *TEXT_PROFILE[1:], *NUMERIC_PROFILE[6:]]
@@ -291,11 +325,15 @@ QUERIES: dict[str, Query] = {
     "primary_key_error": primary_key_error,
     "primary_key_composite": primary_key_composite,
     "value_validation": _value_query("DEMOGRAPHIC", "SEX", reference=False),
+    "value_validation_name_case": _value_query("DEMOGRAPHIC", "sex", reference=False),
     "value_validation_ref": _value_query("DEMOGRAPHIC", "RACE", reference=True),
     "invalid_values": invalid_values,
     "unit_validity": unit_validity,
+    "unit_validity_grammar": unit_validity_grammar,
     "missing_default": _missing("DEMOGRAPHIC", "SEX", "DC 1.07", 0),
     "missing_null_only": _missing("DEMOGRAPHIC", "BIRTH_DATE", "DC 3.03", 10),
+    "missing_numeric": _missing("VITAL", "HT", "DC 1.07", 0),
+    "missing_date": _missing("DEATH", "DEATH_DATE", "DC 1.07", 0),
     "missing_inpatient_date": _missing("ENCOUNTER", "DISCHARGE_DATE", "DC 3.03", 10),
     "missing_disposition": _missing("ENCOUNTER", "DISCHARGE_DISPOSITION", "DC 3.03", 10),
     "orphan_patients": _orphans("ENCOUNTER", "PATID", "DC 1.08", "DEMOGRAPHIC", "PATID"),
@@ -304,6 +342,7 @@ QUERIES: dict[str, Query] = {
     "orphan_providers": _orphans("ENCOUNTER", "PROVIDERID", "DC 1.12", "PROVIDER", "PROVIDERID"),
     "replication_field": _replication("ENC_TYPE"),
     "replication_date": _replication("ADMIT_DATE"),
+    "replication_timestamp": _replication("SEEN", "LINE_MOMENTS", "VISIT_MOMENTS"),
     "record_duplication": record_duplication,
     "code_errors_diagnosis": _codes("DIAGNOSIS"),
     "code_errors_diagnosis_two_flags": _codes("DIAGNOSIS", min_flags=2),
@@ -320,6 +359,7 @@ QUERIES: dict[str, Query] = {
     "extreme_supply": _extreme("DISPENSING", "DISPENSE_SUP"),
     "extreme_age": _age("days"),
     "extreme_age_years": _age("years"),
+    "extreme_age_one_death": _age("days", ("S", "L")),
     "events_per_encounter_dx": _events("DIAGNOSIS", "DX", "DC 3.01"),
     "events_per_encounter_px": _events("PROCEDURES", "PX", "DC 3.02"),
     "patients_per_encounter": patients_per_encounter,
@@ -334,6 +374,8 @@ QUERIES: dict[str, Query] = {
     "profile_strings": profile_strings,
     "profile_numeric": profile_numeric,
     "profile_filtered": profile_filtered,
+    "profile_long_integers": profile_long_integers,
+    "profile_sketches": profile_sketches,
     "profile_report": profile_report,
     "run_manifest": run_manifest,
     "run_staging_manifest": run_staging_manifest,

@@ -3,14 +3,15 @@
     spark-submit … -m assayer checks  --tables ROOT --manifest M.csv --out OUT [options]
     spark-submit … -m assayer profile --tables ROOT --out OUT [options]
 
-Tables are files ``ROOT/<NAME><suffix>``, or tables of a session database with
-``--database``.
+Tables are files ``ROOT/<NAME><suffix>``, tables of a session database with ``--database``,
+or tables of a database server with ``--jdbc-url``.
 """
 
 from __future__ import annotations
 
 import argparse
 import datetime
+import os
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
@@ -21,7 +22,7 @@ from assayer.operators import sketches, values
 from assayer.operators.profile import profile, profile_tables, report
 from assayer.plans.manifest import Settings
 from assayer.plans.run import run_checks
-from assayer.sources import control, sinks
+from assayer.sources import control, database, sinks
 from assayer.sources.registry import Tables, open_database, open_directory
 
 
@@ -31,6 +32,16 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     source = parser.add_mutually_exclusive_group(required=True)
     source.add_argument("--tables", help="folder holding one file or folder per table")
     source.add_argument("--database", help="database of the session catalog")
+    source.add_argument("--jdbc-url", help="address of a database server")
+    parser.add_argument("--jdbc-schema")
+    parser.add_argument("--jdbc-property", nargs="*", default=[], metavar="KEY=VALUE", help="driver, user and the like")
+    parser.add_argument("--jdbc-password-env", help="environment variable that holds the password")
+    parser.add_argument("--jdbc-catalog", help="read through a catalog of this name, aggregates pushed to the server")
+    parser.add_argument("--split", nargs="*", default=[], metavar="TABLE=COLUMN", help="read these tables in parts by a column;"
+                        " default: the primary key of the specification")
+    parser.add_argument("--rows-per-part", type=int, default=database.ROWS_PER_PART)
+    parser.add_argument("--most-parts", type=int, default=database.MOST_PARTS, help="connections to the server at a time")
+    parser.add_argument("--footers", action="store_true", help="take row and NULL counts of Parquet tables from their footers")
     parser.add_argument("--suffix", default=".parquet")
     parser.add_argument("--format", default="parquet")
     parser.add_argument("--names", nargs="*", help="tables to open; default: those the specification knows")
@@ -56,17 +67,35 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     return parser.parse_args(argv)
 
 
+def _server_tables(spark: SparkSession, args: argparse.Namespace, names: list[str]) -> Tables:
+    properties = dict(p.split("=", 1) for p in args.jdbc_property)
+    if args.jdbc_password_env:
+        properties["password"] = os.environ[args.jdbc_password_env]
+    server = database.Server(spark, args.jdbc_url, args.jdbc_schema, properties)
+    names = server.present(names)
+    if args.jdbc_catalog:
+        return server.open_catalog(names, args.jdbc_catalog)
+    columns = {t.upper(): c for t, c in (s.split("=", 1) for s in args.split)}
+    if args.metadata:
+        spec = control.read_metadata(spark, args.metadata, args.dialect).where("primary = 'P'").orderBy("table", "ordinal")
+        for r in spec.collect():
+            columns.setdefault(r["table"], r["field"])
+    return server.open(names, server.plan({t: c for t, c in columns.items() if t in names}, args.rows_per_part, args.most_parts))
+
+
 def _tables(spark: SparkSession, args: argparse.Namespace) -> Tables:
     names = args.names or model.REQUIRED_TABLES["5.1"]
     if args.version.endswith("_STG") and not args.names:
         names = names + [f"{n}_STG" for n in names]
+    if args.jdbc_url:
+        return _server_tables(spark, args, names)
     if args.database:
         live = {t.name.upper() for t in spark.catalog.listTables(args.database)}
         return open_database(spark, [n for n in names if n in live], args.database)
     found = {}
     for name in names:
         try:
-            found |= open_directory(spark, args.tables, [name], args.suffix, args.format)
+            found |= open_directory(spark, args.tables, [name], args.suffix, args.format, footers=args.footers)
         except Exception as error:  # an absent table is a finding of the run, not its end
             if "PATH_NOT_FOUND" not in str(error):
                 raise
@@ -109,6 +138,7 @@ def main(argv: list[str] | None = None) -> None:
     settings = Settings(union_parents=args.union_parents, min_flags=args.min_flags,
                         unlisted=unlisted, lengths=args.lengths,
                         include_empty=args.include_empty, age_unit=args.age_unit,
+                        footers=args.footers,
                         death_sources=tuple(args.death_sources) if args.death_sources else None)
     today = datetime.date.today()
     results = run_checks(tables, manifest, metadata, sets, args.version, args.as_of or today, settings)

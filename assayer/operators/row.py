@@ -26,13 +26,15 @@ COUNTERS_PER_PASS = 90
 class Measure:
     """Predicates to count.  ``denominator`` None counts all rows; with ``seen`` the check
     gives no result row unless that predicate occurs.  With ``whole`` the numerator is an
-    aggregate itself."""
+    aggregate itself.  ``filled``: aggregates that count rows and values only and give the same
+    numerator by subtraction, see ``footer_evidence``."""
 
     check: Check | None
     numerator: str
     denominator: str | None = None
     seen: str | None = None
     whole: bool = False
+    filled: str | None = None
 
     def counters(self) -> dict[str, str | None]:
         """The aggregates of the measure, by what they stand for."""
@@ -46,8 +48,14 @@ class Measure:
         }
 
 
-def row_evidence(df: DataFrame, measures: dict[int, Measure]) -> DataFrame:
-    """Evidence of all measures of one table, from one scan unless they need very many counters."""
+def row_evidence(df: DataFrame, measures: dict[int, Measure], footers: bool = False) -> DataFrame:
+    """Evidence of all measures of one table, from one scan unless they need very many counters.
+    With ``footers`` what counts rows and NULLs only is asked apart, without reading a value
+    where the source knows these counts."""
+    if footers and any(m.filled for m in measures.values()):
+        rest = {i: m for i, m in measures.items() if not m.filled}
+        counted = footer_evidence(df, {i: m for i, m in measures.items() if m.filled})
+        return union_all([counted, row_evidence(df, rest)] if rest else [counted])
     passes: list[list[tuple[int, Measure]]] = []
     counted: set[str] = set()
     for item in measures.items():
@@ -71,6 +79,18 @@ def _one_pass(df: DataFrame, items: Sequence[tuple[int, Measure]]) -> DataFrame:
     return totals.selectExpr(rows_of(rows)).where("seen > 0").drop("seen")
 
 
+def footer_evidence(df: DataFrame, measures: dict[int, Measure]) -> DataFrame:
+    """Evidence of measures with ``filled``, from plain counts of rows and of values."""
+    counted = {"count(*)": "k0"}
+    for m in measures.values():
+        counted.setdefault(m.filled, f"k{len(counted)}")
+    totals = df.agg(*[F.expr(f"{expression} as {alias}") for expression, alias in counted.items()])
+    return totals.selectExpr(rows_of(
+        {"check_id": str(i), "numerator": "k0" if m.filled == "count(*)" else f"k0 - {counted[m.filled]}", "denominator": "k0"}
+        for i, m in measures.items()
+    ))
+
+
 def longest(field: str) -> Measure:
     """Length of the longest value of a column, as text."""
     return Measure(None, f"cast(max(length(cast({name(field)} as string))) as bigint)", whole=True)
@@ -78,7 +98,7 @@ def longest(field: str) -> Measure:
 
 def rows_present(table: str, test: str = "DC 1.02") -> Measure:
     return Measure(
-        Check(test, table, fails="not_above", text=f"{table} has {{value}} rows."), "true",
+        Check(test, table, fails="not_above", text=f"{table} has {{value}} rows."), "true", filled="count(*)",
     )
 
 
@@ -97,7 +117,8 @@ def missing_or_unknown(table: str, field: str, test: str, threshold: float) -> M
     else:
         num, den = coded, None
     message = f"{{value}} percent of {table}.{field} is missing or unknown."
-    return Measure(Check(test, table, field, None, threshold, "pct2", "above", message), num, den)
+    filled = f"count({name(field)})" if (num, den) == (absent, None) else None
+    return Measure(Check(test, table, field, None, threshold, "pct2", "above", message), num, den, filled=filled)
 
 
 def extreme_values(table: str, field: str, test: str = "DC 2.02") -> Measure:

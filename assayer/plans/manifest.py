@@ -27,7 +27,8 @@ class Settings:
     compare ``declared`` or ``observed`` lengths with the specification, or (``auto``) the
     declared one where there is one.  ``age_unit``: ``days`` (divided by 365) or ``years``.
     ``death_sources``: values of DEATH_SOURCE, best first, by which one death of a person is
-    taken; without it every death row counts.
+    taken; without it every death row counts.  ``footers``: counts of rows and NULLs are asked
+    apart, for tables opened with ``footers``.
     """
 
     staging: bool = False
@@ -38,6 +39,7 @@ class Settings:
     lengths: str = "auto"
     age_unit: str = "days"
     death_sources: tuple[str, ...] | None = None
+    footers: bool = False
 
     @property
     def encounter(self) -> str:

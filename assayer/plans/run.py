@@ -79,7 +79,7 @@ def _row_pass(
     measures = {t: dict(m) for t, m in work.rows.items()}
     for i, (table, field) in wanted.items():
         measures.setdefault(table, {})[i] = row.longest(field)
-    found = {t: row.row_evidence(tables[t], m) for t, m in measures.items()}
+    found = {t: row.row_evidence(tables[t], m, settings.footers) for t, m in measures.items()}
     checked = [found[t].where(f"check_id < {len(work.checks)}") for t in work.rows]
     if not wanted:
         return checked, None

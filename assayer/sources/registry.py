@@ -22,18 +22,39 @@ def register(**frames: DataFrame) -> Tables:
     return {name.upper(): df for name, df in frames.items()}
 
 
-def open_files(spark: SparkSession, paths: dict[str, str], fmt: str = "parquet", **options) -> Tables:
-    """Tables stored as files, one path each."""
-    return {
-        name.upper(): spark.read.format(fmt).options(**options).load(path)
-        for name, path in paths.items()
-    }
+FILE_SOURCES, FOOTER_COUNTS = "spark.sql.sources.useV1SourceList", "spark.sql.parquet.aggregatePushdown"
+
+
+def open_files(
+    spark: SparkSession, paths: dict[str, str], fmt: str = "parquet", footers: bool = False, **options
+) -> Tables:
+    """Tables stored as files, one path each.
+
+    With ``footers`` Parquet tables are opened by the reader that answers counts of rows and
+    of values from the files' footers where it can, and reads the files where it cannot; the
+    session is set to do so.  A table without rows is opened the usual way: without any
+    footer that reader has no count to give, where 0 is wanted.
+    """
+    def load(path: str) -> DataFrame:
+        return spark.read.format(fmt).options(**options).load(path)
+
+    plain = {name.upper(): load(path) for name, path in paths.items()}
+    if not footers or fmt != "parquet":
+        return plain
+    sources = spark.conf.get(FILE_SOURCES)
+    spark.conf.set(FOOTER_COUNTS, "true")
+    spark.conf.set(FILE_SOURCES, ",".join(s for s in sources.split(",") if s != "parquet"))
+    try:
+        counted = {name.upper(): load(path) for name, path in paths.items()}
+    finally:
+        spark.conf.set(FILE_SOURCES, sources)
+    return {name: plain[name] if df.isEmpty() else df for name, df in counted.items()}
 
 
 def open_directory(spark: SparkSession, root: str, names: Iterable[str], suffix: str = ".parquet",
-                   fmt: str = "parquet", **options) -> Tables:
+                   fmt: str = "parquet", footers: bool = False, **options) -> Tables:
     """Tables stored side by side as ``root/<name><suffix>``."""
-    return open_files(spark, {n: f"{root.rstrip('/')}/{n}{suffix}" for n in names}, fmt, **options)
+    return open_files(spark, {n: f"{root.rstrip('/')}/{n}{suffix}" for n in names}, fmt, footers, **options)
 
 
 def open_database(spark: SparkSession, names: Iterable[str], schema: str | None = None) -> Tables:

@@ -8,8 +8,9 @@ a whole number of 64 bits that orders as the values do, and a wanted rank is nar
 go on to the next 16.  Four rounds end at the value, whatever the distribution: outliers,
 values crowded at several scales and heavy ties cost the same.
 
-Every round reads ``counts`` with the same columns and no filter of its own: pruned
-differently, it would be several exchanges over several scans instead of one reused.
+Counted values and their keys are dealt out once, and every round reads that one exchange:
+all of its columns, without a filter of its own, or it would be another exchange over another
+scan.
 """
 
 from __future__ import annotations
@@ -25,24 +26,42 @@ ROUNDS = (48, 32, 16, 0)
 STEPS, TOP = 1 << 52, 2047
 
 
+#: 2^(64 k - 1024) and 2^k, whose products are the powers of two of normal doubles.
+COARSE = "array(" + ", ".join(f"{2.0 ** (64 * k - 1024)!r}D" for k in range(32)) + ")"
+FINE = "array(" + ", ".join(f"{2.0 ** k!r}D" for k in range(64)) + ")"
+LEAST_NORMAL = "2.2250738585072014E-308D"
+
+
+def _power_of_two(exponent: str) -> str:
+    """2^exponent for -1022 to 1023, looked up: Spark's ``pow`` takes some ten times as long."""
+    return f"({COARSE}[({exponent} + 1024) div 64] * {FINE}[({exponent} + 1024) % 64])"
+
+
 def order_key(value: str) -> dict[str, str]:
     """Columns to add, one after the other, that end in ``key``: a BIGINT that orders as the
     doubles do, equal for equal values; 0.0 and -0.0 are one value, NaN is the greatest, and
     NULL has the key 0."""
     size, inf = f"abs({value})", "double('infinity')"
-    plain = f"(not isnan({value}) and {value} <> 0 and {size} < {inf})"
-    near = f"if({plain}, cast(floor(log2({size})) as int), 0)"
+    near = (
+        f"case when {value} is null or isnan({value}) or {size} < {LEAST_NORMAL} or {size} = {inf} then -1022"
+        f" else greatest(-1022, least(1023, cast(floor(log2({size})) as int))) end"
+    )
     # The logarithm may be off by one next to a power of two.
-    power = f"near - if({size} < pow(2D, near), 1, 0) + if(near < 1023 and {size} >= pow(2D, near + 1), 1, 0)"
+    power = (
+        f"case when {size} < {_power_of_two('near')} then greatest(near - 1, -1022)"
+        f" when near < 1023 and {size} >= {_power_of_two('least(near + 1, 1023)')} then near + 1 else near end"
+    )
     steps = (
-        f"if(power >= -1022, (power + 1023) * {STEPS}L + cast(({size} / pow(2D, power) - 1) * {STEPS}L as bigint),"
-        f" cast({size} / 4.9E-324D as bigint))"
+        f"if({size} < {LEAST_NORMAL}, cast({size} / 4.9E-324D as bigint),"
+        f" (power + 1023) * {STEPS}L + cast(({size} / {_power_of_two('power')} - 1) * {STEPS}L as bigint))"
     )
     return {
         "near": near,
         "power": power,
-        "key": f"case when isnan({value}) then {TOP * STEPS + 1}L when {size} = {inf} then cast(signum({value}) as bigint) * {TOP * STEPS}L"
-               f" when {value} = 0 then 0L else coalesce(cast(signum({value}) as bigint) * {steps}, 0L) end",
+        # Never NULL in the eyes of the optimizer, which else filters on it below the counting.
+        "key": f"coalesce(case when {value} = 0 then 0L when isnan({value}) then {TOP * STEPS + 1}L"
+               f" when {size} = {inf} then cast(signum({value}) as bigint) * {TOP * STEPS}L"
+               f" else cast(signum({value}) as bigint) * {steps} end, 0L)",
     }
 
 
@@ -81,16 +100,14 @@ def leading(keyed: DataFrame, held: DataFrame | None, before: int, shift: int) -
 def percentiles_of(counts: DataFrame, percentiles: dict[str, float]) -> DataFrame:
     """``(column_id, <name>…)``: percentiles interpolated linearly between neighbouring ranks.
 
-    ``counts`` holds ``(column_id, value, key, n)`` with distinct non-NULL double values and
-    their order keys, which are not NULL.  Rows without a value weigh nothing, but are read: see
-    above.
+    ``counts`` holds ``(column_id, value, n)`` with distinct non-NULL double values.
     """
     ranks = "array(" + ", ".join(
         f"named_struct('name', {text(f'{name}_{side}')}, 'rank', cast({edge}({p}D * (total - 1)) as bigint))"
         for name, p in percentiles.items()
         for side, edge in (("low", "floor"), ("high", "ceil"))
     ) + ")"
-    keyed = counts.selectExpr("column_id", "value", "key", "if(value is null, 0L, n) as n")
+    keyed = with_order_key(counts.select("column_id", "value", "n")).repartition("column_id", "key")
     held = _holding(leading(keyed, None, 0, ROUNDS[0]), ["column_id"], "bits", ranks, ["column_id", "bits", "total"])
     for before, shift in zip(ROUNDS, ROUNDS[1:]):
         value = [] if shift else ["value"]
@@ -114,6 +131,5 @@ def percentiles_of(counts: DataFrame, percentiles: dict[str, float]) -> DataFram
 
 def value_statistics(counts: DataFrame, percentiles: dict[str, float]) -> DataFrame:
     """``(column_id, nd, <name>…)`` from ``(column_id, value, n)`` with distinct values."""
-    keyed = with_order_key(counts)
-    distinct = keyed.groupBy("column_id").agg(F.expr("count_if(n > 0 and key is not null) as nd"))
-    return distinct.join(percentiles_of(keyed, percentiles), "column_id")
+    distinct = counts.groupBy("column_id").agg(F.expr("count_if(n > 0) as nd"))
+    return distinct.join(percentiles_of(counts, percentiles), "column_id")

@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 from assayer import model
 from assayer.functions.exprs import half_up, name, rows_of, texts as literals
 from assayer.model import local_table, union_all
-from assayer.operators.percentiles import order_key, percentiles_of
+from assayer.operators.percentiles import percentiles_of
 from assayer.sources.registry import Tables
 
 # Four aggregates per column and spark.sql.codegen.maxFields = 100.
@@ -139,14 +139,21 @@ def _profile(tables: Tables, metadata: DataFrame | None) -> DataFrame:
     )
     out = names.join(basics, "column_id")
 
-    counts = _long(tables, columns).groupBy("column_id", "hashed", "key", "more", "value").agg(F.count(F.lit(1)).alias("n"))
-    # Reads every column of the counts, as the percentiles do, so that both read one exchange.
-    distinct = counts.groupBy("column_id").agg(
-        *[F.expr(f"count_if({kind} and n > 0 and (key <> 0 or more <> 0 or coalesce(value, 0D) = 0)) as {n}")
-          for n, kind in (("nd_hashed", "hashed"), ("nd_plain", "not hashed"))])
-    out = out.join(distinct, "column_id", "left")
+    # Both uses read all counts and pick by an aggregate, which no filter can go below: one
+    # exchange serves them.
+    counts = _long(tables, columns).groupBy("member", "key", "more", "value").agg(
+        F.count(F.lit(1)).alias("n"), F.expr("max(if(value is null, 0, 1)) as plain"))
+    distinct = counts.groupBy("member").agg(F.expr("count_if(n > 0 and plain >= 0) as nd"))
+    # Of a column with two members the hashed one tells; chosen by a sum, as a filter on members
+    # would go below the counting and make it another exchange.
+    doubled = ", ".join(str(c.column_id) for c in columns if c.hashed) or "-1"
+    told = distinct.selectExpr(
+        "coalesce(if(member < 0, -1 - member, member), 0) as column_id", f"if(member in ({doubled}), 0L, nd) as nd"
+    ).groupBy("column_id").agg(F.sum("nd").alias("nd"))
+    out = out.join(told, "column_id", "left")
     if any(c.numeric for c in columns):
-        out = out.join(percentiles_of(counts, PERCENTILES), "column_id", "left")
+        numbers = counts.where("plain = 1").selectExpr("member as column_id", "value", "n")
+        out = out.join(percentiles_of(numbers, PERCENTILES), "column_id", "left")
     else:
         out = out.selectExpr("*", *[f"cast(null as double) as {p}" for p in PERCENTILES])
     if metadata is not None:
@@ -158,8 +165,7 @@ def _profile(tables: Tables, metadata: DataFrame | None) -> DataFrame:
     def percent(part: str) -> str:
         return f"{half_up(part, 'cn', 1000)} / 10D"
 
-    exact = {c.column_id for c in columns if c.hashed}
-    nd = f"coalesce(if(column_id in ({', '.join(map(str, sorted(exact))) or '-1'}), nd_hashed, nd_plain), 0L)"
+    nd = "coalesce(nd, 0L)"
     derived = {
         "nd": nd,
         "ordinal": "coalesce(ordinal, live_ordinal)",
@@ -173,29 +179,23 @@ def _profile(tables: Tables, metadata: DataFrame | None) -> DataFrame:
 
 
 def _long(tables: Tables, columns: list[Profiled]) -> DataFrame:
-    """Non-NULL values in long form ``(column_id, hashed, key, more, value)``, one scan per
-    table: a hash of 128 bits, or the order key of a number with the number itself."""
+    """Non-NULL values in long form ``(member, key, more, value)``, one scan per table: texts,
+    as member -1 - column_id, by a hash of 128 bits, numbers, as member column_id, as doubles."""
     parts = []
     for table, df in tables.items():
-        own = [c for c in columns if c.table == table]
-        if not own:
-            continue
         rows = []
-        for c in own:
-            as_double = f"cast({name(c.name)} as double)"
+        for c in (c for c in columns if c.table == table):
+            there = f"{name(c.name)} is not null"
             if c.hashed:
                 as_text = f"cast({name(c.name)} as string)"
-                rows.append({"column_id": str(c.column_id), "hashed": "true", "there": f"{name(c.name)} is not null",
-                             "key": f"xxhash64({as_text})", "more": f"xxhash64(1, {as_text})", "value": "cast(null as double)"})
+                rows.append({"member": f"if({there}, {-1 - c.column_id}, null)", "key": f"xxhash64({as_text})",
+                             "more": f"xxhash64(1, {as_text})", "value": "cast(null as double)"})
             if c.numeric:
-                rows.append({"column_id": str(c.column_id), "hashed": "false", "there": f"{name(c.name)} is not null",
-                             "key": "0L", "more": "0L", "value": as_double})
-        parts.append(df.selectExpr(rows_of(rows)).where("there").drop("there"))
-    keyed = union_all(parts)
-    for column, expression in order_key("value").items():
-        if column != "key":
-            keyed = keyed.selectExpr("*", f"{expression} as {column}")
-    return keyed.selectExpr("column_id", "hashed", f"coalesce(if(hashed, key, {order_key('value')['key']}), 0L) as key", "more", "value")
+                rows.append({"member": f"if({there}, {c.column_id}, null)", "key": "0L", "more": "0L",
+                             "value": f"cast({name(c.name)} as double)"})
+        if rows:
+            parts.append(df.selectExpr(rows_of(rows)).where("member is not null"))
+    return union_all(parts).selectExpr("coalesce(member, 0) as member", "key", "more", "value")
 
 
 def _basics(df: DataFrame, columns: list[Profiled]) -> DataFrame:

@@ -141,7 +141,7 @@ def test_links_shuffle_the_parent_once(spark, tables):
     rows += [("DIAGNOSIS", "DX", "DC 3.04"), ("PROCEDURES", "PX", "DC 3.05")]
     plan = run(spark, tables, rows)._jdf.queryExecution().optimizedPlan().toString()
     assert len(re.findall(r"Aggregate \[family#\d+, key#\d+\]", plan)) == 1
-    assert plan.count(" parquet") == 9 and "LeftAnti" not in plan  # two tables join two files, five read one
+    assert plan.count(" parquet") == 8 and "LeftAnti" not in plan  # two tables join two files, four read one
 
 
 def test_percentiles_read_the_table_once(spark, tables):

@@ -6,7 +6,8 @@ block.  A pseudorandom permutation of all slots decides which source a slot belo
 a shard's counts by source are multinomial draws without replacement, and the counts of
 the whole mix meet the targets.  A slot's number within its source, through the source's
 own pseudorandom permutation of block numbers, names the block; blocks are joined by
-number.  Nothing is drawn from a generator with state, so reruns agree.
+number.  Each source has a permutation of its own for every time it is gone through.
+Nothing is drawn from a generator with state, so reruns agree.
 
 Integer hashes and modular arithmetic only; only sums per source reach the driver's plan,
 none its memory.
@@ -23,8 +24,8 @@ from pyspark.sql import functions as F
 from assayer.llm.common import WORD, stored
 
 BUCKETS = 1024
-#: Multipliers of the block permutations.  No block count below 10^36 is divisible by all.
-PRIMES = (1000000007, 998244353, 1000000009, 754974721)
+#: Rounds of the block permutations.
+ROUNDS = 24
 
 
 def word_count(text: Column) -> Column:
@@ -57,8 +58,17 @@ def targets(sizes: DataFrame, weights: Sequence[float], most: float) -> DataFram
     return ahead.select("source", "source_size", share.alias("target"))
 
 
-def _mod(value: Column, by: Column) -> Column:
-    return F.pmod(value, by)
+def permuted(number: str, n: str, *key: str) -> str:
+    """SQL: the place of ``number`` in a pseudorandom permutation of 0 to n - 1 that ``key``
+    picks, for any n up to 2^62.  Each round pairs x with k - x modulo n, k drawn from key and
+    round, and swaps the two if a hash of round and the greater one says so: a permutation
+    whatever n is.  Hashes are reduced before they are added, so nothing overflows."""
+    keys = ", ".join(key)
+    step = (
+        f"transform(array(pmod(pmod(xxhash64({keys}, r), {n}) - x, {n})), y -> "
+        f"if((xxhash64({keys}, r, greatest(x, y)) & 1L) = 1L, y, x))[0]"
+    )
+    return f"aggregate(sequence(1, {ROUNDS}), cast({number} as bigint), (x, r) -> {step})"
 
 
 def placed(docs: DataFrame) -> DataFrame:
@@ -96,8 +106,8 @@ def slots(sources: DataFrame, *, block: int, shard: int, most: int, seed: int) -
     x, y = F.col("id") % shards, F.floor(F.col("id") / shards).cast("long")
     dealt = spark.range(shards * shard).select((F.col("id") % shards).alias("shard"), y.alias("slot"), x.alias("x"), y.alias("y"))
     for turn in range(4):  # Feistel rounds over shards x slots: a permutation of all slots
-        dealt = dealt.withColumn("x", _mod(F.col("x") + F.xxhash64("y", F.lit(seed + turn)), F.lit(shards)))
-        dealt = dealt.withColumn("y", _mod(F.col("y") + F.xxhash64("x", F.lit(~seed - turn)), F.lit(shard)))
+        dealt = dealt.withColumn("x", (F.col("x") + F.pmod(F.xxhash64("y", F.lit(seed + turn)), F.lit(shards))) % F.lit(shards))
+        dealt = dealt.withColumn("y", (F.col("y") + F.pmod(F.xxhash64("x", F.lit(~seed - turn)), F.lit(shard))) % F.lit(shard))
     dealt = dealt.select("shard", "slot", (F.col("x") * shard + F.col("y")).alias("place")).where(F.col("place") < total)
     # sources own ranges of places; the range join goes by equal pieces of the places
     piece = max(1, total // 256)
@@ -108,12 +118,12 @@ def slots(sources: DataFrame, *, block: int, shard: int, most: int, seed: int) -
     owned = dealt.withColumn("piece", F.floor(F.col("place") / piece)).join(owner, "piece").where(
         "place >= first and place < first + slots"
     )
-    number = F.col("place") - F.col("first")
-    by_prime = F.coalesce(*[F.when(F.col("blocks") % p != 0, F.lit(p)) for p in PRIMES])
-    turned = number % F.col("blocks") * by_prime + F.pmod(F.xxhash64("source", F.lit(seed)), F.lit(1 << 40))
-    return owned.select(
-        "shard", "slot", "source", (turned % F.col("blocks")).alias("block"),
-        F.floor(number / F.col("blocks")).alias("epoch"),
+    numbered = owned.selectExpr(
+        "shard", "slot", "source", "cast(blocks as bigint) as blocks", "(place - first) % blocks as number",
+        "(place - first) div cast(blocks as bigint) as epoch",
+    )
+    return numbered.selectExpr(
+        "shard", "slot", "source", f"{permuted('number', 'blocks', 'source', 'epoch', str(seed))} as block", "epoch"
     )
 
 
@@ -176,10 +186,13 @@ def mixed_documents(
     """The mix as documents: one row per document and epoch with the words taken in it, all
     columns of ``docs`` kept.  A text that is taken whole stays as it is; of others, the
     taken words are kept with the space after them.  Documents that nothing is taken of
-    go.  ``n_chars``, where there, follows the text."""
-    worded = docs.withColumn("size", word_count(F.col("text"))).where("size > 0") if "size" not in docs.columns else None
-    if worded is None:
-        raise ValueError("documents to mix must not have a column named size")
+    go, those with null or empty texts among them.  ``n_chars``, where there, follows the text.
+    A null source is one source; repeated rows are separate documents; an empty table gives an
+    empty result; columns of any other name are carried along."""
+    used = ("doc_id", "text", "source")
+    # Columns of the caller's keep out of the way of those made here.
+    own = {c: c if c in used else f"__own{k}" for k, c in enumerate(docs.columns)}
+    worded = docs.select(*[F.col(f"`{c}`").alias(a) for c, a in own.items()]).withColumn("size", word_count(F.col("text"))).where("size > 0")
     here = stored(placed(worded))
     sizes = here.select("doc_id", "source", "start", "size")
     goal = stored(targets(sizes, weights, most))
@@ -194,6 +207,6 @@ def mixed_documents(
         "w -> array_join(flatten(transform(__parts, p -> slice(w, cast(p.from + 1 as int), cast(p.to - p.from as int)))), '')), 1)"
     )
     out = here.join(taken, same).withColumn("text", F.when(F.col("__n") < F.col("size"), cut).otherwise(F.col("text")))
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.length("text").cast("long"))
-    return out.select(docs.columns)
+    if "n_chars" in own:
+        out = out.withColumn(own["n_chars"], F.length("text").cast("long"))
+    return out.select(*[F.col(a).alias(c) for c, a in own.items()])

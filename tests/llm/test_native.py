@@ -8,6 +8,7 @@ from collections import Counter
 
 import pytest
 from compare import reference, spark_rows, sql_rows
+from pyspark.sql import functions as F
 
 from assayer.llm import mixing, pii, url_filter
 from assayer.llm.queries import ORACLE, QUERIES
@@ -80,9 +81,45 @@ def test_mixture(spark):
     for source, words in goal.items():
         assert abs(taken[source] - words) <= max(0.03 * words, 16)
     assert mixing.mixture(df.limit(0)).count() == 0
-    mixed = mixing.mixed_documents(df.drop("size"), block=8, shard=256)
-    assert mixed.columns == ["doc_id", "text", "source"]
-    assert sum(_words(r.text) for r in mixed.collect()) == sum(r[4] for r in out)
+    mixed = mixing.mixed_documents(df.withColumn("start", F.lit("s")), block=8, shard=256)
+    assert mixed.columns == ["doc_id", "text", "source", "size", "start"]
+    found = mixed.collect()
+    assert sum(_words(r.text) for r in found) == sum(r[4] for r in out) and {(r["size"], r.start) for r in found} == {(0, "s")}
+
+
+def test_words_are_taken_as_the_slots_say(spark):
+    rows = [(k, "w " * (k % 31), f"s{k % 3}") for k in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    sizes = df.select("doc_id", "source", mixing.word_count(F.col("text")).alias("size"))
+    goal, here = mixing.targets(sizes, (5, 2, 1), 3), mixing.placed(sizes.where("size > 0"))
+    dealt = mixing.slots(goal, block=8, shard=64, most=3, seed=7).collect()
+    by_source: dict[str, Counter] = {}
+    for s in dealt:
+        by_source.setdefault(s.source, Counter())[s.block] += 1
+    total = {r.source: r.source_size for r in goal.collect()}
+    for source, blocks in by_source.items():  # every epoch goes through all blocks before the next begins
+        assert max(blocks.values()) - min(blocks.get(k, 0) for k in range(-(-total[source] // 8))) <= 1
+        first = [s.block for s in sorted(dealt, key=lambda s: (s.shard, s.slot)) if s.source == source and s.epoch == 0]
+        assert len(set(first)) == len(first)
+    expected = {r.doc_id: sum(n * max(0, min(8 * b + 8, r.start + r.size) - max(8 * b, r.start)) for b, n in by_source[r.source].items())
+                for r in here.collect()}
+    got = {r.doc_id: r.taken for r in mixing.mixture(df, block=8, shard=64).collect()}
+    assert got == {k: expected.get(k, 0) for k, _, _ in rows}
+
+
+def test_block_permutations(spark):
+    small = spark.range(1, 60).selectExpr("id as n", "explode(sequence(0L, id - 1)) as x").crossJoin(spark.range(2).withColumnRenamed("id", "e"))
+    got: dict = {}
+    for r in small.selectExpr("n", "e", "x", f"{mixing.permuted('x', 'n', 'e', '7')} as y").orderBy("n", "e", "x").collect():
+        got.setdefault((r.n, r.e), []).append(r.y)
+    assert all(sorted(ys) == list(range(n)) for (n, _), ys in got.items())
+    assert all(got[n, 0] != got[n, 1] for n in range(20, 60))
+    steps = Counter(b - a for a, b in zip(got[59, 0], got[59, 0][1:]))
+    assert max(steps.values()) < 12
+    for n in (10**10, 10**12, 2**62):
+        big = spark.range(300).selectExpr(f"{n}L as n", f"id * {n // 301}L as x")
+        ys = [r.y for r in big.selectExpr(f"{mixing.permuted('x', 'n', 'n', '7')} as y").collect()]
+        assert len(set(ys)) == 300 and 0 <= min(ys) and max(ys) < n and 0.35 * n < sum(ys) / 300 < 0.65 * n
 
 
 BASE = [

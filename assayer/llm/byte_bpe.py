@@ -1,12 +1,16 @@
 """Byte-level BPE encoding and decoding: ranked merges folded in Spark's higher-order functions.
 
-A text is split by the tokenizer's pattern.  Words that are tokens, and the most frequent
-words of a bounded sample of documents, are looked up; every other distinct word of a
-document goes through the fold, so the sample decides the cost only.  The fold holds a
-word as token ids, one a byte at first: each step merges the leftmost pair of the lowest
-rank, found in a literal rank map, until no pair has a rank.  Nothing is shuffled: split,
-fold and assembly follow one another on each batch of documents.  Decoding looks up each
-id's bytes and joins them.
+Documents are taken in blocks of some millions of characters and split by the tokenizer's
+pattern.  A word that is a token is its id; every other distinct word of a block gets a
+number there, which stands in the block's ids as a hole.  The blocks are written to the
+shared folder.  The distinct words of all blocks go through the fold once each and are
+joined back to (block, number) by word, so a frequent word is one row a block, and each
+block's holes are filled.  No word passes through the driver, and a task holds one block.
+
+The fold holds a word as token ids, one a byte at first: each step merges the leftmost pair
+of the lowest rank, found in a literal rank map, until no pair has a rank.  A step copies
+the word, so words above LONG bytes take the same merges from a heap, in n log n.  Decoding
+looks up each id's bytes and joins them.
 
 The rank map is keyed by the pair of ids and lies in flat arrays with a slot for each pair,
 as Spark searches a map from end to end.
@@ -15,16 +19,20 @@ as Spark searches a map from end to end.
 from __future__ import annotations
 
 import base64
+import heapq
 import json
-from collections.abc import Iterator
+from array import array
+from collections.abc import Iterable, Iterator
 from functools import cache
 
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StringType, StructField, StructType
 
+from assayer.llm.common import stored
 from assayer.llm.crf import in_parts
 
 #: Buckets and slots of the rank map; SPREAD keeps pairs of one bucket apart.
@@ -32,7 +40,8 @@ BUCKETS, SLOTS, SPREAD = 1 << 15, 196613, 65599
 #: A slot holds left id, right id and rank in one number; ids have 17 bits.
 ID_BITS = 17
 NONE = 2147483647
-WORDS, SAMPLE_DOCS = 500_000, 32_000
+#: Characters of a block, bytes of a word that the fold takes, words of a task that folds.
+BLOCK, LONG, WORDS = 4_000_000, 256, 50_000
 
 
 def ranks_of(path: str) -> dict[bytes, int]:
@@ -41,14 +50,6 @@ def ranks_of(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
 
 
-def java_pattern(pattern: str) -> str:
-    """The pattern in Java's dialect, where \\s would be the ASCII one."""
-    space = r"\t-\r\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
-    return pattern.replace(r"[^\s\p{L}\p{N}]", rf"[^{space}\p{{L}}\p{{N}}]").replace(r"\S", rf"[^{space}]").replace(
-        r"\s", f"[{space}]"
-    )
-
-
 def quoted(text: str) -> str:
     """A SQL string literal.  The dollar sign would start a variable."""
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'").replace("$", "\\u0024") + "'"
@@ -95,18 +96,6 @@ def rank_literals(path: str) -> dict[str, str]:
     }
 
 
-@cache
-def token_literals(path: str) -> tuple[str, str]:
-    """By id: its bytes, and the id itself as four bytes, least first."""
-    ranks = ranks_of(path)
-    size = max(ranks.values()) + 1
-    tokens = [""] * size
-    for token, i in ranks.items():
-        tokens[i] = token.decode("latin-1")
-    numbers = [i.to_bytes(4, "little").decode("latin-1") for i in range(size)]
-    return tuple(f"from_json({_json(v)}, 'array<string>')" for v in (tokens, numbers))
-
-
 def bound(sql: str, **literals: str) -> str:
     """SQL in which ``c.name`` is the literal of that name, written once."""
     named = ", ".join(f"{value} as {name}" for name, value in literals.items())
@@ -147,123 +136,215 @@ def fold(word: str) -> str:
     return f"aggregate(sequence(1, octet_length({word})), {start}, (s, i) -> {step}, s -> s.ids)"
 
 
-def folded(words: DataFrame, column: str, path: str) -> DataFrame:
-    """``words`` with ``column`` (array<string>, no empty string) replaced by the arrays of ids."""
-    return words.withColumn(column, F.expr(bound(f"transform({column}, v -> {fold('v')})", **rank_literals(path))))
-
+def merged(word: bytes, ranks: dict[bytes, int]) -> list[int]:
+    """The ids of a word, by the merges that the fold takes, the next one from a heap."""
+    parts: list[bytes | None] = [word[k : k + 1] for k in range(len(word))]
+    after, before = list(range(1, len(parts) + 1)), list(range(-1, len(parts) - 1))
+    heap: list[tuple[int, int, bytes]] = []
+
+    def offer(k: int) -> None:
+        if k >= 0 and after[k] < len(parts):
+            pair = parts[k] + parts[after[k]]
+            if (rank := ranks.get(pair)) is not None:
+                heapq.heappush(heap, (rank, k, pair))
+
+    for k in range(len(parts)):
+        offer(k)
+    while heap:
+        _, k, pair = heapq.heappop(heap)
+        # an entry is stale when one of its parts has gone or grown since
+        if parts[k] is None or (gone := after[k]) >= len(parts) or parts[k] + parts[gone] != pair:
+            continue
+        parts[k], parts[gone], after[k] = pair, None, after[gone]
+        if after[k] < len(parts):
+            before[after[k]] = k
+        offer(before[k])
+        offer(k)
+    return [ranks[p] for p in parts if p is not None]
+
+
+def folded(words: DataFrame, path: str) -> DataFrame:
+    """``words`` (word, not empty) with ``ids``: the word's ids as little-endian 32-bit
+    integers (binary)."""
+    ids = F.expr(bound(f"if(octet_length(word) > {LONG}, null, {fold('word')})", **rank_literals(path)))
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ranks: dict[bytes, int] = {}
+        for batch in batches:
+            out = batch.column(1).to_pylist()
+            for k, found in enumerate(out):
+                if found is None:
+                    ranks = ranks or ranks_of(path)
+                    out[k] = merged(batch.column(0)[k].as_py().encode("utf-8", "replace"), ranks)
+            packed = [array("i", found).tobytes() for found in out]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed, pa.binary())], names=["word", "ids"])
 
-def common_words(docs: DataFrame, path: str, pattern: str, *, most: int, sample: int) -> dict[str, list[int]]:
-    """Ids of the ``most`` most frequent words of about ``sample`` documents, without words
-    that are tokens."""
-    n = docs.count()
-    part = docs.select("text") if n <= sample else docs.select("text").sample(sample / n, seed=5)
-    split = F.expr(f"regexp_extract_all(text, {quoted(java_pattern(pattern))}, 0)")
-    words = part.select(F.explode(split).alias("word")).groupBy("word").count()
-    top = words.orderBy(F.desc("count"), "word").limit(most).select(F.array("word").alias("ids"), "word")
-    found = folded(top.repartition(max(2, most // 5000)), "ids", path)
-    whole = ranks_of(path)
-    return {r.word: r.ids[0] for r in found.toLocalIterator() if r.word.encode() not in whole}
+    return words.select("word", ids.alias("ids")).mapInArrow(pack, "word string, ids binary")
 
 
-def _lists(flat: bytes | np.ndarray, lengths: list[int] | np.ndarray) -> pa.Array:
-    """Lists of the given lengths of 32-bit integers that lie one after the other."""
-    values = pa.array(np.frombuffer(flat, "<i4") if isinstance(flat, bytes) else flat, pa.int32())
-    ends = np.concatenate([[0], np.cumsum(np.asarray(lengths, np.int64))]).astype(np.int32)
+def _lists(values: pa.Array, lengths: np.ndarray) -> pa.Array:
+    """Lists of the given lengths of values that lie one after the other."""
+    ends = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
     return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)
 
 
-def filled(ids: np.ndarray, lengths: np.ndarray, rare: list[list[list[int]]]) -> tuple[np.ndarray, np.ndarray]:
-    """Ids and list lengths with every hole ``-1 - k`` replaced by its list's ``rare[k]``."""
+def filled(ids: np.ndarray, lengths: np.ndarray, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Ids and list lengths with every hole ``-1 - k`` replaced by the ids in ``words[k]``."""
     holes = np.flatnonzero(ids < 0)
     if not len(holes):
         return ids, lengths
-    owner = np.repeat(np.arange(len(lengths)), lengths)[holes]
-    base = np.concatenate([[0], np.cumsum([len(r) for r in rare])])
-    word = base[owner] - 1 - ids[holes].astype(np.int64)
-    size = np.array([len(w) for r in rare for w in r], np.int64)
-    flat = np.array([i for r in rare for w in r for i in w], np.int32)
-    first = np.cumsum(size) - size
+    flat = np.frombuffer(b"".join(words), "<i4")
+    size = np.array([len(w) // 4 for w in words], np.int64)
+    first, word = np.cumsum(size) - size, -1 - ids[holes].astype(np.int64)
+    long = size[word]
     wide = np.ones(len(ids), np.int64)
-    wide[holes] = size[word]
+    wide[holes] = long
     out = np.repeat(ids, wide)
-    long = size[word]
     turn = np.arange(long.sum()) - np.repeat(np.cumsum(long) - long, long)
     out[out < 0] = flat[np.repeat(first[word], long) + turn]
-    grown = lengths + np.bincount(owner, weights=long - 1, minlength=len(lengths)).astype(np.int64)
-    return out, grown
+    ends = np.concatenate([[0], np.cumsum(wide)])
+    at = np.concatenate([[0], np.cumsum(lengths)])
+    return out, np.diff(ends[at])
 
 
-def encoded(
-    docs: DataFrame, path: str, pattern: str, *, text: str = "text", most: int = WORDS, sample: int = SAMPLE_DOCS
-) -> DataFrame:
-    """``docs`` with ``ids`` (array<int>): every match of ``pattern`` in the text, encoded by
-    the ranks in ``path`` without special tokens.  Null and empty texts have no ids.  Other
-    columns stay; an existing column ``ids`` is replaced."""
-    kept = [c for c in docs.columns if c != "ids"]
-    common = common_words(docs.select(F.coalesce(F.col(text), F.lit("")).alias("text")), path, pattern, most=most, sample=sample)
-    known = {w: np.array(ids, "<i4").tobytes() for w, ids in common.items()}
-    whole = {t: np.array([i], "<i4").tobytes() for t, i in ranks_of(path).items()}
+class _Numbers(dict):
+    """Token to id; a word that is missing gets the next of -1, -2, ..."""
+
+    def __init__(self, tokens: dict[str, int]):
+        super().__init__(tokens)
+        self.words: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        self.words.append(word)
+        self[word] = out = -len(self.words)
+        return out
+
+
+def blocks(docs: DataFrame, path: str, pattern: str, text: str, kept: list[str]) -> DataFrame:
+    """Blocks of documents: rows (their ``kept`` columns), lengths and holed (zstd of the
+    32-bit ids, -1 - k for words[k]), size (bytes of the ids) and words (no tokens)."""
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        find = regex.compile(pattern).findall
-        ids_of = dict(known)
-        for token, i in whole.items():
+        find, tokens = regex.compile(pattern).findall, {}
+        for token, i in ranks_of(path).items():
             try:
-                ids_of[token.decode()] = i
+                tokens[token.decode()] = i
             except UnicodeDecodeError:  # part of a character: no word
                 pass
         for batch in batches:
             texts = batch.column(batch.num_columns - 1).to_pylist()
-            for begin, end in in_parts(texts):
-                found, rare = [], []
+            for begin, end in in_parts(texts, BLOCK):
+                numbers, ids, lengths = _Numbers(tokens), array("i"), []
                 for t in texts[begin:end]:
                     words = find(t or "")
-                    ids = list(map(ids_of.get, words))
-                    new: dict[str, int] = {}
-                    if None in ids:
-                        for k, v in enumerate(ids):
-                            if v is None:
-                                ids[k] = (-1 - new.setdefault(words[k], len(new))).to_bytes(4, "little", signed=True)
-                    found.append(b"".join(ids))
-                    rare.append(list(new))
+                    ids.extend(map(numbers.__getitem__, words))
+                    lengths.append(len(words))
+                raw = ids.tobytes()
+                rows = pa.StructArray.from_arrays([c.slice(begin, end - begin) for c in batch.columns[:-1]], kept)
                 yield pa.RecordBatch.from_arrays(
-                    [*(c.slice(begin, end - begin) for c in batch.columns[:-1]),
-                     _lists(b"".join(found), [len(f) // 4 for f in found]), pa.array(rare, pa.list_(pa.string()))],
-                    names=[*kept, "__holed", "__rare"],
+                    [_lists(rows, np.array([end - begin])), pa.array([lengths], pa.list_(pa.int32())),
+                     pa.array([pa.compress(raw, "zstd", asbytes=True)]), pa.array([len(raw)], pa.int64()),
+                     pa.array([numbers.words], pa.list_(pa.string()))],
+                    names=["rows", "lengths", "holed", "size", "words"],
                 )
 
-    def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            holed, rare = batch.columns[-2:]
-            ids, lengths = filled(
-                holed.flatten().to_numpy(zero_copy_only=False), holed.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64),
-                rare.to_pylist(),
-            )
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-2], _lists(ids, lengths)], names=[*kept, "ids"])
+    # names are positions inside, so that no two clash
+    inner = docs.select(*[F.col(c).alias(f"c{k}") for k, c in enumerate(kept)], F.col(text).alias("t"))
+    kept = [f"c{k}" for k in range(len(kept))]
+    rows = StructType([StructField(f.name, f.dataType) for f in inner.schema.fields[:-1]])
+    schema = StructType([
+        StructField("rows", ArrayType(rows)), StructField("lengths", ArrayType(IntegerType())),
+        StructField("holed", BinaryType()), StructField("size", inner.select(F.lit(1).cast("long")).schema[0].dataType),
+        StructField("words", ArrayType(StringType())),
+    ])
+    return inner.mapInArrow(split, schema).withColumn("block", F.monotonically_increasing_id())
+
+
+def encoded(docs: DataFrame, path: str, pattern: str, *, text: str = "text", keep: Iterable[str] | None = None) -> DataFrame:
+    """``docs`` with ``ids`` (array<int>): every match of ``pattern`` in the text, encoded by
+    the ranks in ``path`` without special tokens.
+
+    Null and empty texts have no ids.  Words of any length are encoded whole.  Repeated rows
+    each get theirs; an empty table gives an empty result.  The columns in ``keep`` (all of
+    them by default) stay, whatever their names; an existing column ``ids`` is replaced."""
+    kept = [c for c in (docs.columns if keep is None else keep) if c != "ids"]
+    here = stored(blocks(docs, path, pattern, text, kept))
+    wanted = here.select("block", F.posexplode("words").alias("k", "word"))
+    many = here.agg(F.sum(F.size("words"))).first()[0] or 0
+    table = stored(folded(wanted.select("word").distinct().repartition(1 + many // WORDS), path))
+    found = wanted.join(table.hint("merge"), "word").select(F.col("block").alias("of"), "k", "ids")
+
+    def fill(left: pa.Table, right: pa.Table) -> pa.Table:
+        order = np.argsort(right.column("k").to_numpy())
+        words = right.column("ids").to_pylist()
+        raw = pa.decompress(left.column("holed")[0].as_py(), left.column("size")[0].as_py(), "zstd", asbytes=True)
+        lengths = np.array(left.column("lengths")[0].values, np.int64)
+        ids, lengths = filled(np.frombuffer(raw, "<i4"), lengths, [words[k] for k in order])
+        rows = left.column("rows")[0].values
+        return pa.Table.from_arrays([*rows.flatten(), _lists(pa.array(ids, pa.int32()), lengths)], names=names)
+
+    names = [*(f"c{k}" for k in range(len(kept))), "ids"]
+    schema = StructType([*here.schema["rows"].dataType.elementType.fields, StructField("ids", ArrayType(IntegerType()))])
+    full = here.drop("words").groupBy("block").cogroup(found.groupBy("of")).applyInArrow(fill, schema)
+    return full.toDF(*kept, "ids")
 
-    schema = docs.select(kept)
-    holed = schema.withColumns({"__holed": F.expr("array(1)"), "__rare": F.expr("array('a')")}).schema
-    done = schema.withColumn("ids", F.expr("array(1)")).schema
-    parts = docs.select(*kept, F.col(text).alias("__text")).mapInArrow(split, holed)
-    return folded(parts, "__rare", path).mapInArrow(assemble, done)
 
+@cache
+def _pieces(path: str) -> pa.Array:
+    """By id: its bytes."""
+    ranks = ranks_of(path)
+    out = [b""] * (max(ranks.values()) + 1)
+    for token, i in ranks.items():
+        out[i] = token
+    return pa.array(out, pa.large_binary())
 
-def decoded(ids: str, path: str) -> Column:
-    """The bytes (binary) of an array of ids."""
-    tokens, _ = token_literals(path)
-    return F.expr(f"encode(array_join(transform({ids}, i -> element_at({tokens}, i + 1)), ''), 'ISO-8859-1')")
 
+def decoded(df: DataFrame, path: str, *, ids: str = "ids", to: str = "decoded", packed: str = "packed") -> DataFrame:
+    """``df`` with ``to``, the bytes (binary) of the array of ids, joined from those of each
+    id, and ``packed``, the ids as little-endian unsigned 32-bit integers (binary).
+
+    No ids, and null, give empty bytes.  Other columns stay; columns of the new names are
+    replaced."""
+    kept = [c for c in df.columns if c not in (to, packed)]
+
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pieces = _pieces(path)
+        for batch in batches:
+            sizes = batch.column(batch.num_columns - 1).value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+            part = np.cumsum(sizes, dtype=np.int64) // BLOCK
+            edges = [0, *(np.flatnonzero(np.diff(part)) + 1), len(sizes)] if len(sizes) else [0]
+            for begin, end in zip(edges, edges[1:]):
+                here = batch.slice(begin, end - begin)
+                flat = here.column(here.num_columns - 1).flatten().cast(pa.int32())
+                ends = np.concatenate([[0], np.cumsum(sizes[begin:end], dtype=np.int64)])
+                texts = pieces.take(flat)
+                starts = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(flat) + 1]
+                cut = starts[ends] if len(flat) else np.zeros(len(ends), np.int64)
+                ids = np.ascontiguousarray(flat.to_numpy(zero_copy_only=False), "<i4")
+
+                def slices(at: np.ndarray, data: pa.Buffer | None) -> pa.Array:
+                    full = pa.py_buffer(b"") if data is None else data
+                    return pa.LargeBinaryArray.from_buffers(
+                        pa.large_binary(), len(at) - 1, [None, pa.py_buffer(np.ascontiguousarray(at, np.int64)), full]
+                    ).cast(pa.binary())
+
+                yield pa.RecordBatch.from_arrays(
+                    [*here.columns[:-1], slices(cut, texts.buffers()[2]), slices(ends * 4, pa.py_buffer(ids))], names=names
+                )
+
+    names = [*(f"c{k}" for k in range(len(kept))), to, packed]
+    inner = df.select(*[F.col(c).alias(f"c{k}") for k, c in enumerate(kept)], F.col(ids).alias("ids"))
+    schema = StructType([*inner.schema.fields[:-1], StructField(to, BinaryType()), StructField(packed, BinaryType())])
+    return inner.mapInArrow(join, schema).toDF(*kept, to, packed)
 
-def packed(ids: str, path: str) -> Column:
-    """The ids as little-endian unsigned 32-bit integers (binary)."""
-    _, numbers = token_literals(path)
-    return F.expr(f"encode(array_join(transform({ids}, i -> element_at({numbers}, i + 1)), ''), 'ISO-8859-1')")
 
+def digests(docs: DataFrame, path: str, pattern: str) -> DataFrame:
+    """Per row of ``docs`` (doc_id, text): doc_id, n_tokens, ids_sha256, decoded_sha256.
 
-def digests(docs: DataFrame, path: str, pattern: str, **bounds: int) -> DataFrame:
-    """Per row of ``docs`` (doc_id, text): doc_id, n_tokens, ids_sha256, decoded_sha256."""
-    done = encoded(docs.select("doc_id", "text"), path, pattern, **bounds)
+    Null and empty texts have no ids and the digests of no bytes.  Repeated rows and null
+    ids each get a row; other columns are ignored; an empty table gives an empty result."""
+    done = encoded(docs.select("doc_id", "text"), path, pattern, keep=["doc_id"])
+    done = decoded(done.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids"), path)
     return done.select(
-        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(packed("ids", path), 256).alias("ids_sha256"), F.sha2(decoded("ids", path), 256).alias("decoded_sha256"),
+        "doc_id", "n_tokens", F.sha2("packed", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"),
     )

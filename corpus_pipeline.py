@@ -39,9 +39,10 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, source, lang, the token ids, and whether decoding them gives the text back."""
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    done = byte_bpe.encoded(docs, path, public_tokenizers.PATTERN)
-    same = byte_bpe.decoded("ids", path) == F.coalesce("text", F.lit("")).cast("binary")
-    return done.select(
+    given = docs.select("doc_id", "source", "lang", "text", F.sha2(F.coalesce("text", F.lit("")), 256).alias("sha256"))
+    done = byte_bpe.encoded(given, path, public_tokenizers.PATTERN, keep=["doc_id", "source", "lang", "sha256"])
+    same = F.sha2("decoded", 256) == F.col("sha256")
+    return byte_bpe.decoded(done, path).select(
         "doc_id", "source", "lang", "ids", F.size("ids").cast("long").alias("n_tokens"), same.alias("round_trip")
     )
 

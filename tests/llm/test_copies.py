@@ -131,9 +131,13 @@ def test_byte_pairs(spark, tokenizer):
     texts = [
         None, "", " ", "\n\n \t x", "don't we'll", "a\u00a0b\u2003\u3000 c\x85d\x1ce", "日本語 ñandú 😀👩‍👩‍👧", "${x} \\' \" % _ `", "\x00\x01\x7f",
         "aaaa" * 30, "x" * 700, " " * 400 + "y", "<|endoftext|>", "١٢٣ ½²", "e\u0301", "The quick brown fox. " * 40,
+        "".join(random.Random(4).choices("漢字語文章本日月火水木金土", k=34_000)), "ab" * 129, "abc" * 40_000,
     ]
     df = spark.createDataFrame([(k, t, 1) for k, t in enumerate(texts)] + [(1, "", 1)], "doc_id long, text string, ids int")
-    got = byte_bpe.digests(df, PATH, public_tokenizers.PATTERN, most=5, sample=1000).collect()
+    for clashing in ("block", "words", "k", "rows"):
+        df = df.withColumn(clashing, F.lit(1))
+    assert byte_bpe.encoded(df, PATH, public_tokenizers.PATTERN).columns == [c for c in df.columns if c != "ids"] + ["ids"]
+    got = byte_bpe.digests(df, PATH, public_tokenizers.PATTERN).collect()
     assert len(got) == len(texts) + 1
     for r in got:
         ids = tokenizer.encode_ordinary(texts[r.doc_id] or "")

@@ -1,11 +1,14 @@
 """Byte-level BPE encoding and decoding: ranked merges folded in Spark's higher-order functions.
 
 Documents are taken in blocks of some millions of characters and split by the tokenizer's
-pattern.  A word that is a token is its id; every other distinct word of a block gets a
-number there, which stands in the block's ids as a hole.  The blocks are written to the
-shared folder.  The distinct words of all blocks go through the fold once each and are
-joined back to (block, number) by word, so a frequent word is one row a block, and each
-block's holes are filled.  No word passes through the driver, and a task holds one block.
+pattern.  A word that is a token is its id; every other distinct word of a task gets a
+number, which stands in the block's ids as a hole.  A block carries the words that its task
+has not seen before; the fold turns them into ids, and the step after it keeps them in a
+table, bounded like the numbers before it, and fills the holes.  Nothing is shuffled.
+
+The tables start with the most frequent words of a bounded sample of documents, folded once
+before: at most ``most`` words of at most COMMON_BYTES bytes, some megabytes whatever the
+input.  They decide the cost only.
 
 The fold holds a word as token ids, one a byte at first: each step merges the leftmost pair
 of the lowest rank, found in a literal rank map, until no pair has a rank.  A step copies
@@ -22,6 +25,7 @@ import base64
 import heapq
 import json
 from array import array
+from collections import Counter
 from collections.abc import Iterable, Iterator
 from functools import cache
 
@@ -30,9 +34,8 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, BinaryType, BooleanType, IntegerType, StringType, StructField, StructType
 
-from assayer.llm.common import stored
 from assayer.llm.crf import in_parts
 
 #: Buckets and slots of the rank map; SPREAD keeps pairs of one bucket apart.
@@ -40,8 +43,12 @@ BUCKETS, SLOTS, SPREAD = 1 << 15, 196613, 65599
 #: A slot holds left id, right id and rank in one number; ids have 17 bits.
 ID_BITS = 17
 NONE = 2147483647
-#: Characters of a block, bytes of a word that the fold takes, words of a task that folds.
-BLOCK, LONG, WORDS = 4_000_000, 256, 50_000
+#: Characters of a block, bytes of a word that the fold takes.
+BLOCK, LONG = 4_000_000, 256
+#: Frequent words: how many, of how many bytes at most, of about how many documents.
+COMMON, COMMON_BYTES, SAMPLE_DOCS = 500_000, 32, 32_000
+#: Words that a task numbers besides them until it starts anew.
+TABLE = 500_000
 
 
 def ranks_of(path: str) -> dict[bytes, int]:
@@ -163,23 +170,36 @@ def merged(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     return [ranks[p] for p in parts if p is not None]
 
 
-def folded(words: DataFrame, path: str) -> DataFrame:
-    """``words`` (word, not empty) with ``ids``: the word's ids as little-endian 32-bit
-    integers (binary)."""
-    ids = F.expr(bound(f"if(octet_length(word) > {LONG}, null, {fold('word')})", **rank_literals(path)))
+def folded(words: DataFrame, column: str, path: str) -> DataFrame:
+    """``words`` with ``ids``: for each word in ``column`` (array<string>, none empty) its
+    ids (array<int>), null for words above LONG bytes."""
+    each = f"transform({column}, v -> if(octet_length(v) > {LONG}, null, {fold('v')}))"
+    return words.withColumn("ids", F.expr(bound(each, **rank_literals(path))))
 
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ranks: dict[bytes, int] = {}
+
+def common_words(texts: DataFrame, path: str, pattern: str, *, most: int, sample: int) -> pa.Table:
+    """word and ids (array<int>) of the ``most`` most frequent words of about ``sample`` of
+    the ``texts``, without words that are tokens, over COMMON_BYTES bytes, or there once."""
+    n = texts.count()
+    part = texts if n <= sample else texts.sample(sample / n, seed=5)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        find, tokens = regex.compile(pattern).findall, ranks_of(path)
         for batch in batches:
-            out = batch.column(1).to_pylist()
-            for k, found in enumerate(out):
-                if found is None:
-                    ranks = ranks or ranks_of(path)
-                    out[k] = merged(batch.column(0)[k].as_py().encode("utf-8", "replace"), ranks)
-            packed = [array("i", found).tobytes() for found in out]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed, pa.binary())], names=["word", "ids"])
+            texts = batch.column(0).to_pylist()
+            for begin, end in in_parts(texts, BLOCK):
+                seen: Counter[str] = Counter()
+                for t in texts[begin:end]:
+                    seen.update(find(t or ""))
+                raw = {w: w.encode() for w in seen}
+                kept = [w for w, b in raw.items() if len(b) <= COMMON_BYTES and b not in tokens]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(kept, pa.string()), pa.array([seen[w] for w in kept], pa.int64())], names=["word", "n"]
+                )
 
-    return words.select("word", ids.alias("ids")).mapInArrow(pack, "word string, ids binary")
+    words = part.mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")).where("n > 1")
+    top = words.orderBy(F.desc("n"), "word").limit(most).select("word").repartition(max(2, most // 5000))
+    return folded(top.select("word", F.array("word").alias("one")), "one", path).select("word", F.col("ids")[0].alias("ids")).toArrow()
 
 
 def _lists(values: pa.Array, lengths: np.ndarray) -> pa.Array:
@@ -188,13 +208,12 @@ def _lists(values: pa.Array, lengths: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)
 
 
-def filled(ids: np.ndarray, lengths: np.ndarray, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Ids and list lengths with every hole ``-1 - k`` replaced by the ids in ``words[k]``."""
+def filled(ids: np.ndarray, lengths: np.ndarray, flat: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ids and list lengths with every hole ``-1 - k`` replaced by the ids of word k, which
+    has ``size[k]`` of them in ``flat``, after those of the words before it."""
     holes = np.flatnonzero(ids < 0)
     if not len(holes):
         return ids, lengths
-    flat = np.frombuffer(b"".join(words), "<i4")
-    size = np.array([len(w) // 4 for w in words], np.int64)
     first, word = np.cumsum(size) - size, -1 - ids[holes].astype(np.int64)
     long = size[word]
     wide = np.ones(len(ids), np.int64)
@@ -208,85 +227,98 @@ def filled(ids: np.ndarray, lengths: np.ndarray, words: list[bytes]) -> tuple[np
 
 
 class _Numbers(dict):
-    """Token to id; a word that is missing gets the next of -1, -2, ..."""
+    """Word to id; a word that is missing gets the next of -1 - common, -2 - common, ..."""
 
-    def __init__(self, tokens: dict[str, int]):
-        super().__init__(tokens)
-        self.words: list[str] = []
+    def __init__(self, known: dict[str, int], common: int):
+        super().__init__(known)
+        self.last, self.words = -common, []
 
     def __missing__(self, word: str) -> int:
         self.words.append(word)
-        self[word] = out = -len(self.words)
-        return out
+        self.last -= 1
+        self[word] = self.last
+        return self.last
+
+
+def _flat(ids: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+    """All ids one after the other, and how many each word has; none where it is null."""
+    size = ids.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+    return ids.flatten().to_numpy(zero_copy_only=False).astype(np.int32), size
+
 
+def encoded(
+    docs: DataFrame, path: str, pattern: str, *, text: str = "text", keep: Iterable[str] | None = None,
+    most: int = COMMON, sample: int = SAMPLE_DOCS, table: int = TABLE,
+) -> DataFrame:
+    """``docs`` with ``ids`` (array<int>): every match of ``pattern`` in the text, encoded by
+    the ranks in ``path`` without special tokens.
 
-def blocks(docs: DataFrame, path: str, pattern: str, text: str, kept: list[str]) -> DataFrame:
-    """Blocks of documents: rows (their ``kept`` columns), lengths and holed (zstd of the
-    32-bit ids, -1 - k for words[k]), size (bytes of the ids) and words (no tokens)."""
+    Null and empty texts have no ids.  Words of any length are encoded whole.  Repeated rows
+    each get theirs; an empty table gives an empty result.  The columns in ``keep`` (all of
+    them by default) stay, whatever their names; an existing column ``ids`` is replaced.
+    ``most``, ``sample`` and ``table`` change the time and memory, not the ids."""
+    kept = [c for c in (docs.columns if keep is None else keep) if c != "ids"]
+    # names are positions inside, so that no two clash
+    inner = docs.select(*[F.col(c).alias(f"c{k}") for k, c in enumerate(kept)], F.col(text).alias("t"))
+    names = [f"c{k}" for k in range(len(kept))]
+    common = common_words(inner.select("t"), path, pattern, most=most, sample=sample).combine_chunks()
+    start = common.num_rows
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        find, tokens = regex.compile(pattern).findall, {}
+        find = regex.compile(pattern).findall
+        known = {w: -1 - k for k, w in enumerate(common.column("word").to_pylist())}
         for token, i in ranks_of(path).items():
             try:
-                tokens[token.decode()] = i
+                known[token.decode()] = i
             except UnicodeDecodeError:  # part of a character: no word
                 pass
+        numbers, fresh = _Numbers(known, start), True
         for batch in batches:
             texts = batch.column(batch.num_columns - 1).to_pylist()
             for begin, end in in_parts(texts, BLOCK):
-                numbers, ids, lengths = _Numbers(tokens), array("i"), []
+                if -numbers.last - start > table:
+                    numbers, fresh = _Numbers(known, start), True
+                numbers.words, ids, lengths = [], array("i"), []
                 for t in texts[begin:end]:
                     words = find(t or "")
                     ids.extend(map(numbers.__getitem__, words))
                     lengths.append(len(words))
-                raw = ids.tobytes()
-                rows = pa.StructArray.from_arrays([c.slice(begin, end - begin) for c in batch.columns[:-1]], kept)
+                rows = pa.StructArray.from_arrays([c.slice(begin, end - begin) for c in batch.columns[:-1]], names)
                 yield pa.RecordBatch.from_arrays(
-                    [_lists(rows, np.array([end - begin])), pa.array([lengths], pa.list_(pa.int32())),
-                     pa.array([pa.compress(raw, "zstd", asbytes=True)]), pa.array([len(raw)], pa.int64()),
-                     pa.array([numbers.words], pa.list_(pa.string()))],
-                    names=["rows", "lengths", "holed", "size", "words"],
+                    [_lists(rows, np.array([end - begin])), pa.array([lengths], pa.list_(pa.int32())), pa.array([ids.tobytes()]),
+                     pa.array([fresh]), pa.array([numbers.words], pa.list_(pa.string()))],
+                    names=["rows", "lengths", "holed", "fresh", "words"],
                 )
+                fresh = False
 
-    # names are positions inside, so that no two clash
-    inner = docs.select(*[F.col(c).alias(f"c{k}") for k, c in enumerate(kept)], F.col(text).alias("t"))
-    kept = [f"c{k}" for k in range(len(kept))]
-    rows = StructType([StructField(f.name, f.dataType) for f in inner.schema.fields[:-1]])
-    schema = StructType([
-        StructField("rows", ArrayType(rows)), StructField("lengths", ArrayType(IntegerType())),
-        StructField("holed", BinaryType()), StructField("size", inner.select(F.lit(1).cast("long")).schema[0].dataType),
-        StructField("words", ArrayType(StringType())),
+    def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common_flat, common_size = _flat(common.column("ids").combine_chunks())
+        ranks: dict[bytes, int] = {}
+        flat, size = common_flat, common_size
+        for batch in batches:
+            for k in range(batch.num_rows):
+                rows, lengths, holed, fresh, words, found = (c[k] for c in batch.columns)
+                if fresh.as_py():
+                    flat, size = common_flat, common_size
+                found = found.values
+                if found.null_count:
+                    ranks = ranks or ranks_of(path)
+                    found = pa.array(
+                        [merged(w.as_py().encode(), ranks) if f is None else f for w, f in zip(words.values, found.to_pylist())],
+                        pa.list_(pa.int32()),
+                    )
+                more, sizes = _flat(found)
+                flat, size = np.concatenate([flat, more]), np.concatenate([size, sizes])
+                ids, long = filled(np.frombuffer(holed.as_py(), "<i4"), np.array(lengths.values, np.int64), flat, size)
+                yield pa.RecordBatch.from_arrays([*rows.values.flatten(), _lists(pa.array(ids, pa.int32()), long)], names=[*names, "ids"])
+
+    fields = inner.schema.fields[:-1]
+    block = StructType([
+        StructField("rows", ArrayType(StructType(fields))), StructField("lengths", ArrayType(IntegerType())),
+        StructField("holed", BinaryType()), StructField("fresh", BooleanType()), StructField("words", ArrayType(StringType())),
     ])
-    return inner.mapInArrow(split, schema).withColumn("block", F.monotonically_increasing_id())
-
-
-def encoded(docs: DataFrame, path: str, pattern: str, *, text: str = "text", keep: Iterable[str] | None = None) -> DataFrame:
-    """``docs`` with ``ids`` (array<int>): every match of ``pattern`` in the text, encoded by
-    the ranks in ``path`` without special tokens.
-
-    Null and empty texts have no ids.  Words of any length are encoded whole.  Repeated rows
-    each get theirs; an empty table gives an empty result.  The columns in ``keep`` (all of
-    them by default) stay, whatever their names; an existing column ``ids`` is replaced."""
-    kept = [c for c in (docs.columns if keep is None else keep) if c != "ids"]
-    here = stored(blocks(docs, path, pattern, text, kept))
-    wanted = here.select("block", F.posexplode("words").alias("k", "word"))
-    many = here.agg(F.sum(F.size("words"))).first()[0] or 0
-    table = stored(folded(wanted.select("word").distinct().repartition(1 + many // WORDS), path))
-    found = wanted.join(table.hint("merge"), "word").select(F.col("block").alias("of"), "k", "ids")
-
-    def fill(left: pa.Table, right: pa.Table) -> pa.Table:
-        order = np.argsort(right.column("k").to_numpy())
-        words = right.column("ids").to_pylist()
-        raw = pa.decompress(left.column("holed")[0].as_py(), left.column("size")[0].as_py(), "zstd", asbytes=True)
-        lengths = np.array(left.column("lengths")[0].values, np.int64)
-        ids, lengths = filled(np.frombuffer(raw, "<i4"), lengths, [words[k] for k in order])
-        rows = left.column("rows")[0].values
-        return pa.Table.from_arrays([*rows.flatten(), _lists(pa.array(ids, pa.int32()), lengths)], names=names)
-
-    names = [*(f"c{k}" for k in range(len(kept))), "ids"]
-    schema = StructType([*here.schema["rows"].dataType.elementType.fields, StructField("ids", ArrayType(IntegerType()))])
-    full = here.drop("words").groupBy("block").cogroup(found.groupBy("of")).applyInArrow(fill, schema)
-    return full.toDF(*kept, "ids")
+    done = StructType([*fields, StructField("ids", ArrayType(IntegerType()))])
+    return folded(inner.mapInArrow(split, block), "words", path).mapInArrow(fill, done).toDF(*kept, "ids")
 
 
 @cache
@@ -338,12 +370,12 @@ def decoded(df: DataFrame, path: str, *, ids: str = "ids", to: str = "decoded",
     return inner.mapInArrow(join, schema).toDF(*kept, to, packed)
 
 
-def digests(docs: DataFrame, path: str, pattern: str) -> DataFrame:
+def digests(docs: DataFrame, path: str, pattern: str, **bounds: int) -> DataFrame:
     """Per row of ``docs`` (doc_id, text): doc_id, n_tokens, ids_sha256, decoded_sha256.
 
     Null and empty texts have no ids and the digests of no bytes.  Repeated rows and null
     ids each get a row; other columns are ignored; an empty table gives an empty result."""
-    done = encoded(docs.select("doc_id", "text"), path, pattern, keep=["doc_id"])
+    done = encoded(docs.select("doc_id", "text"), path, pattern, keep=["doc_id"], **bounds)
     done = decoded(done.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids"), path)
     return done.select(
         "doc_id", "n_tokens", F.sha2("packed", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"),

@@ -137,7 +137,9 @@ def test_byte_pairs(spark, tokenizer):
     for clashing in ("block", "words", "k", "rows"):
         df = df.withColumn(clashing, F.lit(1))
     assert byte_bpe.encoded(df, PATH, public_tokenizers.PATTERN).columns == [c for c in df.columns if c != "ids"] + ["ids"]
+    again = byte_bpe.digests(df.coalesce(1), PATH, public_tokenizers.PATTERN, most=3, table=2).collect()
     got = byte_bpe.digests(df, PATH, public_tokenizers.PATTERN).collect()
+    assert sorted(again) == sorted(got)
     assert len(got) == len(texts) + 1
     for r in got:
         ids = tokenizer.encode_ordinary(texts[r.doc_id] or "")

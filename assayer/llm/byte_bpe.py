@@ -1,6 +1,6 @@
 """Byte-level BPE encoding and decoding: ranked merges folded in Spark's higher-order functions.
 
-Documents are taken in blocks of some millions of characters and split by the tokenizer's
+Documents are taken in blocks of about a million bytes and split by the tokenizer's
 pattern.  A word that is a token is its id; every other distinct word of a task gets a
 number, which stands in the block's ids as a hole.  A block carries the words that its task
 has not seen before; the fold turns them into ids, and the step after it keeps them in a
@@ -12,7 +12,7 @@ input.  They decide the cost only.
 
 The fold holds a word as token ids, one a byte at first: each step merges the leftmost pair
 of the lowest rank, found in a literal rank map, until no pair has a rank.  A step copies
-the word, so words above LONG bytes take the same merges from a heap, in n log n.  Decoding
+the word, so words above LONG bytes are merged before, from a heap, in n log n.  Decoding
 looks up each id's bytes and joins them.
 
 The rank map is keyed by the pair of ids and lies in flat arrays with a slot for each pair,
@@ -31,24 +31,23 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, BinaryType, BooleanType, IntegerType, StringType, StructField, StructType
-
-from assayer.llm.crf import in_parts
+from pyspark.sql.types import ArrayType, BinaryType, BooleanType, IntegerType, StructField, StructType
 
 #: Buckets and slots of the rank map; SPREAD keeps pairs of one bucket apart.
 BUCKETS, SLOTS, SPREAD = 1 << 15, 196613, 65599
 #: A slot holds left id, right id and rank in one number; ids have 17 bits.
 ID_BITS = 17
 NONE = 2147483647
-#: Characters of a block, bytes of a word that the fold takes.
-BLOCK, LONG = 4_000_000, 256
+#: Bytes of a block's texts, bytes of a word that the fold takes.
+BLOCK, LONG = 1_000_000, 256
 #: Frequent words: how many, of how many bytes at most, of about how many documents.
-COMMON, COMMON_BYTES, SAMPLE_DOCS = 500_000, 32, 32_000
+COMMON, COMMON_BYTES, SAMPLE_DOCS = 200_000, 32, 32_000
 #: Words that a task numbers besides them until it starts anew.
-TABLE = 500_000
+TABLE = 200_000
 
 
 def ranks_of(path: str) -> dict[bytes, int]:
@@ -86,8 +85,9 @@ def _slots(pairs: dict[tuple[int, int], int]) -> tuple[list[int], list[int]]:
 
 @cache
 def rank_literals(path: str) -> dict[str, str]:
-    """SQL literals of the fold: ``bytes``, the id of each single byte, and the rank map of
-    the pairs of ids that make a token, as flat arrays: ``slots`` and ``shifts``."""
+    """SQL literals of the fold: ``bytes``, the id of each single byte; ``first``, the rank of
+    each pair of bytes; and the rank map of the pairs of ids that make a token, as flat
+    arrays: ``slots`` and ``shifts``."""
     ranks = ranks_of(path)
     pairs = {}
     for token, rank in ranks.items():
@@ -96,7 +96,9 @@ def rank_literals(path: str) -> dict[str, str]:
             if left is not None and right is not None:
                 pairs[left, right] = rank
     slots, shifts = _slots(pairs)
+    first = [ranks.get(bytes([a, b]), NONE) for a in range(256) for b in range(256)]
     return {
+        "first": f"from_json({_json(first)}, 'array<int>')",
         "bytes": f"from_json({_json([ranks[bytes([b])] for b in range(256)])}, 'array<int>')",
         "slots": f"from_json({_json(slots)}, 'array<bigint>')",
         "shifts": f"from_json({_json(shifts)}, 'array<int>')",
@@ -110,7 +112,8 @@ def bound(sql: str, **literals: str) -> str:
 
 
 def fold(word: str) -> str:
-    """SQL for the ids (array<int>) of a word by merges; ``c`` holds the rank literals."""
+    """SQL for the ids (array<int>) of a word, given as its bytes (array<int>), by merges;
+    ``c`` holds the rank literals.  Ids behind a -1 are a word's already."""
 
     def rank(left: str, right: str) -> str:
         place = f"cast((cast({left} as bigint) * {SPREAD} + {right} + c.shifts[({left} * 31 + {right}) % {BUCKETS}]) % {SLOTS} as int)"
@@ -118,14 +121,10 @@ def fold(word: str) -> str:
         value = f"c.slots[{place}]"
         return f"if(({value} & {(1 << 2 * ID_BITS) - 1}) = {key}, cast(shiftright({value}, {2 * ID_BITS}) as int), {NONE})"
 
-    byte_ids = (
-        f"transform(array(cast({word} as binary)), b -> transform(sequence(1, length(b)), "
-        "i -> c.bytes[ascii(decode(substring(b, i, 1), 'ISO-8859-1'))]))[0]"
-    )
     # s.ids: the parts; s.ranks: rank of each part with the next; x.m: place of the merged pair
     start = (
-        f"transform(array({byte_ids}), p -> struct(p as ids, if(size(p) < 2, cast(array() as array<int>), "
-        f"transform(sequence(1, size(p) - 1), i -> {rank('p[i - 1]', 'p[i]')})) as ranks))[0]"
+        f"struct(transform({word}, b -> c.bytes[b]) as ids, if(size({word}) < 2, cast(array() as array<int>), "
+        f"transform(sequence(1, size({word}) - 1), i -> c.first[{word}[i - 1] * 256 + {word}[i]])) as ranks)"
     )
     no_rank = "cast(array() as array<int>)"
     merged = (
@@ -140,7 +139,8 @@ def fold(word: str) -> str:
         f"transform(array(coalesce(array_min(s.ranks), {NONE})), t -> if(t = {NONE}, s, "
         f"transform(array({least}), x -> {merged})[0]))[0]"
     )
-    return f"aggregate(sequence(1, octet_length({word})), {start}, (s, i) -> {step}, s -> s.ids)"
+    merges = f"aggregate(sequence(1, size({word})), {start}, (s, i) -> {step}, s -> s.ids)"
+    return f"if({word}[0] < 0, slice({word}, 2, size({word})), {merges})"
 
 
 def merged(word: bytes, ranks: dict[bytes, int]) -> list[int]:
@@ -171,10 +171,37 @@ def merged(word: bytes, ranks: dict[bytes, int]) -> list[int]:
 
 
 def folded(words: DataFrame, column: str, path: str) -> DataFrame:
-    """``words`` with ``ids``: for each word in ``column`` (array<string>, none empty) its
-    ids (array<int>), null for words above LONG bytes."""
-    each = f"transform({column}, v -> if(octet_length(v) > {LONG}, null, {fold('v')}))"
-    return words.withColumn("ids", F.expr(bound(each, **rank_literals(path))))
+    """``words`` with ``column`` (the bytes of words, array<array<int>>) replaced by their ids."""
+    return words.withColumn(column, F.expr(bound(f"transform({column}, v -> {fold('v')})", **rank_literals(path))))
+
+
+def _lists(values: pa.Array, lengths: np.ndarray) -> pa.ListArray:
+    """Lists of the given lengths of values that lie one after the other."""
+    ends = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)
+
+
+def _bytes(words: list[str], ranks: dict[bytes, int]) -> pa.ListArray:
+    """The bytes of each word; the ids behind a -1 of those above LONG bytes."""
+    raw = [w.encode() for w in words]
+    if all(len(b) <= LONG for b in raw):
+        flat = np.frombuffer(b"".join(raw), np.uint8).astype(np.int32)
+        return _lists(pa.array(flat, pa.int32()), np.array([len(b) for b in raw], np.int64))
+    return pa.array([list(b) if len(b) <= LONG else [-1, *merged(b, ranks)] for b in raw], pa.list_(pa.int32()))
+
+
+def _ranges(sizes: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Ranges of rows of about BLOCK together."""
+    part = np.cumsum(sizes, dtype=np.int64) // BLOCK
+    edges = [0, *(np.flatnonzero(np.diff(part)) + 1), len(sizes)] if len(sizes) else []
+    return zip(edges, edges[1:])
+
+
+def _texts(batch: pa.RecordBatch) -> Iterator[tuple[int, int, list[str | None]]]:
+    """Parts of the last column of a batch: first row, row behind the last, texts."""
+    column = batch.column(batch.num_columns - 1)
+    for begin, end in _ranges(pc.binary_length(column).fill_null(0).to_numpy(zero_copy_only=False)):
+        yield begin, end, column.slice(begin, end - begin).to_pylist()
 
 
 def common_words(texts: DataFrame, path: str, pattern: str, *, most: int, sample: int) -> pa.Table:
@@ -186,10 +213,9 @@ def common_words(texts: DataFrame, path: str, pattern: str, *, most: int, sample
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         find, tokens = regex.compile(pattern).findall, ranks_of(path)
         for batch in batches:
-            texts = batch.column(0).to_pylist()
-            for begin, end in in_parts(texts, BLOCK):
+            for _, _, texts in _texts(batch):
                 seen: Counter[str] = Counter()
-                for t in texts[begin:end]:
+                for t in texts:
                     seen.update(find(t or ""))
                 raw = {w: w.encode() for w in seen}
                 kept = [w for w, b in raw.items() if len(b) <= COMMON_BYTES and b not in tokens]
@@ -199,13 +225,14 @@ def common_words(texts: DataFrame, path: str, pattern: str, *, most: int, sample
 
     words = part.mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")).where("n > 1")
     top = words.orderBy(F.desc("n"), "word").limit(most).select("word").repartition(max(2, most // 5000))
-    return folded(top.select("word", F.array("word").alias("one")), "one", path).select("word", F.col("ids")[0].alias("ids")).toArrow()
 
+    def as_bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            each = _bytes(batch.column(0).to_pylist(), {})
+            yield pa.RecordBatch.from_arrays([batch.column(0), _lists(each, np.ones(len(each), np.int64))], names=["word", "ids"])
 
-def _lists(values: pa.Array, lengths: np.ndarray) -> pa.Array:
-    """Lists of the given lengths of values that lie one after the other."""
-    ends = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)
+    given = top.mapInArrow(as_bytes, "word string, ids array<array<int>>")
+    return folded(given, "ids", path).select("word", F.col("ids")[0].alias("ids")).toArrow()
 
 
 def filled(ids: np.ndarray, lengths: np.ndarray, flat: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -241,8 +268,8 @@ class _Numbers(dict):
 
 
 def _flat(ids: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
-    """All ids one after the other, and how many each word has; none where it is null."""
-    size = ids.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+    """All ids one after the other, and how many each word has."""
+    size = ids.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
     return ids.flatten().to_numpy(zero_copy_only=False).astype(np.int32), size
 
 
@@ -266,48 +293,39 @@ def encoded(
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         find = regex.compile(pattern).findall
-        known = {w: -1 - k for k, w in enumerate(common.column("word").to_pylist())}
-        for token, i in ranks_of(path).items():
+        known, ranks = {w: -1 - k for k, w in enumerate(common.column("word").to_pylist())}, ranks_of(path)
+        for token, i in ranks.items():
             try:
                 known[token.decode()] = i
             except UnicodeDecodeError:  # part of a character: no word
                 pass
         numbers, fresh = _Numbers(known, start), True
         for batch in batches:
-            texts = batch.column(batch.num_columns - 1).to_pylist()
-            for begin, end in in_parts(texts, BLOCK):
+            for begin, end, texts in _texts(batch):
                 if -numbers.last - start > table:
                     numbers, fresh = _Numbers(known, start), True
                 numbers.words, ids, lengths = [], array("i"), []
-                for t in texts[begin:end]:
+                for t in texts:
                     words = find(t or "")
                     ids.extend(map(numbers.__getitem__, words))
                     lengths.append(len(words))
                 rows = pa.StructArray.from_arrays([c.slice(begin, end - begin) for c in batch.columns[:-1]], names)
                 yield pa.RecordBatch.from_arrays(
                     [_lists(rows, np.array([end - begin])), pa.array([lengths], pa.list_(pa.int32())), pa.array([ids.tobytes()]),
-                     pa.array([fresh]), pa.array([numbers.words], pa.list_(pa.string()))],
+                     pa.array([fresh]), _lists(_bytes(numbers.words, ranks), np.array([len(numbers.words)]))],
                     names=["rows", "lengths", "holed", "fresh", "words"],
                 )
                 fresh = False
 
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         common_flat, common_size = _flat(common.column("ids").combine_chunks())
-        ranks: dict[bytes, int] = {}
         flat, size = common_flat, common_size
         for batch in batches:
             for k in range(batch.num_rows):
-                rows, lengths, holed, fresh, words, found = (c[k] for c in batch.columns)
+                rows, lengths, holed, fresh, words = (c[k] for c in batch.columns)
                 if fresh.as_py():
                     flat, size = common_flat, common_size
-                found = found.values
-                if found.null_count:
-                    ranks = ranks or ranks_of(path)
-                    found = pa.array(
-                        [merged(w.as_py().encode(), ranks) if f is None else f for w, f in zip(words.values, found.to_pylist())],
-                        pa.list_(pa.int32()),
-                    )
-                more, sizes = _flat(found)
+                more, sizes = _flat(words.values)
                 flat, size = np.concatenate([flat, more]), np.concatenate([size, sizes])
                 ids, long = filled(np.frombuffer(holed.as_py(), "<i4"), np.array(lengths.values, np.int64), flat, size)
                 yield pa.RecordBatch.from_arrays([*rows.values.flatten(), _lists(pa.array(ids, pa.int32()), long)], names=[*names, "ids"])
@@ -315,7 +333,7 @@ def encoded(
     fields = inner.schema.fields[:-1]
     block = StructType([
         StructField("rows", ArrayType(StructType(fields))), StructField("lengths", ArrayType(IntegerType())),
-        StructField("holed", BinaryType()), StructField("fresh", BooleanType()), StructField("words", ArrayType(StringType())),
+        StructField("holed", BinaryType()), StructField("fresh", BooleanType()), StructField("words", ArrayType(ArrayType(IntegerType()))),
     ])
     done = StructType([*fields, StructField("ids", ArrayType(IntegerType()))])
     return folded(inner.mapInArrow(split, block), "words", path).mapInArrow(fill, done).toDF(*kept, "ids")
@@ -343,9 +361,7 @@ def decoded(df: DataFrame, path: str, *, ids: str = "ids", to: str = "decoded",
         pieces = _pieces(path)
         for batch in batches:
             sizes = batch.column(batch.num_columns - 1).value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
-            part = np.cumsum(sizes, dtype=np.int64) // BLOCK
-            edges = [0, *(np.flatnonzero(np.diff(part)) + 1), len(sizes)] if len(sizes) else [0]
-            for begin, end in zip(edges, edges[1:]):
+            for begin, end in _ranges(sizes):
                 here = batch.slice(begin, end - begin)
                 flat = here.column(here.num_columns - 1).flatten().cast(pa.int32())
                 ends = np.concatenate([[0], np.cumsum(sizes[begin:end], dtype=np.int64)])

@@ -30,8 +30,8 @@ fit AS (
 ), judged AS (SELECT here.*, rule, verdict FROM here LEFT JOIN fit USING (page_id)),
 hosts AS (
   SELECT host, string_split(regexp_replace(regexp_replace(host, '^.*@', ''), ':[0-9]*$', ''), '.') AS parts,
-         count(*) AS n, count(*) FILTER (verdict = 'block') AS bad
-  FROM judged WHERE rule IS NOT NULL GROUP BY host
+         count(rule) AS n, count(*) FILTER (verdict = 'block') AS bad
+  FROM judged GROUP BY host
 ), sited AS (
   SELECT host, n, bad, parts[-1] AS suffix, array_to_string(parts[-2:], '.') AS domain FROM hosts
 ), top AS (SELECT (coalesce(sum(bad), 0) + 0.5) / (coalesce(sum(n), 0) + 1.0) AS m FROM sited),

@@ -5,7 +5,8 @@ outcomes borrow from their registered domain, domains from their suffix, suffixe
 whole table: each level has a beta prior whose mean is its parent's posterior mean and
 whose weight is estimated from the spread of all groups of that level (beta-binomial
 moments).  A host is blocked when the lower bound of its posterior bad rate is above a
-threshold, so a host that nothing is known about passes.
+threshold.  A host without outcomes has its domain's mean under the prior's own spread, so
+it is judged by its relatives, and passes where they say nothing.
 """
 
 from __future__ import annotations
@@ -103,8 +104,8 @@ def prior_weight(groups: DataFrame) -> float:
 
 
 def reputations(outcomes: DataFrame, *, z: float = 1.64, suffixes: Sequence[str] = ()) -> DataFrame:
-    """One row per host of ``outcomes`` (host, bad 0/1): n, bad, mean and lower bound of
-    the posterior bad rate.  Outcomes are combined per host before anything else; only
+    """One row per host of ``outcomes`` (host, bad 0/1, null for a page without a label): n,
+    bad, mean and lower bound of the posterior bad rate.  Outcomes are combined per host before anything else; only
     single rows of sums reach the driver."""
     hosts = stored(
         outcomes.groupBy("host").agg(
@@ -157,7 +158,10 @@ def filter_urls(
     ).select("page_id", "host", "path", "rule", "verdict")
     by_rule = judged.where("rule is not null")
     if outcomes is None:
-        outcomes = by_rule.select("host", (F.col("verdict") == "block").cast("int").alias("bad"))
+        outcomes = judged.select("host", (F.col("verdict") == "block").cast("int").alias("bad"))
+    else:
+        unlabelled = judged.select("host", F.lit(None).cast("int").alias("bad"))
+        outcomes = outcomes.select("host", F.col("bad").cast("int").alias("bad")).unionByName(unlabelled)
     known = reputations(outcomes, z=z, suffixes=suffixes).where(F.col("bound") > max_bad)
     rest = judged.where("rule is null").drop("verdict").join(
         known.select("host", F.lit("block").alias("verdict")), "host", "left"

@@ -176,3 +176,14 @@ def test_redaction(spark):
     got = pii.redacted(df)
     assert got.columns == df.columns
     assert {tuple(r) for r in got.collect()} == {(1, "é [EMAIL], [IP]!", 16, "k"), (2, None, None, "k"), (3, "", 0, "k")}
+
+
+def test_unlabelled_hosts_are_judged_by_their_relatives(spark):
+    hosts = [f"h{k}.bad.org" for k in range(40)] + [f"h{k}.fine.org" for k in range(40)]
+    outcomes = spark.createDataFrame(
+        [(h, int(".bad." in h)) for h in hosts for _ in range(5)], "host string, bad int"
+    )
+    rows = [(1, "http://new.bad.org/a"), (2, "http://new.fine.org/a"), (3, "http://h3.bad.org/"), (4, "http://other.xyz/"), (5, None)]
+    pages = spark.createDataFrame(rows, "page_id long, url string")
+    got = {r.page_id: r.verdict for r in url_filter.filter_urls(pages, rules=(), outcomes=outcomes).collect()}
+    assert got == {1: "block", 2: "allow", 3: "block", 4: "allow", 5: "allow"}

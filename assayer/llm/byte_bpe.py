@@ -10,9 +10,9 @@ The tables start with the most frequent words of a bounded sample of documents,
 before: at most ``most`` words of at most COMMON_BYTES bytes, some megabytes whatever the
 input.  They decide the cost only.
 
-The fold holds a word as token ids, one a byte at first: each step merges the leftmost pair
-of the lowest rank, found in a literal rank map, until no pair has a rank.  A step copies
-the word, so words above LONG bytes are merged before, from a heap, in n log n.  Decoding
+The fold holds a word as token ids, one a byte at first, each behind the rank of the pair it
+begins: each step merges the leftmost pair of the lowest rank, found in a literal rank map,
+until no pair has a rank.  A step copies the word, so words above LONG bytes are merged before, from a heap, in n log n.  Decoding
 looks up each id's bytes and joins them.
 
 The rank map is keyed by the pair of ids and lies in flat arrays with a slot for each pair,
@@ -45,7 +45,7 @@ NONE = 2147483647
 #: Bytes of a block's texts, bytes of a word that the fold takes.
 BLOCK, LONG = 1_000_000, 256
 #: Frequent words: how many, of how many bytes at most, of about how many documents.
-COMMON, COMMON_BYTES, SAMPLE_DOCS = 200_000, 32, 32_000
+COMMON, COMMON_BYTES, SAMPLE_DOCS = 320_000, 32, 32_000
 #: Words that a task numbers besides them until it starts anew.
 TABLE = 200_000
 
@@ -116,30 +116,28 @@ def fold(word: str) -> str:
     ``c`` holds the rank literals.  Ids behind a -1 are a word's already."""
 
     def rank(left: str, right: str) -> str:
-        place = f"cast((cast({left} as bigint) * {SPREAD} + {right} + c.shifts[({left} * 31 + {right}) % {BUCKETS}]) % {SLOTS} as int)"
-        key = f"(shiftleft(cast({left} as bigint), {ID_BITS}) + {right})"
+        place = f"cast(({left} * {SPREAD} + {right} + c.shifts[cast(({left} * 31 + {right}) % {BUCKETS} as int)]) % {SLOTS} as int)"
+        key = f"(shiftleft({left}, {ID_BITS}) | {right})"
         value = f"c.slots[{place}]"
-        return f"if(({value} & {(1 << 2 * ID_BITS) - 1}) = {key}, cast(shiftright({value}, {2 * ID_BITS}) as int), {NONE})"
-
-    # s.ids: the parts; s.ranks: rank of each part with the next; x.m: place of the merged pair
-    start = (
-        f"struct(transform({word}, b -> c.bytes[b]) as ids, if(size({word}) < 2, cast(array() as array<int>), "
-        f"transform(sequence(1, size({word}) - 1), i -> c.first[{word}[i - 1] * 256 + {word}[i]])) as ranks)"
-    )
-    no_rank = "cast(array() as array<int>)"
+        found = f"({value} & {(1 << 2 * ID_BITS) - 1}) = {key}"
+        return f"if({found}, shiftleft(shiftright({value}, {2 * ID_BITS}), {ID_BITS}), {no_rank})"
+
+    # s: the parts, each its id behind the rank of the pair it begins; v: the least of them,
+    # whose rank is the id of the merged pair; m: place of its first part
+    mask, no_rank = f"{(1 << ID_BITS) - 1}L", f"{NONE << ID_BITS}L"
+    first = f"if(i + 1 < size({word}), c.first[b * 256 + {word}[i + 1]], {NONE})"
+    start = f"transform({word}, (b, i) -> shiftleft(cast({first} as bigint), {ID_BITS}) | c.bytes[b])"
+    token, before, after = f"shiftright(v, {ID_BITS})", f"(s[m - 2] & {mask})", f"(s[m + 1] & {mask})"
+    pair = f"if(m + 1 < size(s), {rank(token, after)}, {no_rank}) | {token}"
     merged = (
-        "struct(concat(slice(s.ids, 1, x.m - 1), array(x.t), slice(s.ids, x.m + 2, size(s.ids))) as ids, "
-        "concat(slice(s.ranks, 1, greatest(x.m - 2, 0)), "
-        f"if(x.m > 1, array({rank('s.ids[x.m - 2]', 'x.t')}), {no_rank}), "
-        f"if(x.m < size(s.ranks), array({rank('x.t', 's.ids[x.m + 1]')}), {no_rank}), "
-        "slice(s.ranks, x.m + 2, size(s.ranks))) as ranks)"
+        f"if(m > 1, concat(slice(s, 1, m - 2), array({rank(before, token)} | {before}, {pair}), slice(s, m + 2, size(s))), "
+        f"concat(array({pair}), slice(s, 3, size(s))))"
     )
-    least = "struct(cast(array_position(s.ranks, t) as int) as m, t as t)"
     step = (
-        f"transform(array(coalesce(array_min(s.ranks), {NONE})), t -> if(t = {NONE}, s, "
-        f"transform(array({least}), x -> {merged})[0]))[0]"
+        f"transform(array(array_min(s)), v -> if(v >= {no_rank}, s, "
+        f"transform(array(cast(array_position(s, v) as int)), m -> {merged})[0]))[0]"
     )
-    merges = f"aggregate(sequence(1, size({word})), {start}, (s, i) -> {step}, s -> s.ids)"
+    merges = f"aggregate({word}, {start}, (s, b) -> {step}, s -> transform(s, x -> cast(x & {mask} as int)))"
     return f"if({word}[0] < 0, slice({word}, 2, size({word})), {merges})"
 
 

@@ -11,10 +11,11 @@ their Jaccard similarity.
 Exact copies are first reduced to one document.  Bands of the signature are keys; in every
 bucket of a key the members are tied to one leader (a combine and a join), and again in the
 finer buckets of two bands together.  The ties are verified by exact similarity, and
-components of verified ties are the classes so far.  Buckets that still hold several classes
-go on in rounds: more and more members are compared with all the others of another class and
-size that fits, until all pairs that share a band are verified, unlike, or in one class.
-Near copies thus cost few pairs; a bucket of unlike members costs all pairs of them.
+components of verified ties are the classes so far.  Members of buckets that still hold
+several classes then meet where they share one of their rarest shingles, as many as a pair
+of similar sets cannot avoid sharing (a prefix filter, with filters of size and place), and
+pairs of different classes are verified.  Near copies thus cost few pairs, and unlike texts
+with a common passage meet only where their own words are too few to tell them apart.
 """
 
 from __future__ import annotations
@@ -234,45 +235,82 @@ def verified(pairs: DataFrame, sets: DataFrame, *, similar: float = SIMILAR) ->
     return both.withColumn("shared", shared).where((F.col("shared") > 0) & (F.col("shared") >= F.lit(similar) * union - 1e-9)).select("a", "b")
 
 
-#: Members of a bucket that are compared with all others in the first round after the
-#: leaders, and how many times as many by each later round.
-FIRST, MORE = 8, 4
+#: Members that share a shingle in one task of the join of prefixes.
+MEMBERS = 1024
+
+
+def prefixes(sets: DataFrame, *, similar: float = SIMILAR) -> DataFrame:
+    """id, size, token, n and place: the shingles of each set (id, set) that can be the
+    rarest one it shares with a set as similar as ``similar``.
+
+    Shingles are ordered by the number ``n`` of sets that hold them, then by hash; ``place``
+    counts from 0 over the whole set.  A set of which at least similar * size shingles are
+    shared has its first shared one at a place of at most size - similar * size.  Shingles
+    of one set only come first in the order; they count as places and are left out.
+    """
+    each = sets.select("id", F.size("set").alias("size"), F.explode("set").alias("token"))
+    often = each.groupBy("token").agg(F.count("*").alias("n")).where("n > 1")
+    held = each.join(often, "token").groupBy("id", "size").agg(F.sort_array(F.collect_list(F.struct("n", "token"))).alias("held"))
+    alone = F.col("size") - F.size("held")
+    count = F.floor(F.col("size") - F.lit(similar) * F.col("size") + 1e-9).cast("int") + 1 - alone
+    first = F.slice("held", F.lit(1), F.greatest(count, F.lit(0)))
+    return held.select("id", "size", alone.alias("alone"), F.posexplode(first).alias("k", "t")).select(
+        "id", "size", F.col("t.token").alias("token"), F.col("t.n").alias("n"), (F.col("alone") + F.col("k")).alias("place")
+    )
+
+
+def meetings(rows: DataFrame, others: DataFrame, *, similar: float = SIMILAR) -> DataFrame:
+    """Pairs (a, b) of ``rows`` with ``others`` (prefixes with root) of another root that
+    share a shingle which leaves both enough places to be as similar as ``similar``.
+
+    A shingle of many sets is dealt out by its number of holders: ``others`` in parts of
+    about MEMBERS, ``rows`` to each part."""
+    parts = F.ceil(F.col("n") / MEMBERS).cast("int")
+    dealt = others.withColumn("part", F.pmod(F.xxhash64("id"), parts).cast("int"))
+    sent = rows.withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1)))
+    sent = sent.select("token", "part", *[F.col(c).alias(f"l_{c}") for c in ("id", "size", "root", "place")])
+    least = F.lit(similar / (1 + similar)) * (F.col("size") + F.col("l_size")) - 1e-6
+    left = F.least(F.col("size") - F.col("place"), F.col("l_size") - F.col("l_place"))
+    met = sent.join(dealt, ["token", "part"]).where(
+        (F.col("root") != F.col("l_root")) & _fits(F.col("size"), F.col("l_size"), similar) & (left >= least)
+    )
+    return met.select(F.greatest("id", "l_id").alias("a"), F.least("id", "l_id").alias("b")).distinct()
 
 
 def completed(keyed: DataFrame, sets: DataFrame, tried: DataFrame, roots: DataFrame, *, similar: float = SIMILAR) -> DataFrame:
     """``roots`` (id, root) joined by all pairs that share a band and are alike.
 
     ``keyed`` has id, size and bands of the documents in ``sets``; ``tried`` are the pairs
-    that need no second look.  A round compares some members of each bucket (all of them once
-    a round's number reaches the bucket's) with every other of another class, and takes them
-    out; members of the bucket's largest class wait, and a bucket of one class is done.
+    that need no second look.  The members of buckets that hold several classes meet where
+    they share a shingle of their ``prefixes``, which no pair as similar as ``similar``
+    fails to do.  First every member meets one of each other class, then all members of the
+    classes that are left but a shingle's largest meet those of all others.
     """
-    rows = keyed.select("id", "size", F.posexplode("bands").alias("place", "bucket")).select(
-        "id", "size", F.xxhash64("place", "bucket").alias("bucket")
-    )
+    rows = keyed.select("id", F.posexplode("bands").alias("place", "bucket")).select("id", F.xxhash64("place", "bucket").alias("bucket"))
+    here = rows.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
     # the leader has settled a bucket of two
-    crowded = rows.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 2")
-    rest, most = stored(rows.join(crowded, "bucket")), FIRST
-    while True:
-        here = rest.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
-        each = here.groupBy("bucket", "root").agg(F.count("*").alias("c"))
-        mixed = each.groupBy("bucket").agg(
-            F.max(F.struct("c", "root")).alias("top"), F.count("*").alias("classes")
-        ).where("classes > 1").select("bucket", F.col("top.root").alias("main"))
-        here = stored(here.join(mixed, "bucket"))
-        if here.isEmpty():
-            return roots
-        turn = F.pmod(F.xxhash64("id", F.lit(7)), F.lit(1 << 30))
-        now = (F.col("root") != F.col("main")) & ((F.col("n") <= most) | (turn * F.col("n") < F.lit(most * (1 << 30))))
-        lead = here.where(now).select("bucket", F.col("id").alias("l"), F.col("size").alias("ls"), F.col("root").alias("lr"))
-        new = lead.join(here, "bucket").where((F.col("lr") != F.col("root")) & _fits(F.col("ls"), F.col("size"), similar))
-        new = new.select(F.greatest("id", "l").alias("a"), F.least("id", "l").alias("b")).distinct()
+    several = here.groupBy("bucket").agg(F.count("*").alias("n"), F.min("root").alias("lo"), F.max("root").alias("hi"))
+    several = several.where("n > 2 and lo <> hi").select("bucket")
+    ids = stored(here.join(several, "bucket").select("id").distinct())
+    if ids.isEmpty():
+        return roots
+    first = stored(prefixes(sets.join(ids, "id", "left_semi"), similar=similar))
+    for last in (False, True):
+        classed = first.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
+        each = classed.groupBy("token", "root").agg(F.count("*").alias("c"), F.min(F.struct(F.xxhash64("id").alias("o"), "id")).alias("m"))
+        main = each.groupBy("token").agg(F.max(F.struct("c", "root")).alias("top"), F.count("*").alias("classes")).where("classes > 1")
+        classed = stored(classed.join(main.select("token", F.col("top.root").alias("main")), "token"))
+        if last:
+            new = meetings(classed.where("root <> main"), classed, similar=similar)
+        else:
+            chosen = each.select("token", F.col("m.id").alias("id"))
+            new = meetings(classed.join(chosen, ["token", "id"], "left_semi"), classed.where("root <> main"), similar=similar)
         new = stored(new.join(tried, ["a", "b"], "left_anti"))
         near = stored(verified(new, sets, similar=similar))
         if not near.isEmpty():
             roots = stored(components(near.unionByName(roots.select(F.col("id").alias("a"), F.col("root").alias("b")))))
         tried = tried.unionByName(new)
-        rest, most = here.where(~now).drop("root", "main"), most * MORE
+    return roots
 
 
 def id_of() -> Column:

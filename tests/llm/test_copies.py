@@ -159,3 +159,23 @@ def test_pipeline(spark, data, tokenizer):
     assert done.where("not round_trip").count() == 0 and rows
     for r in rows[:20]:
         assert r.ids == tokenizer.encode_ordinary(tokenizer.decode(r.ids))
+
+
+def test_unlike_texts_of_a_family_hardly_meet(spark):
+    """Texts just under 0.8 to each other share bands; their own words keep them from meeting."""
+    rows = []
+    for k in range(300):
+        own = 12 if k % 100 else 10
+        words = [f"p{j}" for j in range(104 - own)] + [f"d{k}x{j}" for j in range(own)]
+        rows.append((k, " ".join(words)))
+    df = spark.createDataFrame(rows, "id long, text string")
+    ids = df.select("id")
+    sets = minhash.shingled(df, ids)
+    first = minhash.prefixes(sets).withColumn("root", F.col("id"))
+    met = {(r.a, r.b) for r in minhash.meetings(first, first).collect()}
+    words = {d: t.split() for d, t in rows}
+    each = {d: {tuple(w[i : i + 5]) for i in range(len(w) - 4)} for d, w in words.items()}
+    linked = [(b, a) for a in each for b in each if a < b and len(each[a] & each[b]) >= 0.8 * len(each[a] | each[b])]
+    assert set(linked) <= met and len(linked) == 3 and len(met) < 300
+    got = minhash.classes(df.withColumnRenamed("id", "doc_id")).collect()
+    assert {r.doc_id: r.class_id for r in got} == _roots(sorted(each), linked)

@@ -331,7 +331,8 @@ def classes(docs: DataFrame, *, similar: float = SIMILAR, weighted: bool = False
     given = docs.select(id_of().alias("id"), "text")
     sign = stored(signed(given, weighted=weighted))
     worded = sign.where("bands is not null")
-    copies = worded.groupBy("key").agg(F.min("id").alias("rep"))
+    # written, so that the join below deals its rows out anew and a text of many copies can be split
+    copies = stored(worded.groupBy("key").agg(F.min("id").alias("rep")))
     reps = worded.join(copies.select(F.col("rep").alias("id")).distinct(), "id", "left_semi").select("id", "size", "bands")
     pairs = stored(ties(reps))
     ids = stored(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct())

@@ -39,7 +39,7 @@ from pyspark.sql.types import ArrayType, BinaryType, BooleanType, IntegerType, S
 
 #: Buckets and slots of the rank map; SPREAD keeps pairs of one bucket apart.
 BUCKETS, SLOTS, SPREAD = 1 << 15, 196613, 65599
-#: A slot holds left id, right id and rank in one number; ids have 17 bits.
+#: Two ids, or a rank and an id, are held in one number; ids have 17 bits.
 ID_BITS = 17
 NONE = 2147483647
 #: Bytes of a block's texts, bytes of a word that the fold takes.
@@ -65,29 +65,30 @@ def _json(value: object) -> str:
     return quoted(json.dumps(value, ensure_ascii=False, separators=(",", ":")))
 
 
-def _slots(pairs: dict[tuple[int, int], int]) -> tuple[list[int], list[int]]:
-    """A hash table without collisions: its slots, and by bucket the shift of its slots.
-    Buckets take the first shift that leaves all their slots free, the fullest ones first."""
-    buckets: dict[int, list[tuple[int, int]]] = {}
+def _slots(pairs: dict[tuple[int, int], int]) -> tuple[list[int], list[int], list[int]]:
+    """A hash table without collisions: the pair and the rank in each of its slots, and by
+    bucket the shift of its slots.  Buckets take the first shift that leaves all their slots
+    free, the fullest ones first."""
+    buckets: dict[int, list[tuple[int, int, int]]] = {}
     for (left, right), rank in pairs.items():
-        value = (((rank << ID_BITS) + left) << ID_BITS) + right
-        buckets.setdefault((left * 31 + right) % BUCKETS, []).append(((left * SPREAD + right) % SLOTS, value))
-    slots, shifts = [-1] * SLOTS, [0] * BUCKETS
+        place, key = (left * SPREAD + right) % SLOTS, (left << ID_BITS) + right
+        buckets.setdefault((left * 31 + right) % BUCKETS, []).append((place, key, rank << ID_BITS))
+    slots, ranks, shifts = [-1] * SLOTS, [0] * SLOTS, [0] * BUCKETS
     for bucket, members in sorted(buckets.items(), key=lambda item: -len(item[1])):
-        if len({place for place, _ in members}) < len(members):
+        if len({place for place, *_ in members}) < len(members):
             raise ValueError("two pairs of one bucket share a slot: choose another SPREAD")
-        shift = next(n for n in range(SLOTS) if all(slots[(place + n) % SLOTS] < 0 for place, _ in members))
+        shift = next(n for n in range(SLOTS) if all(slots[(place + n) % SLOTS] < 0 for place, *_ in members))
         shifts[bucket] = shift
-        for place, value in members:
-            slots[(place + shift) % SLOTS] = value
-    return slots, shifts
+        for place, key, rank in members:
+            slots[(place + shift) % SLOTS], ranks[(place + shift) % SLOTS] = key, rank
+    return slots, ranks, shifts
 
 
 @cache
 def rank_literals(path: str) -> dict[str, str]:
-    """SQL literals of the fold: ``bytes``, the id of each single byte; ``first``, the rank of
-    each pair of bytes; and the rank map of the pairs of ids that make a token, as flat
-    arrays: ``slots`` and ``shifts``."""
+    """SQL literals of the fold: ``first``, by byte and next byte (256: none) the byte's id
+    behind the rank of the pair; and the rank map of the pairs of ids that make a token, as
+    flat arrays: ``slots``, ``ranks`` and ``shifts``."""
     ranks = ranks_of(path)
     pairs = {}
     for token, rank in ranks.items():
@@ -95,14 +96,13 @@ def rank_literals(path: str) -> dict[str, str]:
             left, right = ranks.get(token[:cut]), ranks.get(token[cut:])
             if left is not None and right is not None:
                 pairs[left, right] = rank
-    slots, shifts = _slots(pairs)
-    first = [ranks.get(bytes([a, b]), NONE) for a in range(256) for b in range(256)]
-    return {
-        "first": f"from_json({_json(first)}, 'array<int>')",
-        "bytes": f"from_json({_json([ranks[bytes([b])] for b in range(256)])}, 'array<int>')",
-        "slots": f"from_json({_json(slots)}, 'array<bigint>')",
-        "shifts": f"from_json({_json(shifts)}, 'array<int>')",
-    }
+    slots, given, shifts = _slots(pairs)
+    first = [
+        (ranks.get(bytes([a, b]), NONE) if b < 256 else NONE) << ID_BITS | ranks[bytes([a])]
+        for a in range(256) for b in range(257)
+    ]
+    arrays = {"first": first, "slots": slots, "ranks": given, "shifts": shifts}
+    return {name: f"from_json({_json(values)}, 'array<bigint>')" for name, values in arrays.items()}
 
 
 def bound(sql: str, **literals: str) -> str:
@@ -116,17 +116,13 @@ def fold(word: str) -> str:
     ``c`` holds the rank literals.  Ids behind a -1 are a word's already."""
 
     def rank(left: str, right: str) -> str:
-        place = f"cast(({left} * {SPREAD} + {right} + c.shifts[cast(({left} * 31 + {right}) % {BUCKETS} as int)]) % {SLOTS} as int)"
-        key = f"(shiftleft({left}, {ID_BITS}) | {right})"
-        value = f"c.slots[{place}]"
-        found = f"({value} & {(1 << 2 * ID_BITS) - 1}) = {key}"
-        return f"if({found}, shiftleft(shiftright({value}, {2 * ID_BITS}), {ID_BITS}), {no_rank})"
+        place = f"(({left} * {SPREAD} + {right} + c.shifts[({left} * 31 + {right}) % {BUCKETS}]) % {SLOTS})"
+        return f"if(c.slots[{place}] = (shiftleft({left}, {ID_BITS}) | {right}), c.ranks[{place}], {no_rank})"
 
     # s: the parts, each its id behind the rank of the pair it begins; v: the least of them,
     # whose rank is the id of the merged pair; m: place of its first part
     mask, no_rank = f"{(1 << ID_BITS) - 1}L", f"{NONE << ID_BITS}L"
-    first = f"if(i + 1 < size({word}), c.first[b * 256 + {word}[i + 1]], {NONE})"
-    start = f"transform({word}, (b, i) -> shiftleft(cast({first} as bigint), {ID_BITS}) | c.bytes[b])"
+    start = f"transform({word}, (b, i) -> c.first[b * 257 + coalesce(get({word}, i + 1), 256)])"
     token, before, after = f"shiftright(v, {ID_BITS})", f"(s[m - 2] & {mask})", f"(s[m + 1] & {mask})"
     pair = f"if(m + 1 < size(s), {rank(token, after)}, {no_rank}) | {token}"
     merged = (
@@ -271,9 +267,27 @@ def _flat(ids: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
     return ids.flatten().to_numpy(zero_copy_only=False).astype(np.int32), size
 
 
+class _Grown:
+    """An array that is added to, copied only when it has doubled."""
+
+    def __init__(self, start: np.ndarray):
+        self.held, self.n = start, len(start)
+
+    def add(self, more: np.ndarray) -> None:
+        if self.n + len(more) > len(self.held):
+            held = np.empty(max(self.n + len(more), self.n * 3 // 2), self.held.dtype)
+            held[: self.n] = self.held[: self.n]
+            self.held = held
+        self.held[self.n : self.n + len(more)] = more
+        self.n += len(more)
+
+    def all(self) -> np.ndarray:
+        return self.held[: self.n]
+
+
 def encoded(
     docs: DataFrame, path: str, pattern: str, *, text: str = "text", keep: Iterable[str] | None = None,
-    most: int = COMMON, sample: int = SAMPLE_DOCS, table: int = TABLE,
+    also: tuple[str, ...] = (), most: int = COMMON, sample: int = SAMPLE_DOCS, table: int = TABLE,
 ) -> DataFrame:
     """``docs`` with ``ids`` (array<int>): every match of ``pattern`` in the text, encoded by
     the ranks in ``path`` without special tokens.
@@ -281,11 +295,13 @@ def encoded(
     Null and empty texts have no ids.  Words of any length are encoded whole.  Repeated rows
     each get theirs; an empty table gives an empty result.  The columns in ``keep`` (all of
     them by default) stay, whatever their names; an existing column ``ids`` is replaced.
+    ``also`` names two more columns: the bytes decoded from the ids and the packed ids, as
+    ``decoded`` gives them, made in the same pass.
     ``most``, ``sample`` and ``table`` change the time and memory, not the ids."""
-    kept = [c for c in (docs.columns if keep is None else keep) if c != "ids"]
+    kept = [c for c in (docs.columns if keep is None else keep) if c not in ("ids", *also)]
     # names are positions inside, so that no two clash
     inner = docs.select(*[F.col(c).alias(f"c{k}") for k, c in enumerate(kept)], F.col(text).alias("t"))
-    names = [f"c{k}" for k in range(len(kept))]
+    names, more_names = [f"c{k}" for k in range(len(kept))], [f"also{k}" for k in range(len(also))]
     common = common_words(inner.select("t"), path, pattern, most=most, sample=sample).combine_chunks()
     start = common.num_rows
 
@@ -316,25 +332,29 @@ def encoded(
                 fresh = False
 
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        common_flat, common_size = _flat(common.column("ids").combine_chunks())
-        flat, size = common_flat, common_size
+        known, pieces = _flat(common.column("ids").combine_chunks()), _pieces(path) if also else None
+        flat, size = _Grown(known[0]), _Grown(known[1])
         for batch in batches:
             for k in range(batch.num_rows):
                 rows, lengths, holed, fresh, words = (c[k] for c in batch.columns)
                 if fresh.as_py():
-                    flat, size = common_flat, common_size
+                    flat, size = _Grown(known[0]), _Grown(known[1])
                 more, sizes = _flat(words.values)
-                flat, size = np.concatenate([flat, more]), np.concatenate([size, sizes])
-                ids, long = filled(np.frombuffer(holed.as_py(), "<i4"), np.array(lengths.values, np.int64), flat, size)
-                yield pa.RecordBatch.from_arrays([*rows.values.flatten(), _lists(pa.array(ids, pa.int32()), long)], names=[*names, "ids"])
+                flat.add(more)
+                size.add(sizes)
+                ids, long = filled(np.frombuffer(holed.as_py(), "<i4"), np.array(lengths.values, np.int64), flat.all(), size.all())
+                flat_ids, bytes_of = pa.array(ids, pa.int32()), []
+                if pieces is not None:
+                    bytes_of = _joined(flat_ids, np.concatenate([[0], np.cumsum(long)]), pieces)
+                yield pa.RecordBatch.from_arrays([*rows.values.flatten(), _lists(flat_ids, long), *bytes_of], names=[*names, "ids", *more_names])
 
     fields = inner.schema.fields[:-1]
     block = StructType([
         StructField("rows", ArrayType(StructType(fields))), StructField("lengths", ArrayType(IntegerType())),
         StructField("holed", BinaryType()), StructField("fresh", BooleanType()), StructField("words", ArrayType(ArrayType(IntegerType()))),
     ])
-    done = StructType([*fields, StructField("ids", ArrayType(IntegerType()))])
-    return folded(inner.mapInArrow(split, block), "words", path).mapInArrow(fill, done).toDF(*kept, "ids")
+    done = StructType([*fields, StructField("ids", ArrayType(IntegerType())), *(StructField(c, BinaryType()) for c in more_names)])
+    return folded(inner.mapInArrow(split, block), "words", path).mapInArrow(fill, done).toDF(*kept, "ids", *also)
 
 
 @cache
@@ -347,6 +367,22 @@ def _pieces(path: str) -> pa.Array:
     return pa.array(out, pa.large_binary())
 
 
+def _joined(ids: pa.Array, ends: np.ndarray, pieces: pa.Array) -> tuple[pa.Array, pa.Array]:
+    """Of ids (int32) cut at ``ends``: their bytes joined, and the ids packed (binary)."""
+    texts = pieces.take(ids)
+    starts = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(ids) + 1]
+    cut = starts[ends] if len(ids) else np.zeros(len(ends), np.int64)
+    raw = np.ascontiguousarray(ids.to_numpy(zero_copy_only=False), "<i4")
+
+    def slices(at: np.ndarray, data: pa.Buffer | None) -> pa.Array:
+        full = pa.py_buffer(b"") if data is None else data
+        return pa.LargeBinaryArray.from_buffers(
+            pa.large_binary(), len(at) - 1, [None, pa.py_buffer(np.ascontiguousarray(at, np.int64)), full]
+        ).cast(pa.binary())
+
+    return slices(cut, texts.buffers()[2]), slices(ends * 4, pa.py_buffer(raw))
+
+
 def decoded(df: DataFrame, path: str, *, ids: str = "ids", to: str = "decoded", packed: str = "packed") -> DataFrame:
     """``df`` with ``to``, the bytes (binary) of the array of ids, joined from those of each
     id, and ``packed``, the ids as little-endian unsigned 32-bit integers (binary).
@@ -363,20 +399,7 @@ def decoded(df: DataFrame, path: str, *, ids: str = "ids", to: str = "decoded",
                 here = batch.slice(begin, end - begin)
                 flat = here.column(here.num_columns - 1).flatten().cast(pa.int32())
                 ends = np.concatenate([[0], np.cumsum(sizes[begin:end], dtype=np.int64)])
-                texts = pieces.take(flat)
-                starts = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(flat) + 1]
-                cut = starts[ends] if len(flat) else np.zeros(len(ends), np.int64)
-                ids = np.ascontiguousarray(flat.to_numpy(zero_copy_only=False), "<i4")
-
-                def slices(at: np.ndarray, data: pa.Buffer | None) -> pa.Array:
-                    full = pa.py_buffer(b"") if data is None else data
-                    return pa.LargeBinaryArray.from_buffers(
-                        pa.large_binary(), len(at) - 1, [None, pa.py_buffer(np.ascontiguousarray(at, np.int64)), full]
-                    ).cast(pa.binary())
-
-                yield pa.RecordBatch.from_arrays(
-                    [*here.columns[:-1], slices(cut, texts.buffers()[2]), slices(ends * 4, pa.py_buffer(ids))], names=names
-                )
+                yield pa.RecordBatch.from_arrays([*here.columns[:-1], *_joined(flat, ends, pieces)], names=names)
 
     names = [*(f"c{k}" for k in range(len(kept))), to, packed]
     inner = df.select(*[F.col(c).alias(f"c{k}") for k, c in enumerate(kept)], F.col(ids).alias("ids"))
@@ -389,8 +412,8 @@ def digests(docs: DataFrame, path: str, pattern: str, **bounds: int) -> DataFram
 
     Null and empty texts have no ids and the digests of no bytes.  Repeated rows and null
     ids each get a row; other columns are ignored; an empty table gives an empty result."""
-    done = encoded(docs.select("doc_id", "text"), path, pattern, keep=["doc_id"], **bounds)
-    done = decoded(done.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids"), path)
+    done = encoded(docs.select("doc_id", "text"), path, pattern, keep=["doc_id"], also=("decoded", "packed"), **bounds)
     return done.select(
-        "doc_id", "n_tokens", F.sha2("packed", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"),
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2("packed", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
     )

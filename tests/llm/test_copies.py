@@ -146,6 +146,10 @@ def test_byte_pairs(spark, tokenizer):
         assert r.n_tokens == len(ids), texts[r.doc_id]
         assert r.ids_sha256 == hashlib.sha256(struct.pack(f"<{len(ids)}I", *ids)).hexdigest()
         assert r.decoded_sha256 == hashlib.sha256((texts[r.doc_id] or "").encode()).hexdigest()
+    both = byte_bpe.encoded(df, PATH, public_tokenizers.PATTERN, also=("decoded", "text"))
+    assert both.columns == [c for c in df.columns if c not in ("ids", "text")] + ["ids", "decoded", "text"]
+    for r in byte_bpe.decoded(both, PATH, to="again", packed="block").collect():
+        assert r.again == r.decoded == (texts[r.doc_id] or "").encode() and r.block == r.text
     assert byte_bpe.digests(df.limit(0), PATH, public_tokenizers.PATTERN).count() == 0
 
 

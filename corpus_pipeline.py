@@ -40,9 +40,10 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, source, lang, the token ids, and whether decoding them gives the text back."""
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     given = docs.select("doc_id", "source", "lang", "text", F.sha2(F.coalesce("text", F.lit("")), 256).alias("sha256"))
-    done = byte_bpe.encoded(given, path, public_tokenizers.PATTERN, keep=["doc_id", "source", "lang", "sha256"])
+    kept = ["doc_id", "source", "lang", "sha256"]
+    done = byte_bpe.encoded(given, path, public_tokenizers.PATTERN, keep=kept, also=("decoded", "packed"))
     same = F.sha2("decoded", 256) == F.col("sha256")
-    return byte_bpe.decoded(done, path).select(
+    return done.select(
         "doc_id", "source", "lang", "ids", F.size("ids").cast("long").alias("n_tokens"), same.alias("round_trip")
     )
 

@@ -11,19 +11,19 @@ before: at most ``most`` words of at most COMMON_BYTES bytes, some megabytes wha
 input.  They decide the cost only.
 
 The fold holds a word as token ids, one a byte at first, each behind the rank of the pair it
-begins: each step merges the leftmost pair of the lowest rank, found in a literal rank map,
-until no pair has a rank.  A step copies the word, so words above LONG bytes are merged before, from a heap, in n log n.  Decoding
+begins: each step merges the leftmost pair of the lowest rank, found in a rank map, until no
+pair has a rank.  A step copies the word, so words above LONG bytes are merged before, from a heap, in n log n.  Decoding
 looks up each id's bytes and joins them.
 
 The rank map is keyed by the pair of ids and lies in flat arrays with a slot for each pair,
-as Spark searches a map from end to end.
+as Spark searches a map from end to end.  It is a table of one row, broadcast to the blocks:
+as a literal its millions of characters would stand in every text that Spark keeps of a plan.
 """
 
 from __future__ import annotations
 
 import base64
 import heapq
-import json
 from array import array
 from collections import Counter
 from collections.abc import Iterable, Iterator
@@ -56,15 +56,6 @@ def ranks_of(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
 
 
-def quoted(text: str) -> str:
-    """A SQL string literal.  The dollar sign would start a variable."""
-    return "'" + text.replace("\\", "\\\\").replace("'", "\\'").replace("$", "\\u0024") + "'"
-
-
-def _json(value: object) -> str:
-    return quoted(json.dumps(value, ensure_ascii=False, separators=(",", ":")))
-
-
 def _slots(pairs: dict[tuple[int, int], int]) -> tuple[list[int], list[int], list[int]]:
     """A hash table without collisions: the pair and the rank in each of its slots, and by
     bucket the shift of its slots.  Buckets take the first shift that leaves all their slots
@@ -85,10 +76,10 @@ def _slots(pairs: dict[tuple[int, int], int]) -> tuple[list[int], list[int], lis
 
 
 @cache
-def rank_literals(path: str) -> dict[str, str]:
-    """SQL literals of the fold: ``first``, by byte and next byte (256: none) the byte's id
-    behind the rank of the pair; and the rank map of the pairs of ids that make a token, as
-    flat arrays: ``slots``, ``ranks`` and ``shifts``."""
+def _rank_arrays(path: str) -> pa.Table:
+    """One row: ``first``, by byte and next byte (256: none) the byte's id behind the rank of
+    the pair; and the rank map of the pairs of ids that make a token, as flat arrays:
+    ``slots``, ``ranks`` and ``shifts``."""
     ranks = ranks_of(path)
     pairs = {}
     for token, rank in ranks.items():
@@ -102,18 +93,12 @@ def rank_literals(path: str) -> dict[str, str]:
         for a in range(256) for b in range(257)
     ]
     arrays = {"first": first, "slots": slots, "ranks": given, "shifts": shifts}
-    return {name: f"from_json({_json(values)}, 'array<bigint>')" for name, values in arrays.items()}
-
-
-def bound(sql: str, **literals: str) -> str:
-    """SQL in which ``c.name`` is the literal of that name, written once."""
-    named = ", ".join(f"{value} as {name}" for name, value in literals.items())
-    return f"transform(array(struct({named})), c -> {sql})[0]"
+    return pa.table({name: pa.array([values], pa.list_(pa.int64())) for name, values in arrays.items()})
 
 
 def fold(word: str) -> str:
     """SQL for the ids (array<int>) of a word, given as its bytes (array<int>), by merges;
-    ``c`` holds the rank literals.  Ids behind a -1 are a word's already."""
+    ``c`` holds the rank arrays.  Ids behind a -1 are a word's already."""
 
     def rank(left: str, right: str) -> str:
         place = f"(({left} * {SPREAD} + {right} + c.shifts[({left} * 31 + {right}) % {BUCKETS}]) % {SLOTS})"
@@ -165,8 +150,15 @@ def merged(word: bytes, ranks: dict[bytes, int]) -> list[int]:
 
 
 def folded(words: DataFrame, column: str, path: str) -> DataFrame:
-    """``words`` with ``column`` (the bytes of words, array<array<int>>) replaced by their ids."""
-    return words.withColumn(column, F.expr(bound(f"transform({column}, v -> {fold('v')})", **rank_literals(path))))
+    """``words`` with ``column`` (the bytes of words, array<array<int>>) replaced by their ids.
+    Rows keep their order and partitions.  A row should hold many words, as each is given a
+    copy of the rank arrays (4 MB)."""
+    arrays = words.sparkSession.createDataFrame(_rank_arrays(path))
+    given = words.crossJoin(F.broadcast(arrays.select(F.struct(*arrays.columns).alias("__pairs"))))
+    # the arrays are taken from the row once, not at each step
+    held = ", ".join(f"__pairs.{name} as {name}" for name in arrays.columns)
+    ids = F.expr(f"transform(array(struct({held})), c -> transform({column}, v -> {fold('v')}))[0]")
+    return given.withColumn(column, ids).drop("__pairs")
 
 
 def _lists(values: pa.Array, lengths: np.ndarray) -> pa.ListArray:
@@ -222,11 +214,11 @@ def common_words(texts: DataFrame, path: str, pattern: str, *, most: int, sample
 
     def as_bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            each = _bytes(batch.column(0).to_pylist(), {})
-            yield pa.RecordBatch.from_arrays([batch.column(0), _lists(each, np.ones(len(each), np.int64))], names=["word", "ids"])
+            words, every = batch.column(0), np.array([batch.num_rows])
+            yield pa.RecordBatch.from_arrays([_lists(words, every), _lists(_bytes(words.to_pylist(), {}), every)], names=["word", "ids"])
 
-    given = top.mapInArrow(as_bytes, "word string, ids array<array<int>>")
-    return folded(given, "ids", path).select("word", F.col("ids")[0].alias("ids")).toArrow()
+    done = folded(top.mapInArrow(as_bytes, "word array<string>, ids array<array<int>>"), "ids", path).toArrow()
+    return pa.table({name: done.column(name).combine_chunks().flatten() for name in ("word", "ids")})
 
 
 def filled(ids: np.ndarray, lengths: np.ndarray, flat: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

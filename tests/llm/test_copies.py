@@ -183,3 +183,14 @@ def test_unlike_texts_of_a_family_hardly_meet(spark):
     assert set(linked) <= met and len(linked) == 3 and len(met) < 300
     got = minhash.classes(df.withColumnRenamed("id", "doc_id")).collect()
     assert {r.doc_id: r.class_id for r in got} == _roots(sorted(each), linked)
+
+
+def test_byte_pair_plans_hold_no_ranks(spark):
+    """Spark keeps the text of each plan, in the driver and in its log: megabytes of literals add up there."""
+    df = spark.createDataFrame([(1, "unseen wordings " * 3)], "doc_id long, text string")
+    words = df.selectExpr("array(array(113, 117, 117, 120)) as word")
+    folded = byte_bpe.folded(words, "word", PATH)
+    for made in (folded, byte_bpe.digests(df, PATH, public_tokenizers.PATTERN)):
+        assert len(made._jdf.queryExecution().toString()) < 100_000
+    ranks = byte_bpe.ranks_of(PATH)
+    assert folded.columns == ["word"] and folded.collect() == [([byte_bpe.merged(b"quux", ranks)],)]
